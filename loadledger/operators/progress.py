@@ -138,3 +138,15 @@ def all_days(spark: SparkSession, first: str, last: str) -> DataFrame:
     """A calendar, for reporting days on which nothing happened."""
     days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
     return spark.range(1).select(F.explode(days).alias("business_date"))
+
+
+def details(state: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per extract with what matters for its status: since when, records, retries."""
+    status = F.col("status")
+    return state.select(
+        *keys,
+        "status",
+        F.col("last_ts").alias("since"),
+        F.when(status == "completed", F.col("record_count")).alias("records"),
+        F.when(status == "failed", F.col("retry_count")).alias("retries"),
+    )

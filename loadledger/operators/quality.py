@@ -81,10 +81,9 @@ def file_manifest(spark: SparkSession, root: str, run_pattern: str, content: boo
     is opened.
     """
     path = F.col("path")
-    run = F.regexp_extract(path, run_pattern, 0)
     files = list_files(spark, root, "*.parquet").select(
-        run.alias("run"),
-        F.substring_index(path, run, -1).alias("file"),
+        F.regexp_extract(path, run_pattern, 0).alias("run"),
+        F.regexp_extract(path, f"(?:{run_pattern})/(.*)$", 1).alias("file"),
         "length",
         (F.md5("content") if content else F.lit("")).alias("content_hash"),
     )

@@ -10,7 +10,6 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +20,7 @@ from loadledger.plans.spec import TableSpec, first_runs, read_spec
 from loadledger.sinks.ledger import IDENTITY, Ledger
 from loadledger.sinks.runs import write_run
 from loadledger.sources.runs import list_files
+from loadledger.work import exists
 
 OUTCOME_COLUMNS = "table_key STRING, success BOOLEAN, skipped BOOLEAN, record_count BIGINT, error STRING"
 
@@ -109,10 +109,10 @@ class Extractor:
         """Bytes per run for the given business dates, from one listing of only their folders."""
         named = ",".join(day.strftime("%Y%m/%d") for day in days)
         run = F.regexp_extract("path", r"([^/]+/[^/]+/\d{6}/\d{2}/[^/]+\.parquet)/[^/]+$", 1)
-        try:
-            files = list_files(self.spark, f"{self.root}/*/*/{{{named}}}", "*.parquet")
-        except AnalysisException:  # nothing was ever stored for these days
+        folders = f"{self.root}/*/*/{{{named}}}"
+        if not exists(self.spark, folders):
             return self.spark.createDataFrame([], "run STRING, stored_bytes BIGINT")
+        files = list_files(self.spark, folders, "*.parquet")
         return files.groupBy(run.alias("run")).agg(F.sum("length").alias("stored_bytes"))
 
     def _run(self, specs: Sequence[TableSpec], force: bool) -> list[Outcome]:
@@ -126,6 +126,7 @@ class Extractor:
         if retired:
             self.ledger.append_rows(retired)
         work = [i for i, row in plan.items() if row.needed]
+        whole = self._bootstrapping(specs, [i for i in work if plan[i].bootstrap])
         run_ids = {i: specs[i].run_id or self._new_run_id() for i in work}
         started = [
             self._transition(specs[i], "retrying" if plan[i].known else "running", run_ids[i])
@@ -142,10 +143,19 @@ class Extractor:
                 done[i] = Outcome(row.table_key, ok, True, count, None if ok else row.reason)
         with ThreadPoolExecutor(max_workers=self.concurrent_tables) as pool:
             attempt = inheritable_thread_target(self.spark)(self._attempt)
-            futures = {i: pool.submit(attempt, specs[i], run_ids[i], plan[i].bootstrap) for i in work}
+            futures = {i: pool.submit(attempt, specs[i], run_ids[i], i in whole) for i in work}
             done.update({i: future.result() for i, future in futures.items()})
         return [done[i] for i in range(len(specs))]
 
+    @staticmethod
+    def _bootstrapping(specs: Sequence[TableSpec], first: list[int]) -> set[int]:
+        """Of the specs of a table that never succeeded, the earliest window takes all of it."""
+        chosen: dict[str, int] = {}
+        for i in sorted(first, key=lambda i: specs[i].window):
+            if specs[i].bootstrap:
+                chosen.setdefault(specs[i].key, i)
+        return set(chosen.values())
+
     def _attempt(self, spec: TableSpec, run_id: str, bootstrap: bool) -> Outcome:
         began = time.monotonic()
         try:

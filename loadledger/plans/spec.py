@@ -18,7 +18,8 @@ class TableSpec:
     """One table of one source, and which part of it a run should take.
 
     Without ``extraction_date`` the window is yesterday. ``split_on`` names an integer column for a
-    parallel read of a big database table.
+    parallel read of a big database table. Clear ``bootstrap`` when windows are filled in one by one
+    and the first of them must not take the whole table.
     """
 
     source_name: str
@@ -33,6 +34,7 @@ class TableSpec:
     as_of: datetime | None = None
     window_hours: int = 24
     split_on: str | None = None
+    bootstrap: bool = True
 
     @property
     def key(self) -> str:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from loadledger.functions.columns import FINISHED
 from loadledger.operators.state import fold
+from loadledger.work import exists
 
 SPEC_SCHEMA = T.StructType.fromDDL(
     "source_name STRING, table_name STRING, schema_name STRING, incremental_column STRING, "
@@ -84,7 +85,5 @@ class Ledger:
 
     def _start(self) -> None:
         """An empty append, so that a new ledger can be read."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        if not files.exists(path):
+        if not exists(self.spark, self.root):
             self.append_rows([], append_id="start")

@@ -23,12 +23,13 @@ def range_cuts(low: int, high: int, parts: int) -> list[int]:
     """Inner borders of ``parts`` even ranges over ``low..high``; fewer when there are fewer values."""
     width = high - low + 1
     parts = max(1, min(parts, width))
-    return [low + width * i // parts for i in range(1, parts)]
+    return [low + (width * i + parts - 1) // parts for i in range(1, parts)]
 
 
-def range_number(column: Column, cuts: list[int]) -> Column:
-    """The range a value belongs to, from 0; NULL is read with the first range."""
-    number = F.lit(0)
-    for i, cut in enumerate(cuts, start=1):
-        number = F.when(column >= cut, F.lit(i)).otherwise(number)
-    return number
+def range_number(column: Column, low: int, high: int, parts: int) -> Column:
+    """The range a value belongs to, from 0, with the outer ranges open and NULL in the first."""
+    width = high - low + 1
+    parts = max(1, min(parts, width))
+    inside = F.greatest(F.lit(low), F.least(F.lit(high), column))
+    number = F.call_function("div", (inside - low).cast("bigint") * parts, F.lit(width))
+    return F.when(column.isNull(), 0).otherwise(number).cast("int")

@@ -29,6 +29,14 @@ def new_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything is stored at a path or below a pattern, on whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = files.globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor cannot change what was computed."""
     spark = df.sparkSession
