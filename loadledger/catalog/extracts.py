@@ -100,7 +100,7 @@ def first_run_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     Extractor(source, root, ledger).extract(specs[0])
     keys = spark.createDataFrame([(s.key,) for s in specs], "table_key STRING")
-    new = {row.table_key for row in first_runs(keys, ledger.current()).collect()}
+    new = {row.table_key for row in first_runs(keys, ledger.succeeded_tables()).collect()}
     counts = [
         read_spec(source, s, bootstrap=s.key in new)
         .agg(F.count(F.lit(1)).alias("n"))

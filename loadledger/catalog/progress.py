@@ -14,6 +14,7 @@ from loadledger.catalog.tables import (
     WITH_X,
     current,
     folded,
+    statuses,
     transitions,
 )
 from loadledger.functions.columns import run_id_text, run_path
@@ -36,7 +37,7 @@ def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.status_counts(current(spark, sf_dir, "status"))
+    return progress.status_counts(statuses(spark, sf_dir))
 
 
 @query(
@@ -72,7 +73,7 @@ def extraction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.progress(current(spark, sf_dir, "status"), ["business_date"])
+    return progress.progress(statuses(spark, sf_dir), ["business_date"])
 
 
 @query(
@@ -85,7 +86,7 @@ def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.outcome(current(spark, sf_dir, "status"), ["business_date"])
+    return progress.outcome(statuses(spark, sf_dir), ["business_date"])
 
 
 @query(
@@ -103,12 +104,12 @@ def run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def run_table_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.table_lists(current(spark, sf_dir, "status"), ["business_date"], chunk=50)
+    return progress.table_lists(statuses(spark, sf_dir), ["business_date"], chunk=50)
 
 
 @query(WITH_C + "SELECT DISTINCT business_date, table_key FROM c WHERE status = 'completed'")
 def completed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = current(spark, sf_dir, "status").where(F.col("status") == "completed")
+    done = statuses(spark, sf_dir).where(F.col("status") == "completed")
     return done.select("business_date", "table_key").distinct()
 
 
@@ -133,9 +134,8 @@ def completed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs are expected from noon on: a table still running from the morning is out of its window."""
     noon = F.col("business_date").cast("timestamp_ntz") + F.make_interval(hours=F.lit(12))
-    early = (F.col("event_ts") < noon) & (F.col("status") == "running")
-    states = current(spark, sf_dir, "status", "event_ts")
-    return progress.findings(states, ["business_date"], early)
+    early = (F.col("last_ts") < noon) & (F.col("status") == "running")
+    return progress.findings(folded(spark, sf_dir), ["business_date"], early)
 
 
 @query(

@@ -17,10 +17,10 @@ from loadledger.catalog.tables import (
     WITH_F,
     WITH_FG,
     WITH_X,
-    current,
     folded,
     load,
     requested,
+    statuses,
     transitions,
 )
 from loadledger.functions.windows import same_day
@@ -39,7 +39,7 @@ TODAY = date(2024, 1, 31)
     """
 )
 def pending_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.pending(requested(spark, sf_dir), current(spark, sf_dir, "status"), RUN_KEY)
+    return state.pending(requested(spark, sf_dir), statuses(spark, sf_dir), RUN_KEY)
 
 
 @query(
@@ -50,7 +50,7 @@ def pending_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def already_done_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.already_done(requested(spark, sf_dir), current(spark, sf_dir, "status"), RUN_KEY)
+    return state.already_done(requested(spark, sf_dir), statuses(spark, sf_dir), RUN_KEY)
 
 
 @query(
@@ -61,7 +61,7 @@ def already_done_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.lookup(requested(spark, sf_dir), current(spark, sf_dir, "status"), RUN_KEY)
+    return state.lookup(requested(spark, sf_dir), statuses(spark, sf_dir), RUN_KEY)
 
 
 @query(
@@ -79,7 +79,7 @@ def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def resume_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger stops half way through the month; all later days are new work."""
-    known = current(spark, sf_dir, "status").where(
+    known = statuses(spark, sf_dir).where(
         F.col("business_date") <= F.lit(date(2024, 1, 15))
     )
     return state.resume(known, requested(spark, sf_dir), RUN_KEY)
@@ -99,7 +99,7 @@ def resume_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def todo_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.todo(requested(spark, sf_dir), current(spark, sf_dir, "status"), RUN_KEY)
+    return state.todo(requested(spark, sf_dir), statuses(spark, sf_dir), RUN_KEY)
 
 
 @query(
@@ -270,6 +270,6 @@ def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ledger_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = state.is_retained(F.col("business_date"), TODAY, days=7)
-    return current(spark, sf_dir, "status").agg(
+    return statuses(spark, sf_dir).agg(
         F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped")
     )

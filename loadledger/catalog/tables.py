@@ -60,6 +60,11 @@ def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fold(transitions(spark, sf_dir), RUN_KEY)
 
 
+def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest status per table and date."""
+    return folded(spark, sf_dir).select(*RUN_KEY, "status")
+
+
 def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every table is due daily, from the first day it was seen on."""
     log = transitions(spark, sf_dir)

@@ -18,27 +18,33 @@ def fold(
     keys: Sequence[str],
     order: Sequence[str] = ORDER,
     carried: Sequence[str] = (),
+    last: Sequence[str] = (),
 ) -> DataFrame:
     """Replay transitions to one state per key.
 
     Gives the last status, when the last start and the last end happened, the records of the last
-    end, and how often the key was started. ``carried`` columns come from the last end too. It is
-    one aggregate with map-side combining, so long histories of one key do not pile up in a task.
+    end, and how often the key was started again. ``carried`` columns come from the last end too,
+    ``last`` columns from the last transition of any kind. The first column of ``order`` is a
+    timestamp, the others break its ties.
+
+    It is one aggregate with map-side combining, so a long history of one key does not pile up in a
+    task.
     """
-    moment = F.struct(*order)
+    ts, moment = F.col(order[0]), F.struct(*order)
     status = F.col("status")
     ended = status.isin("completed", "failed")
     at_end = F.when(ended, moment)
-    started_at = F.when(is_running(status), F.col("event_ts"))
+    started_at = F.when(is_running(status), ts)
     return log.groupBy(*keys).agg(
         F.max_by("status", moment).alias("status"),
-        F.max("event_ts").alias("last_ts"),
+        F.max(ts).alias("last_ts"),
         F.min(started_at).alias("first_start_ts"),
         F.max(started_at).alias("start_ts"),
-        F.max(F.when(ended, F.col("event_ts"))).alias("end_ts"),
+        F.max(F.when(ended, ts)).alias("end_ts"),
         F.max_by("record_count", at_end).alias("record_count"),
         F.greatest(F.count_if(is_running(status)) - 1, F.lit(0)).alias("retry_count"),
         *[F.max_by(name, at_end).alias(name) for name in carried],
+        *[F.max_by(name, moment).alias(name) for name in last],
     )
 
 

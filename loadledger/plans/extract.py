@@ -59,37 +59,47 @@ class Extractor:
         self.concurrent_tables = concurrent_tables
 
     def extract(self, spec: TableSpec, force: bool = False) -> Outcome:
-        return self._run([spec], force)[0]
+        return self._run([spec], force, None)[0]
 
-    def extract_many(self, specs: Sequence[TableSpec], force: bool = False) -> DataFrame:
-        """Extract side by side; a table that fails does not stop the others. One row per table."""
-        rows = [outcome.row() for outcome in self._run(specs, force)]
+    def extract_many(
+        self, specs: Sequence[TableSpec], force: bool = False, run_id: str | None = None
+    ) -> DataFrame:
+        """Extract side by side; a table that fails does not stop the others. One row per table.
+
+        All tables share one run id unless their specs name another. Calling again, with the same run
+        id or a new one, only does what is not yet done.
+        """
+        rows = [outcome.row() for outcome in self._run(specs, force, run_id)]
         return self.spark.createDataFrame(rows, OUTCOME_COLUMNS)
 
     def decisions(self, specs: Sequence[TableSpec], force: bool = False) -> DataFrame:
-        """Per spec: is it needed and why, and does it bootstrap its table."""
+        """Per spec: is it needed and why, and would it be the first success of its table."""
         requested = self.spark.createDataFrame(
-            [(i, s.key, *s.window, s.day, force) for i, s in enumerate(specs)],
+            [(i, s.key, *s.window, force) for i, s in enumerate(specs)],
             "position INT, table_key STRING, window_start TIMESTAMP_NTZ, "
-            "window_end TIMESTAMP_NTZ, business_date DATE, forced BOOLEAN",
+            "window_end TIMESTAMP_NTZ, forced BOOLEAN",
         )
-        state = self.ledger.current()
-        first = first_runs(requested, state).select("position", F.lit(True).alias("bootstrap"))
-        stored = self._stored_sizes(sorted({s.day for s in specs}))
+        days = sorted({s.day for s in specs})
+        state = self.ledger.current(days).drop("business_date")
+        first = first_runs(requested, self.ledger.succeeded_tables())
         run = F.regexp_extract("output_path", r"([^/]+/[^/]+/\d{6}/\d{2}/[^/]+\.parquet)$", 1)
+        status = F.col("status")
         rows = (
-            requested.join(state.drop("business_date"), list(IDENTITY), "left")
+            requested.join(state, list(IDENTITY), "left")
             .withColumn("run", run)
-            .join(stored, "run", "left")
-            .join(first, "position", "left")
+            .withColumn("known", status.isNotNull())
+            # A row that still says running was left behind by an attempt that died.
+            .withColumn("status", F.when(is_running(status), "pending").otherwise(status))
+            .join(self._stored_sizes(days), "run", "left")
+            .join(first.select("position", F.lit(True).alias("first")), "position", "left")
         )
         empty = F.coalesce(F.col("record_count") == 0, F.lit(False))
-        checked = verdict(F.col("file_size_bytes"), F.col("stored_bytes"))
+        stored = verdict(F.col("file_size_bytes"), F.col("stored_bytes"))
         judged = decide(
-            rows,
-            status=F.when(is_running(F.col("status")), "pending").otherwise(F.col("status")),
+            rows.withColumn("verdict", F.when(empty, "valid").otherwise(stored)),
+            status=F.col("status"),
             forced=F.col("forced"),
-            verdict=F.when(empty, "valid").otherwise(checked),
+            verdict=F.col("verdict"),
             current=F.lit(True),
             retries=F.col("retry_count"),
             max_retries=self.max_retries,
@@ -100,9 +110,9 @@ class Extractor:
             "needed",
             "reason",
             "next_status",
-            F.coalesce("bootstrap", F.lit(False)).alias("bootstrap"),
+            F.coalesce("first", F.lit(False)).alias("first"),
             F.coalesce("record_count", F.lit(0)).alias("record_count"),
-            F.col("status").isNotNull().alias("known"),
+            "known",
         )
 
     def _stored_sizes(self, days) -> DataFrame:
@@ -115,8 +125,13 @@ class Extractor:
         files = list_files(self.spark, folders, "*.parquet")
         return files.groupBy(run.alias("run")).agg(F.sum("length").alias("stored_bytes"))
 
-    def _run(self, specs: Sequence[TableSpec], force: bool) -> list[Outcome]:
+    def _run(
+        self, specs: Sequence[TableSpec], force: bool, run_id: str | None
+    ) -> list[Outcome]:
         specs = [spec.dated() for spec in specs]
+        if len({(spec.key, spec.window) for spec in specs}) < len(specs):
+            raise ValueError("a table and window may be requested once per call")
+        run_id = run_id or self._new_run_id()
         plan = {row.position: row for row in self.decisions(specs, force).collect()}
         retired = [
             self._transition(specs[i], "skipped", None, error_message=row.reason)
@@ -126,8 +141,8 @@ class Extractor:
         if retired:
             self.ledger.append_rows(retired)
         work = [i for i, row in plan.items() if row.needed]
-        whole = self._bootstrapping(specs, [i for i in work if plan[i].bootstrap])
-        run_ids = {i: specs[i].run_id or self._new_run_id() for i in work}
+        whole = self._bootstrapping(specs, [i for i in work if plan[i].first])
+        run_ids = {i: specs[i].run_id or run_id for i in work}
         started = [
             self._transition(specs[i], "retrying" if plan[i].known else "running", run_ids[i])
             for i in work

@@ -80,10 +80,9 @@ def read_spec(source, spec: TableSpec, bootstrap: bool = False) -> DataFrame:
     return rows
 
 
-def first_runs(specs: DataFrame, ledger_state: DataFrame) -> DataFrame:
-    """Specs whose table has no completed run for any window."""
-    done = ledger_state.where(F.col("status") == "completed").select("table_key")
-    return specs.join(done, "table_key", "left_anti")
+def first_runs(specs: DataFrame, succeeded: DataFrame) -> DataFrame:
+    """Specs whose table never succeeded, for whatever window."""
+    return specs.join(succeeded, "table_key", "left_anti")
 
 
 SPEC_RULES = {

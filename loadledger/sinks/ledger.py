@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import time
 import uuid
-from datetime import date
+from collections.abc import Sequence
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadledger.functions.columns import FINISHED
-from loadledger.operators.state import fold
+from loadledger.operators.state import fold, is_retained
 from loadledger.work import exists
 
 SPEC_SCHEMA = T.StructType.fromDDL(
@@ -49,38 +50,60 @@ class Ledger:
             ]
         )
         target = f"{self.root}/append_id={name}"
-        shaped.write.mode("overwrite").partitionBy("business_date").parquet(target)
+        shaped.hint("rebalance", "business_date").write.mode("overwrite").partitionBy("business_date").parquet(target)
         return name
 
     def append_rows(self, rows: list[dict], append_id: str | None = None) -> str:
         """Add a handful of transitions known to the driver, one per table at most."""
         values = [tuple(row.get(f.name) for f in LEDGER_SCHEMA) for row in rows]
         frame = self.spark.createDataFrame(values, LEDGER_SCHEMA)
-        return self.append(frame.coalesce(1), append_id)
+        return self.append(frame, append_id)
 
-    def transitions(self, since: date | None = None) -> DataFrame:
-        """The log. ``since`` prunes whole date folders."""
+    def transitions(self, days: Sequence[date] = ()) -> DataFrame:
+        """The log. Naming ``days`` leaves all other date folders unopened."""
         self._start()
         schema = T.StructType(list(LEDGER_SCHEMA)).add("append_id", T.StringType())
         log = self.spark.read.schema(schema).parquet(self.root)
-        return log if since is None else log.where(F.col("business_date") >= F.lit(since))
+        return log.where(F.col("business_date").isin(*days)) if days else log
 
-    def current(self, since: date | None = None) -> DataFrame:
+    def current(self, days: Sequence[date] = ()) -> DataFrame:
         """One row per table and window with its present state."""
         return fold(
-            self.transitions(since),
+            self.transitions(days),
             (*IDENTITY, "business_date"),
-            carried=("run_id", "output_path", "fingerprint", "file_size_bytes", "error_message"),
+            carried=("output_path", "fingerprint", "file_size_bytes", "error_message"),
+            last=("run_id",),
         )
 
-    def finished(self, since: date | None = None) -> DataFrame:
-        return self.current(since).where(F.col("status").isin(*FINISHED))
+    def succeeded_tables(self) -> DataFrame:
+        """Keys of the tables that completed at least once, for whatever window."""
+        done = self.transitions().where(F.col("status") == "completed")
+        return done.select("table_key").distinct()
+
+    def reopen(self, chosen: DataFrame) -> str:
+        """Make states pending again, by further transitions: forced tables, or failures to retry.
+
+        ``chosen`` are rows of :meth:`current`, such as those ``state.reset_failed`` marks.
+        """
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        return self.append(
+            chosen.select(
+                *IDENTITY,
+                "business_date",
+                "run_id",
+                F.lit("pending").alias("status"),
+                F.lit(time.time_ns()).alias("seq"),
+                F.lit(now.isoformat(sep=" ")).alias("event_ts"),
+            )
+        )
 
     def retain(self, target: str, today: date, days: int = 7) -> Ledger:
-        """Copy what is younger than ``days`` to a new place; old date folders are never opened."""
-        first = F.date_sub(F.lit(today), days)
+        """Copy what is younger than ``days`` to a new place, packed into few files per date.
+
+        Old date folders are never opened. The caller moves on to the ledger returned.
+        """
         kept = Ledger(self.spark, target)
-        kept.append(self.transitions().where(F.col("business_date") >= first))
+        kept.append(self.transitions().where(is_retained(F.col("business_date"), today, days)))
         return kept
 
     def _start(self) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,11 @@ class LakeSource:
     spark: SparkSession
     root: str
 
-    def table(self, name: str, schema: str | None = None) -> DataFrame:
+    def table(
+        self, name: str, schema: str | None = None, as_of: datetime | None = None
+    ) -> DataFrame:
+        if as_of is not None:
+            raise ValueError("files keep no past; apply sources.asof.as_of to versioned rows")
         folder = f"{self.root.rstrip('/')}/{schema}" if schema else self.root.rstrip("/")
         return self.spark.read.parquet(f"{folder}/{name}.parquet")
 
