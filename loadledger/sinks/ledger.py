@@ -14,17 +14,39 @@ from pyspark.sql import types as T
 from loadledger.operators.state import fold, is_retained
 from loadledger.work import exists
 
-SPEC_SCHEMA = T.StructType.fromDDL(
-    "source_name STRING, table_name STRING, schema_name STRING, incremental_column STRING, "
-    "extraction_date DATE, is_full_extract BOOLEAN, custom_query STRING, run_id STRING, "
-    "as_of TIMESTAMP_NTZ, window_hours INT"
+_STRING, _LONG, _NTZ = T.StringType(), T.LongType(), T.TimestampNTZType()
+
+SPEC_SCHEMA = (
+    T.StructType()
+    .add("source_name", _STRING)
+    .add("table_name", _STRING)
+    .add("schema_name", _STRING)
+    .add("incremental_column", _STRING)
+    .add("extraction_date", T.DateType())
+    .add("is_full_extract", T.BooleanType())
+    .add("custom_query", _STRING)
+    .add("run_id", _STRING)
+    .add("as_of", _NTZ)
+    .add("window_hours", T.IntegerType())
+)
+LEDGER_SCHEMA = (
+    T.StructType()
+    .add("seq", _LONG)
+    .add("table_key", _STRING)
+    .add("window_start", _NTZ)
+    .add("window_end", _NTZ)
+    .add("event_ts", _NTZ)
+    .add("status", _STRING)
+    .add("run_id", _STRING)
+    .add("record_count", _LONG)
+    .add("file_size_bytes", _LONG)
+    .add("output_path", _STRING)
+    .add("fingerprint", _STRING)
+    .add("error_message", _STRING)
+    .add("duration_seconds", T.DoubleType())
+    .add("spec", SPEC_SCHEMA)
+    .add("business_date", T.DateType())
 )
-LEDGER_SCHEMA = T.StructType.fromDDL(
-    "seq BIGINT, table_key STRING, window_start TIMESTAMP_NTZ, window_end TIMESTAMP_NTZ, "
-    "event_ts TIMESTAMP_NTZ, status STRING, run_id STRING, record_count BIGINT, "
-    "file_size_bytes BIGINT, output_path STRING, fingerprint STRING, error_message STRING, "
-    "duration_seconds DOUBLE"
-).add("spec", SPEC_SCHEMA).add("business_date", T.DateType())
 
 IDENTITY = ("table_key", "window_start", "window_end")
 

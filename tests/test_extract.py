@@ -108,7 +108,6 @@ def test_missing_and_resized_outputs_are_redone(spark, extractor):
     path = states(extractor)["db.nation"].output_path
     spark.range(1000).write.mode("append").parquet(path)
     assert extractor.decisions([full("nation")]).first().reason == "output_corrupt"
-    spark.range(0).repartition(1).limit(0).write.mode("overwrite").text(path) if False else None
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
     assert extractor.decisions([full("nation")]).first().reason == "output_missing"
