@@ -21,7 +21,7 @@ from loadledger.sources.asof import as_of
 from loadledger.sources.lake import LakeSource
 from loadledger.sources.ranges import range_number
 from loadledger.sources.runs import read_runs
-from loadledger.work import new_dir
+from loadledger.work import new_dir, small_frame
 
 DAY = date(1997, 5, 28)
 MOMENT = datetime(2024, 1, 15, 12)
@@ -99,7 +99,7 @@ def first_run_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
         for table, column in columns.items()
     ]
     Extractor(source, root, ledger).extract(specs[0])
-    keys = spark.createDataFrame([(s.key,) for s in specs], "table_key STRING")
+    keys = small_frame(spark, [(s.key,) for s in specs], "table_key STRING")
     new = {row.table_key for row in first_runs(keys, ledger.succeeded_tables()).collect()}
     counts = [
         read_spec(source, s, bootstrap=s.key in new)

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from loadledger.functions.hashing import fingerprint
 from loadledger.functions.windows import in_window
 from loadledger.sources.runs import list_files
+from loadledger.work import small_frame
 
 
 def is_blank(text: Column) -> Column:
@@ -46,7 +47,7 @@ def schema_rows(
         for field in schema
     ]
     kinds = "table_name STRING, run_no INT, run_id STRING, column STRING, type STRING"
-    return spark.createDataFrame(rows, kinds)
+    return small_frame(spark, rows, kinds)
 
 
 def schema_drift(rows: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from loadledger.plans.spec import TableSpec, first_runs, read_spec
 from loadledger.sinks.ledger import IDENTITY, Ledger
 from loadledger.sinks.runs import write_run
 from loadledger.sources.runs import list_files
-from loadledger.work import exists
+from loadledger.work import exists, small_frame
 
 OUTCOME_COLUMNS = "table_key STRING, success BOOLEAN, skipped BOOLEAN, record_count BIGINT, error STRING"
 
@@ -70,11 +70,12 @@ class Extractor:
         id or a new one, only does what is not yet done.
         """
         rows = [outcome.row() for outcome in self._run(specs, force, run_id)]
-        return self.spark.createDataFrame(rows, OUTCOME_COLUMNS)
+        return small_frame(self.spark, rows, OUTCOME_COLUMNS)
 
     def decisions(self, specs: Sequence[TableSpec], force: bool = False) -> DataFrame:
         """Per spec: is it needed and why, and would it be the first success of its table."""
-        requested = self.spark.createDataFrame(
+        requested = small_frame(
+            self.spark,
             [(i, s.key, *s.window, force) for i, s in enumerate(specs)],
             "position INT, table_key STRING, window_start TIMESTAMP_NTZ, "
             "window_end TIMESTAMP_NTZ, forced BOOLEAN",
@@ -121,7 +122,7 @@ class Extractor:
         run = F.regexp_extract("path", r"([^/]+/[^/]+/\d{6}/\d{2}/[^/]+\.parquet)/[^/]+$", 1)
         folders = f"{self.root}/*/*/{{{named}}}"
         if not exists(self.spark, folders):
-            return self.spark.createDataFrame([], "run STRING, stored_bytes BIGINT")
+            return small_frame(self.spark, [], "run STRING, stored_bytes BIGINT")
         files = list_files(self.spark, folders, "*.parquet")
         return files.groupBy(run.alias("run")).agg(F.sum("length").alias("stored_bytes"))
 

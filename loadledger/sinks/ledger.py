@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadledger.operators.state import fold, is_retained
-from loadledger.work import exists
+from loadledger.work import exists, small_frame
 
 _STRING, _LONG, _NTZ = T.StringType(), T.LongType(), T.TimestampNTZType()
 
@@ -64,6 +64,9 @@ class Ledger:
 
     def append(self, rows: DataFrame, append_id: str | None = None) -> str:
         """Add transitions. Repeating an ``append_id`` replaces that append instead of doubling it."""
+        return self._store(rows.hint("rebalance", "business_date"), append_id)
+
+    def _store(self, rows: DataFrame, append_id: str | None) -> str:
         name = append_id or uuid.uuid4().hex
         shaped = rows.select(
             *[
@@ -72,14 +75,13 @@ class Ledger:
             ]
         )
         target = f"{self.root}/append_id={name}"
-        shaped.hint("rebalance", "business_date").write.mode("overwrite").partitionBy("business_date").parquet(target)
+        shaped.write.mode("overwrite").partitionBy("business_date").parquet(target)
         return name
 
     def append_rows(self, rows: list[dict], append_id: str | None = None) -> str:
         """Add a handful of transitions known to the driver, one per table at most."""
         values = [tuple(row.get(f.name) for f in LEDGER_SCHEMA) for row in rows]
-        frame = self.spark.createDataFrame(values, LEDGER_SCHEMA)
-        return self.append(frame, append_id)
+        return self._store(small_frame(self.spark, values, LEDGER_SCHEMA), append_id)
 
     def transitions(self, days: Sequence[date] = ()) -> DataFrame:
         """The log. Naming ``days`` leaves all other date folders unopened."""

@@ -6,28 +6,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# The layout written by functions.columns.run_path: source/table/yyyyMM/dd/run.parquet/<file>.
-_RUN_LAYOUT = r"([^/]+)/([^/]+)/(\d{6})/(\d{2})/([^/]+)\.parquet/[^/]+$"
-
 
 def read_runs(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     """Every row of every run below ``root``, with source, table, business date and run id.
 
-    Give ``schema`` where it is known: else Spark opens files to find it.
+    They are taken from the path, which functions.columns.run_path lays out as
+    source/table/yyyyMM/dd/run.parquet/file. Give ``schema`` where it is known: else Spark opens
+    files to find it.
     """
     reader = spark.read.option("recursiveFileLookup", True)
     rows = (reader.schema(schema) if schema else reader).parquet(root)
-    path = F.col("_metadata.file_path")
+    parts = F.split("_metadata.file_path", "/")
 
-    def part(number: int) -> Column:
-        return F.regexp_extract(path, _RUN_LAYOUT, number)
+    def part(from_end: int) -> Column:
+        return F.get(parts, F.size(parts) - from_end)
 
+    month = part(4)
+    day = F.concat_ws("-", F.substring(month, 1, 4), F.substring(month, 5, 2), part(3))
     return rows.select(
         "*",
-        part(1).alias("run_source"),
-        part(2).alias("run_table"),
-        F.to_date(F.concat(part(3), part(4)), "yyyyMMdd").alias("business_date"),
-        part(5).alias("run_id"),
+        part(6).alias("run_source"),
+        part(5).alias("run_table"),
+        day.try_cast("date").alias("business_date"),
+        F.substring_index(part(2), ".parquet", 1).alias("run_id"),
     )
 
 

@@ -9,7 +9,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,6 +32,19 @@ def new_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """A few rows the driver knows, as a local relation: one partition, and a size Catalyst can see."""
+    shape = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def plain(value, kind):
+        if isinstance(kind, T.StructType) and value is not None:
+            return {f.name: plain(v, f.dataType) for f, v in zip(kind, value)}
+        return value
+
+    table = pa.Table.from_pylist([plain(row, shape) for row in rows], schema=to_arrow_schema(shape))
+    return spark.createDataFrame(table, shape)
+
+
 def exists(spark: SparkSession, pattern: str) -> bool:
     """Whether anything is stored at a path or below a pattern, on whatever file system it names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
