@@ -20,7 +20,7 @@ from loadledger.sinks.runs import output_files, write_batches, write_run
 from loadledger.sources.asof import as_of
 from loadledger.sources.lake import LakeSource
 from loadledger.sources.ranges import range_number
-from loadledger.sources.runs import read_runs
+from loadledger.sources.runs import read_runs, read_sidecars
 from loadledger.work import new_dir, small_frame
 
 DAY = date(1997, 5, 28)
@@ -143,6 +143,18 @@ def partitioned_range_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _ten_day_runs(spark: SparkSession, sf_dir: str) -> tuple[Extractor, list[date]]:
+    """All events, extracted in three windows of ten days."""
+    ledger = Ledger(spark, new_dir(spark, "ledger"))
+    extractor = Extractor(LakeSource(spark, sf_dir), new_dir(spark, "runs"), ledger)
+    window = TableSpec("db", "events", incremental_column="ts", window_hours=240, bootstrap=False)
+    starts = [date(2024, 1, 1), date(2024, 1, 11), date(2024, 1, 21)]
+    extractor.extract_many(
+        [replace(window, extraction_date=start) for start in starts], run_id="backfill"
+    )
+    return extractor, starts
+
+
 @query(
     """
     SELECT CAST(CASE WHEN ts < TIMESTAMP '2024-01-11 00:00:00' THEN DATE '2024-01-01'
@@ -154,15 +166,9 @@ def partitioned_range_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def extract_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three ten-day windows that cover the table, read back by what the paths say about them."""
-    source = LakeSource(spark, sf_dir)
-    root = new_dir(spark, "runs")
-    extractor = Extractor(source, root, Ledger(spark, new_dir(spark, "ledger")))
-    window = TableSpec(
-        "db", "events", incremental_column="ts", window_hours=240, run_id="backfill", bootstrap=False
-    )
-    starts = (date(2024, 1, 1), date(2024, 1, 11), date(2024, 1, 21))
-    extractor.extract_many([replace(window, extraction_date=start) for start in starts])
-    runs = read_runs(spark, root, source.table("events").schema)
+    extractor, _ = _ten_day_runs(spark, sf_dir)
+    schema = extractor.source.table("events").schema
+    runs = read_runs(spark, extractor.root, schema)
     return runs.groupBy("business_date", "run_id").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("n_events")
     )
@@ -175,6 +181,61 @@ def ledger_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.transitions().select("table_key", "business_date", "status", "record_count")
 
 
+@query(
+    """
+    SELECT CAST(CASE WHEN ts < TIMESTAMP '2024-01-11 00:00:00' THEN DATE '2024-01-01'
+                     WHEN ts < TIMESTAMP '2024-01-21 00:00:00' THEN DATE '2024-01-11'
+                     ELSE DATE '2024-01-21' END AS TIMESTAMP) AS window_start,
+           count(*) AS record_count,
+           count(*) + max(CASE WHEN ts >= TIMESTAMP '2024-01-11 00:00:00'
+                                AND ts < TIMESTAMP '2024-01-21 00:00:00' THEN 1 ELSE 0 END) AS stored_records,
+           CASE WHEN min(ts) >= TIMESTAMP '2024-01-11 00:00:00'
+                 AND max(ts) < TIMESTAMP '2024-01-21 00:00:00' THEN 'size_off' ELSE 'valid' END AS verdict
+    FROM events GROUP BY 1
+    """
+)
+def stored_run_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three stored runs checked row by row, after one of them was given a row too many."""
+    extractor, starts = _ten_day_runs(spark, sf_dir)
+    second = extractor.ledger.current([starts[1]]).first().output_path
+    stored = spark.read.parquet(second)
+    newest = stored.agg(*[F.max_by(c, "event_id").alias(c) for c in stored.columns])
+    newest.write.mode("append").parquet(second)
+    checks = [extractor.verify(start) for start in starts]
+    return reduce(DataFrame.unionByName, checks).select(
+        "window_start", "record_count", "stored_records", "verdict"
+    )
+
+
+@query(WITH_C + "SELECT table_key, business_date, seq, record_count FROM c WHERE status = 'completed'")
+def sidecar_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Completed states written as JSON run descriptions, and taken from there into a ledger."""
+    root = new_dir(spark, "sidecars")
+    done = current(spark, sf_dir, "event_ts", "seq", "status", "record_count")
+    parts = F.split("table_key", r"\.")
+    (
+        done.where(F.col("status") == "completed")
+        .select(
+            F.concat(F.lit("s3://lake/"), "table_key").alias("output_path"),
+            "record_count",
+            F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("end_time"),
+            F.lit(True).alias("extraction_complete"),
+            F.struct(
+                parts[0].alias("source_name"),
+                parts[1].alias("table_name"),
+                F.col("business_date").cast("string").alias("extraction_date"),
+                F.col("seq").cast("string").alias("run_id"),
+            ).alias("table_config"),
+        )
+        .write.json(root)
+    )
+    ledger = Ledger(spark, new_dir(spark, "ledger"))
+    ledger.append(read_sidecars(spark, root, "*.json", one_per_file=False))
+    return ledger.current().select(
+        "table_key", "business_date", F.col("run_id").cast("bigint").alias("seq"), "record_count"
+    )
+
+
 @query(
     WITH_C
     + """

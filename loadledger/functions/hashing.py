@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def row_text(names: Sequence[str]) -> Column:
@@ -38,7 +40,23 @@ def fingerprint(names: Sequence[str]) -> Column:
     return F.coalesce(F.sum(bits).cast("string"), F.lit("0"))
 
 
+def hashed_columns(schema: T.StructType) -> list[str]:
+    """Columns that count towards a run's fingerprint; Spark does not hash maps."""
+    return [field.name for field in schema if not isinstance(field.dataType, T.MapType)]
+
+
+def hash_sum(names: Sequence[str]) -> Column:
+    """Aggregate: the sum of Spark's 64-bit row hashes, which stays inside generated code."""
+    hashed = F.xxhash64(*[F.col(name) for name in sorted(names)])
+    return F.coalesce(F.sum(hashed.cast("decimal(28,0)")), F.lit(0).cast("decimal(38,0)"))
+
+
 def quick_fingerprint(names: Sequence[str]) -> Column:
-    """Like :func:`fingerprint` with Spark's own 64-bit hash, for checks that stay inside Spark."""
-    bits = F.xxhash64(*[F.col(name) for name in sorted(names)]).cast("decimal(28,0)")
-    return F.coalesce(F.sum(bits).cast("string"), F.lit("0"))
+    """Like :func:`fingerprint`, for checks that stay inside Spark."""
+    return hash_sum(names).cast("string")
+
+
+def schema_hash(schema: T.StructType) -> str:
+    """One text per set of column names and types, whatever the order of the columns."""
+    fields = sorted(f"{field.name}:{field.dataType.simpleString()}" for field in schema)
+    return hashlib.md5(";".join(fields).encode()).hexdigest()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loadledger.functions.hashing import fingerprint
+from loadledger.functions.hashing import fingerprint, hash_sum, hashed_columns
 from loadledger.functions.windows import in_window
 from loadledger.sources.runs import list_files
 from loadledger.work import small_frame
@@ -99,6 +99,34 @@ def file_manifest(spark: SparkSession, root: str, run_pattern: str, content: boo
     )
 
 
+def run_contents(
+    spark: SparkSession, path: str | list[str], schema: StructType, run_pattern: str
+) -> DataFrame:
+    """Records and fingerprint per stored run, from its rows.
+
+    Files are read in splits and summed up per file first, so size and number of runs do not matter,
+    and the run is looked for in each path once. It agrees with what ``write_run`` saw go by.
+    """
+    columns = hashed_columns(schema)
+    rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+    per_file = rows.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        F.count(F.lit(1)).alias("records"), hash_sum(columns).alias("hashes")
+    )
+    return per_file.groupBy(F.regexp_extract("path", run_pattern, 0).alias("run")).agg(
+        F.sum("records").alias("records"), F.sum("hashes").cast("string").alias("fingerprint")
+    )
+
+
+def changed_types(old: StructType, new: StructType) -> list[str]:
+    """What differs in the types of columns both schemas have. Added and removed columns are fine."""
+    before = {field.name: field.dataType.simpleString() for field in old}
+    return [
+        f"column {field.name} changed from {before[field.name]} to {field.dataType.simpleString()}"
+        for field in new
+        if before.get(field.name, field.dataType.simpleString()) != field.dataType.simpleString()
+    ]
+
+
 def verdict(
     recorded: Column,
     actual: Column,
@@ -111,7 +139,7 @@ def verdict(
     ``actual`` is NULL when there is no output. Amounts may be bytes or rows. Hashes are compared
     when both are known.
     """
-    off = F.abs(actual - recorded) / recorded > tolerance
+    off = F.try_divide(F.abs(actual - recorded), recorded) > tolerance
     changed = F.lit(False)
     if recorded_hash is not None and actual_hash is not None:
         changed = F.coalesce(recorded_hash != actual_hash, F.lit(False))

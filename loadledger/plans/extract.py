@@ -2,26 +2,32 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loadledger.functions.columns import is_running
-from loadledger.operators.quality import verdict
+from loadledger.functions.hashing import schema_hash
+from loadledger.operators.quality import changed_types, run_contents, verdict
 from loadledger.operators.state import decide
-from loadledger.plans.spec import TableSpec, first_runs, read_spec
+from loadledger.plans.spec import TableSpec, read_spec
 from loadledger.sinks.ledger import IDENTITY, Ledger
 from loadledger.sinks.runs import write_run
 from loadledger.sources.runs import list_files
 from loadledger.work import exists, small_frame
 
+# A run within any path: source/table/yyyyMM/dd/run.parquet.
+RUN = r"[^/]+/[^/]+/\d{6}/\d{2}/[^/]+\.parquet"
 OUTCOME_COLUMNS = "table_key STRING, success BOOLEAN, skipped BOOLEAN, record_count BIGINT, error STRING"
 
 
@@ -49,7 +55,13 @@ class Extractor:
     """
 
     def __init__(
-        self, source, root: str, ledger: Ledger, max_retries: int = 3, concurrent_tables: int = 8
+        self,
+        source,
+        root: str,
+        ledger: Ledger,
+        max_retries: int = 3,
+        concurrent_tables: int = 8,
+        allow_type_changes: bool = False,
     ):
         self.source = source
         self.root = root.rstrip("/")
@@ -57,6 +69,7 @@ class Extractor:
         self.spark = ledger.spark
         self.max_retries = max_retries
         self.concurrent_tables = concurrent_tables
+        self.allow_type_changes = allow_type_changes
 
     def extract(self, spec: TableSpec, force: bool = False) -> Outcome:
         return self._run([spec], force, None)[0]
@@ -82,8 +95,7 @@ class Extractor:
         )
         days = sorted({s.day for s in specs})
         state = self.ledger.current(days).drop("business_date")
-        first = first_runs(requested, self.ledger.succeeded_tables())
-        run = F.regexp_extract("output_path", r"([^/]+/[^/]+/\d{6}/\d{2}/[^/]+\.parquet)$", 1)
+        run = F.regexp_extract("output_path", RUN, 0)
         status = F.col("status")
         rows = (
             requested.join(state, list(IDENTITY), "left")
@@ -92,7 +104,9 @@ class Extractor:
             # A row that still says running was left behind by an attempt that died.
             .withColumn("status", F.when(is_running(status), "pending").otherwise(status))
             .join(self._stored_sizes(days), "run", "left")
-            .join(first.select("position", F.lit(True).alias("first")), "position", "left")
+            .join(
+                self.ledger.succeeded_tables().withColumn("succeeded", F.lit(True)), "table_key", "left"
+            )
         )
         empty = F.coalesce(F.col("record_count") == 0, F.lit(False))
         stored = verdict(F.col("file_size_bytes"), F.col("stored_bytes"))
@@ -111,7 +125,8 @@ class Extractor:
             "needed",
             "reason",
             "next_status",
-            F.coalesce("first", F.lit(False)).alias("first"),
+            F.col("succeeded").isNull().alias("first"),
+            "schema_json",
             F.coalesce("record_count", F.lit(0)).alias("record_count"),
             "known",
         )
@@ -119,7 +134,7 @@ class Extractor:
     def _stored_sizes(self, days) -> DataFrame:
         """Bytes per run for the given business dates, from one listing of only their folders."""
         named = ",".join(day.strftime("%Y%m/%d") for day in days)
-        run = F.regexp_extract("path", r"([^/]+/[^/]+/\d{6}/\d{2}/[^/]+\.parquet)/[^/]+$", 1)
+        run = F.regexp_extract("path", RUN, 0)
         folders = f"{self.root}/*/*/{{{named}}}"
         if not exists(self.spark, folders):
             return small_frame(self.spark, [], "run STRING, stored_bytes BIGINT")
@@ -159,7 +174,10 @@ class Extractor:
                 done[i] = Outcome(row.table_key, ok, True, count, None if ok else row.reason)
         with ThreadPoolExecutor(max_workers=self.concurrent_tables) as pool:
             attempt = inheritable_thread_target(self.spark)(self._attempt)
-            futures = {i: pool.submit(attempt, specs[i], run_ids[i], i in whole) for i in work}
+            futures = {
+                i: pool.submit(attempt, specs[i], run_ids[i], i in whole, plan[i].schema_json)
+                for i in work
+            }
             done.update({i: future.result() for i, future in futures.items()})
         return [done[i] for i in range(len(specs))]
 
@@ -172,16 +190,24 @@ class Extractor:
                 chosen.setdefault(specs[i].key, i)
         return set(chosen.values())
 
-    def _attempt(self, spec: TableSpec, run_id: str, bootstrap: bool) -> Outcome:
+    def _attempt(
+        self, spec: TableSpec, run_id: str, bootstrap: bool, last_schema: str | None
+    ) -> Outcome:
         began = time.monotonic()
         try:
             path = self.path_of(spec, run_id)
             rows = read_spec(self.source, spec, bootstrap)
+            if last_schema and not self.allow_type_changes:
+                changes = changed_types(StructType.fromJson(json.loads(last_schema)), rows.schema)
+                if changes:
+                    raise ValueError("; ".join(changes))
             written = write_run(rows, path, pack=spec.is_windowed and not bootstrap)
             size = list_files(self.spark, path, "*.parquet").agg(F.sum("length")).first()[0]
             facts = {
                 "record_count": written.records,
                 "fingerprint": written.fingerprint,
+                "schema_hash": schema_hash(rows.schema),
+                "schema_json": rows.schema.json(),
                 "file_size_bytes": size or 0,
                 "output_path": path if written.records else None,
             }
@@ -192,6 +218,42 @@ class Extractor:
         self._record(spec, "completed", run_id, began, **facts)
         return Outcome(spec.key, True, False, written.records, None)
 
+    def verify(self, day: date) -> DataFrame:
+        """What every completed run of one business date is worth, judged by the rows it holds now.
+
+        Tables differ in their columns, so each is summed up by a query of its own; one union runs
+        them all.
+        """
+        state = self.ledger.current([day]).where(F.col("status") == "completed")
+        runs = state.where(F.col("output_path").isNotNull())
+        shapes = self.ledger.transitions([day]).select("output_path", "schema_json").distinct()
+        listed = runs.join(shapes, "output_path").select("output_path", "schema_json").collect()
+        stored = [
+            run_contents(
+                self.spark, row.output_path, StructType.fromJson(json.loads(row.schema_json)), RUN
+            )
+            for row in listed
+            if exists(self.spark, f"{row.output_path}/*.parquet")
+        ]
+        nothing = small_frame(self.spark, [], "run STRING, records BIGINT, fingerprint STRING")
+        found = reduce(DataFrame.unionByName, stored, nothing).withColumnsRenamed(
+            {"records": "stored_records", "fingerprint": "stored_fingerprint"}
+        )
+        checked = verdict(
+            F.col("record_count"),
+            F.col("stored_records"),
+            F.col("fingerprint"),
+            F.col("stored_fingerprint"),
+            tolerance=0.0,
+        )
+        empty = F.col("record_count") == 0
+        return (
+            state.withColumn("run", F.regexp_extract("output_path", RUN, 0))
+            .join(found, "run", "left")
+            .withColumn("verdict", F.when(empty, "valid").otherwise(checked))
+            .select(*IDENTITY, "run_id", "record_count", "stored_records", "verdict")
+        )
+
     def path_of(self, spec: TableSpec, run_id: str) -> str:
         day = spec.day.strftime("%Y%m/%d")
         table = f"{spec.schema_name}.{spec.table_name}" if spec.schema_name else spec.table_name

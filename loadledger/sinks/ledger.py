@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadledger.operators.state import fold, is_retained
+from loadledger.operators.state import ORDER, fold, is_retained
 from loadledger.work import exists, small_frame
 
 _STRING, _LONG, _NTZ = T.StringType(), T.LongType(), T.TimestampNTZType()
@@ -42,6 +42,8 @@ LEDGER_SCHEMA = (
     .add("file_size_bytes", _LONG)
     .add("output_path", _STRING)
     .add("fingerprint", _STRING)
+    .add("schema_hash", _STRING)
+    .add("schema_json", _STRING)
     .add("error_message", _STRING)
     .add("duration_seconds", T.DoubleType())
     .add("spec", SPEC_SCHEMA)
@@ -100,9 +102,10 @@ class Ledger:
         )
 
     def succeeded_tables(self) -> DataFrame:
-        """Keys of the tables that completed at least once, for whatever window."""
+        """Tables that completed at least once, for whatever window, with the schema of last time."""
         done = self.transitions().where(F.col("status") == "completed")
-        return done.select("table_key").distinct()
+        schema = F.max_by("schema_json", F.struct(*ORDER)).alias("schema_json")
+        return done.groupBy("table_key").agg(schema)
 
     def reopen(self, chosen: DataFrame) -> str:
         """Make states pending again, by further transitions: forced tables, or failures to retry.

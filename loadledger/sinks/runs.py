@@ -6,9 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from loadledger.functions.hashing import quick_fingerprint
+from loadledger.functions.hashing import hashed_columns, quick_fingerprint
 
 
 @dataclass(frozen=True)
@@ -19,11 +18,6 @@ class Written:
     fingerprint: str
 
 
-def hashed_columns(schema: T.StructType) -> list[str]:
-    """Columns that count towards a run's fingerprint; Spark does not hash maps."""
-    return [field.name for field in schema if not isinstance(field.dataType, T.MapType)]
-
-
 def write_run(
     df: DataFrame, path: str, rows_per_file: int = 500_000, pack: bool = False
 ) -> Written:

@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from loadledger.functions.columns import parse_iso, table_key
+from loadledger.functions.windows import window_end, window_start
+
 
 def read_runs(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     """Every row of every run below ``root``, with source, table, business date and run id.
@@ -32,6 +35,83 @@ def read_runs(spark: SparkSession, root: str, schema: StructType | None = None)
     )
 
 
+def read_sidecars(
+    spark: SparkSession, root: str, pattern: str = "*_metadata.json", one_per_file: bool = True
+) -> DataFrame:
+    """JSON run descriptions kept beside their data, as ledger rows ready for ``Ledger.append``.
+
+    Descriptions that do not say they are complete are left out. Files with one description per line
+    can be split between tasks; say so by clearing ``one_per_file``.
+    """
+    shape = (
+        "output_path STRING, record_count BIGINT, start_time STRING, end_time STRING, "
+        "duration_seconds DOUBLE, file_size_bytes BIGINT, checksum STRING, "
+        "extraction_complete BOOLEAN, table_config STRUCT<source_name STRING, table_name STRING, "
+        "schema_name STRING, incremental_column STRING, extraction_date STRING, "
+        "is_full_extract BOOLEAN, custom_query STRING, run_id STRING>"
+    )
+    found = (
+        spark.read.schema(shape)
+        .option("multiLine", one_per_file)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .json(root)
+        .where("extraction_complete")
+    )
+    spec = F.col("table_config")
+    day = parse_iso(spec["extraction_date"])
+    ended = parse_iso(F.col("end_time"))
+    return found.select(
+        F.unix_micros(ended.cast("timestamp")).alias("seq"),
+        table_key(spec["source_name"], spec["schema_name"], spec["table_name"]).alias("table_key"),
+        F.to_date(day).alias("business_date"),
+        window_start(day).alias("window_start"),
+        window_end(day).alias("window_end"),
+        ended.alias("event_ts"),
+        F.lit("completed").alias("status"),
+        spec["run_id"].alias("run_id"),
+        "record_count",
+        "file_size_bytes",
+        F.when(F.col("record_count") > 0, F.col("output_path")).alias("output_path"),
+        "duration_seconds",
+    )
+
+
+def read_state_files(spark: SparkSession, root: str, pattern: str = "pipeline_*.json") -> DataFrame:
+    """JSON state files of earlier runs, one per run with all its tables, as ledger rows."""
+    shape = (
+        "pipeline STRUCT<run_id STRING, extraction_date STRING>, "
+        "extractions MAP<STRING, STRUCT<status STRING, run_id STRING, extraction_date STRING, "
+        "start_time STRING, end_time STRING, record_count BIGINT, file_size_bytes BIGINT, "
+        "output_path STRING, error_message STRING>>, metadata STRUCT<saved_at STRING>"
+    )
+    files = (
+        spark.read.schema(shape)
+        .option("multiLine", True)
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern)
+        .json(root)
+    )
+    states = files.select("pipeline", "metadata", F.explode("extractions").alias("table_key", "s"))
+    day = parse_iso(F.coalesce("s.extraction_date", "pipeline.extraction_date"))
+    known = F.coalesce("s.end_time", "s.start_time", "metadata.saved_at")
+    moment = parse_iso(known)
+    return states.select(
+        F.unix_micros(moment.cast("timestamp")).alias("seq"),
+        "table_key",
+        F.to_date(day).alias("business_date"),
+        window_start(day).alias("window_start"),
+        window_end(day).alias("window_end"),
+        moment.alias("event_ts"),
+        "s.status",
+        F.coalesce("s.run_id", "pipeline.run_id").alias("run_id"),
+        "s.record_count",
+        "s.file_size_bytes",
+        "s.output_path",
+        "s.error_message",
+    )
+
+
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """One row per file below ``root``: path, length and content.
 

@@ -11,7 +11,7 @@ from loadledger.functions.hashing import quick_fingerprint
 from loadledger.operators import progress
 from loadledger.operators.state import reset_failed
 from loadledger.plans.spec import load_specs
-from loadledger.sources.runs import read_runs
+from loadledger.sources.runs import read_runs, read_sidecars, read_state_files
 from loadledger.work import new_dir
 
 DAY = date(1997, 5, 28)
@@ -229,3 +229,85 @@ def test_specs_are_checked_when_loaded(spark, tmp_path):
         "extraction_date is not a date",
         "incremental_column is required for incremental extraction",
     ]
+
+
+def test_a_changed_type_fails_and_new_columns_do_not(spark, tmp_path):
+    ledger = Ledger(spark, new_dir(spark, "ledger"))
+    extractor = Extractor(LakeSource(spark, str(tmp_path)), new_dir(spark, "runs"), ledger)
+
+    def run(day, **columns):
+        rows = spark.range(3).select(*[F.lit(v).alias(name) for name, v in columns.items()])
+        rows.write.mode("overwrite").parquet(f"{tmp_path}/t.parquet")
+        return extractor.extract(
+            TableSpec("db", "t", is_full_extract=True, extraction_date=date(2024, 1, day))
+        )
+
+    assert run(1, id=1, name="x").success
+    assert run(2, id=1, name="x", phone="y").success
+    assert run(3, id=1, phone="y").success
+    failed = run(4, id="1", phone="y")
+    assert not failed.success and failed.error == "column id changed from int to string"
+    extractor.allow_type_changes = True
+    assert run(4, id="1", phone="y").success
+
+
+def test_verification_reads_the_rows(spark, extractor):
+    extractor.extract_many([full("nation"), full("region"), full("supplier"), full("part")]).collect()
+    paths = {key: row.output_path for key, row in states(extractor).items()}
+    spark.read.parquet(paths["db.nation"]).limit(3).write.mode("append").parquet(paths["db.nation"])
+    renamed = spark.read.parquet(paths["db.region"]).withColumn("r_name", F.reverse("r_name")).collect()
+    schema = spark.read.parquet(paths["db.region"]).schema
+    spark.createDataFrame(renamed, schema).write.mode("overwrite").parquet(paths["db.region"])
+    gone = spark._jvm.org.apache.hadoop.fs.Path(paths["db.part"])
+    gone.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(gone, True)
+    verdicts = {row.table_key: row.verdict for row in extractor.verify(DAY).collect()}
+    assert verdicts == {
+        "db.nation": "size_off",
+        "db.region": "content_changed",
+        "db.supplier": "valid",
+        "db.part": "missing",
+    }
+
+
+def test_earlier_runs_are_taken_over_from_json(spark, tmp_path):
+    run = {
+        "output_path": "/lake/s/t/202401/05/r1.parquet",
+        "record_count": 7,
+        "start_time": "2024-01-06T01:00:00",
+        "end_time": "2024-01-06T01:02:03.5",
+        "duration_seconds": 123.5,
+        "file_size_bytes": 99,
+        "checksum": "abc",
+        "table_config": {
+            "source_name": "s",
+            "table_name": "t",
+            "schema_name": None,
+            "extraction_date": "2024-01-05T08:30:00",
+            "run_id": "r1",
+        },
+        "extraction_complete": True,
+    }
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "r1_metadata.json").write_text(json.dumps(run, indent=2))
+    (tmp_path / "s" / "r2_metadata.json").write_text(json.dumps({**run, "extraction_complete": False}))
+    state = {
+        "pipeline": {"run_id": "p1", "extraction_date": "2024-01-05T00:00:00"},
+        "extractions": {
+            "s.u": {"status": "failed", "end_time": "2024-01-06T02:00:00", "error_message": "no route"},
+            "s.v": {"status": "pending"},
+        },
+        "metadata": {"saved_at": "2024-01-06T03:00:00"},
+    }
+    (tmp_path / "pipeline_p1.json").write_text(json.dumps(state, indent=2))
+    ledger = Ledger(spark, new_dir(spark, "ledger"))
+    ledger.append(read_sidecars(spark, str(tmp_path)))
+    ledger.append(read_state_files(spark, str(tmp_path)))
+    rows = {row.table_key: row for row in ledger.current().collect()}
+    assert {key: row.status for key, row in rows.items()} == {
+        "s.t": "completed",
+        "s.u": "failed",
+        "s.v": "pending",
+    }
+    assert rows["s.t"].window_start == datetime(2024, 1, 5)
+    assert (rows["s.t"].record_count, rows["s.t"].run_id) == (7, "r1")
+    assert rows["s.u"].error_message == "no route" and rows["s.v"].run_id == "p1"
