@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from loadledger.catalog.registry import query
 from loadledger.catalog.tables import (
+    LOG_KEY,
     ORDER,
     RUN_KEY,
     WITH_C,
@@ -14,8 +15,10 @@ from loadledger.catalog.tables import (
     WITH_X,
     current,
     folded,
+    log,
+    named,
+    states,
     statuses,
-    transitions,
 )
 from loadledger.functions.columns import run_id_text, run_path
 from loadledger.operators import progress
@@ -57,8 +60,8 @@ def status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def extraction_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = folded(spark, sf_dir).withColumn("source", F.substring_index("table_key", ".", 1))
-    return progress.summary(states, ["source"])
+    by_source = folded(spark, sf_dir).withColumn("source", F.substring_index("table_key", ".", 1))
+    return progress.summary(by_source, ["source"])
 
 
 @query(
@@ -104,13 +107,13 @@ def run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def run_table_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.table_lists(statuses(spark, sf_dir), ["business_date"], chunk=50)
+    return progress.table_lists(named(statuses(spark, sf_dir)), ["business_date"], chunk=50)
 
 
 @query(WITH_C + "SELECT DISTINCT business_date, table_key FROM c WHERE status = 'completed'")
 def completed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = statuses(spark, sf_dir).where(F.col("status") == "completed")
-    return done.select("business_date", "table_key").distinct()
+    return named(done.select(*LOG_KEY).distinct())
 
 
 @query(
@@ -135,7 +138,7 @@ def run_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs are expected from noon on: a table still running from the morning is out of its window."""
     noon = F.col("business_date").cast("timestamp_ntz") + F.make_interval(hours=F.lit(12))
     early = (F.col("last_ts") < noon) & (F.col("status") == "running")
-    return progress.findings(folded(spark, sf_dir), ["business_date"], early)
+    return progress.findings(states(spark, sf_dir), ["business_date"], early)
 
 
 @query(
@@ -148,8 +151,8 @@ def run_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def retry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbered = progress.start_numbers(transitions(spark, sf_dir), "table_key", list(ORDER))
-    return numbered.select("table_key", "seq", "attempt", "retry_count")
+    numbered = progress.start_numbers(log(spark, sf_dir), "user_id", list(ORDER))
+    return named(numbered).select("table_key", "seq", "attempt", "retry_count")
 
 
 @query(
@@ -161,7 +164,7 @@ def retry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def restart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.restarts(transitions(spark, sf_dir), "table_key", "business_date")
+    return named(progress.restarts(log(spark, sf_dir), "user_id", "business_date"))
 
 
 @query(
@@ -172,7 +175,7 @@ def restart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def recent_runs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.recent_runs(transitions(spark, sf_dir), "business_date", 10)
+    return progress.recent_runs(log(spark, sf_dir), "business_date", 10)
 
 
 @query(
@@ -190,8 +193,8 @@ def recent_runs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def complete_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every date, where the newest successful run of each table is stored."""
-    done = transitions(spark, sf_dir).where(F.col("status") == "completed")
-    newest = latest(done.select(*RUN_KEY, *ORDER), RUN_KEY, ORDER)
+    done = log(spark, sf_dir).where(F.col("status") == "completed")
+    newest = named(latest(done.select(*LOG_KEY, *ORDER), LOG_KEY, ORDER))
     part = F.split("table_key", r"\.")
     moment = F.col("event_ts")
     path = run_path("s3://lake", part[0], part[1], moment, run_id_text(moment))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loadledger.catalog.registry import query
 from loadledger.catalog.tables import (
     LAST_DAY,
+    LOG_KEY,
     ORDER,
     RUN_KEY,
     WITH_C,
@@ -19,9 +20,11 @@ from loadledger.catalog.tables import (
     WITH_X,
     folded,
     load,
+    log,
+    named,
     requested,
+    states,
     statuses,
-    transitions,
 )
 from loadledger.functions.windows import same_day
 from loadledger.operators import state
@@ -39,7 +42,7 @@ TODAY = date(2024, 1, 31)
     """
 )
 def pending_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.pending(requested(spark, sf_dir), statuses(spark, sf_dir), RUN_KEY)
+    return named(state.pending(requested(spark, sf_dir), statuses(spark, sf_dir), LOG_KEY))
 
 
 @query(
@@ -50,7 +53,7 @@ def pending_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def already_done_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.already_done(requested(spark, sf_dir), statuses(spark, sf_dir), RUN_KEY)
+    return named(state.already_done(requested(spark, sf_dir), statuses(spark, sf_dir), LOG_KEY))
 
 
 @query(
@@ -61,7 +64,7 @@ def already_done_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def state_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.lookup(requested(spark, sf_dir), statuses(spark, sf_dir), RUN_KEY)
+    return named(state.lookup(requested(spark, sf_dir), statuses(spark, sf_dir), LOG_KEY))
 
 
 @query(
@@ -82,7 +85,7 @@ def resume_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = statuses(spark, sf_dir).where(
         F.col("business_date") <= F.lit(date(2024, 1, 15))
     )
-    return state.resume(known, requested(spark, sf_dir), RUN_KEY)
+    return named(state.resume(known, requested(spark, sf_dir), LOG_KEY))
 
 
 @query(
@@ -99,7 +102,7 @@ def resume_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def todo_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return state.todo(requested(spark, sf_dir), statuses(spark, sf_dir), RUN_KEY)
+    return named(state.todo(requested(spark, sf_dir), statuses(spark, sf_dir), LOG_KEY))
 
 
 @query(
@@ -146,17 +149,16 @@ def transition_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def extraction_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every requested table and day; the values of its events say how its stored output looks."""
-    top = load(spark, sf_dir, "events").select(
-        F.concat(F.lit("src"), F.col("user_id") % 5, F.lit(".tbl"), "user_id").alias("table_key"),
-        F.to_date("ts").alias("business_date"),
-        "value",
+    values = load(spark, sf_dir, "events").select(
+        "user_id", F.to_date("ts").alias("business_date"), "value"
     )
-    evidence = top.groupBy(*RUN_KEY).agg(F.floor(F.max("value")).alias("top"))
-    states = folded(spark, sf_dir).join(evidence, list(RUN_KEY))
+    evidence = values.groupBy(*LOG_KEY).agg(F.floor(F.max("value")).alias("top"))
+    known = states(spark, sf_dir).join(evidence, list(LOG_KEY))
+    rows = named(state.lookup(requested(spark, sf_dir), known, LOG_KEY))
     count = F.col("record_count")
     actual = F.when(F.col("top") < 15, None).when(F.col("top") > 45, count * 2 + 1).otherwise(count)
     judged = state.decide(
-        state.lookup(requested(spark, sf_dir), states, RUN_KEY),
+        rows,
         status=F.col("status"),
         forced=F.col("table_key").startswith("src3."),
         verdict=verdict(count, actual),
@@ -184,7 +186,7 @@ def extraction_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def table_extraction_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One state per table against the last day: success for an earlier day is out of date."""
-    last = state.fold(transitions(spark, sf_dir), ["table_key"])
+    last = named(state.fold(log(spark, sf_dir), ["user_id"], carried=()))
     judged = state.decide(
         last,
         status=F.col("status"),
@@ -254,11 +256,11 @@ def reset_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """States of days 1 to 20, renewed by the transitions of days 11 to 30."""
-    log = transitions(spark, sf_dir).select(*RUN_KEY, *ORDER, "status")
+    rows = log(spark, sf_dir).select(*LOG_KEY, *ORDER, "status")
     day = F.col("business_date")
-    base = latest(log.where(day <= F.lit(date(2024, 1, 20))), RUN_KEY, ORDER)
-    updates = latest(log.where(day > F.lit(date(2024, 1, 10))), RUN_KEY, ORDER)
-    return state.upsert(base, updates, RUN_KEY).select(*RUN_KEY, "seq", "status")
+    base = latest(rows.where(day <= F.lit(date(2024, 1, 20))), LOG_KEY, ORDER)
+    updates = latest(rows.where(day > F.lit(date(2024, 1, 10))), LOG_KEY, ORDER)
+    return named(state.upsert(base, updates, LOG_KEY).select(*LOG_KEY, "seq", "status"))
 
 
 @query(

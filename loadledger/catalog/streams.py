@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.catalog.registry import query
-from loadledger.catalog.tables import ORDER, WITH_X, as_transitions, load
+from loadledger.catalog.tables import ORDER, WITH_X, as_log, load, named
 from loadledger.streaming import daily, ingest, live
 from loadledger.work import new_dir
 
@@ -55,6 +55,6 @@ def stream_daily_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, checkpoint = new_dir(spark, "states"), new_dir(spark, "progress")
-    log = as_transitions(_events(spark, sf_dir)).select("table_key", *ORDER, "status")
-    live.follow_states(log, ["table_key"], list(ORDER), root, checkpoint).awaitTermination()
-    return live.live_states(spark, root, ["table_key"]).select("table_key", "seq", "status")
+    rows = as_log(_events(spark, sf_dir)).select("user_id", *ORDER, "status")
+    live.follow_states(rows, ["user_id"], list(ORDER), root, checkpoint).awaitTermination()
+    return named(live.live_states(spark, root, ["user_id"])).select("table_key", "seq", "status")

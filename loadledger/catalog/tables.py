@@ -12,6 +12,7 @@ from loadledger.operators.state import due_every_day, fold
 from loadledger.sources.lake import LakeSource
 
 RUN_KEY = ("table_key", "business_date")
+LOG_KEY = ("user_id", "business_date")
 ORDER = ("event_ts", "seq")
 LAST_DAY = date(2024, 1, 30)
 
@@ -29,46 +30,67 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return LakeSource(spark, sf_dir).table(name)
 
 
-def as_transitions(events: DataFrame) -> DataFrame:
-    """Each event read as one ledger transition of one table."""
+def as_log(events: DataFrame) -> DataFrame:
+    """Each event read as one ledger transition of one table, with the table still a number.
+
+    Keys and counts become what they stand for in :func:`named`, once few rows are left: building
+    text keys and parsing JSON for every event would cost more than the aggregates themselves.
+    """
     status = F.lit(None).cast("string")
     for event, word in STATUS_OF_EVENT.items():
         status = F.when(F.col("event_type") == event, word).otherwise(status)
-    user = F.col("user_id")
     return events.select(
         F.col("event_id").alias("seq"),
-        F.concat(F.lit("src"), user % 5, F.lit(".tbl"), user).alias("table_key"),
+        "user_id",
         F.to_date("ts").alias("business_date"),
         F.col("ts").alias("event_ts"),
         status.alias("status"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("record_count"),
+        "props",
     )
 
 
+def named(rows: DataFrame) -> DataFrame:
+    """Table keys in place of numbers, and record counts in place of their JSON."""
+    user = F.col("user_id")
+    key = F.concat(F.lit("src"), user % 5, F.lit(".tbl"), user).alias("table_key")
+    count = F.get_json_object("props", "$.k").cast("bigint").alias("record_count")
+    others = [name for name in rows.columns if name not in ("user_id", "props")]
+    return rows.select(key, *others, *([count] if "props" in rows.columns else []))
+
+
+def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_log(load(spark, sf_dir, "events"))
+
+
 def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_transitions(load(spark, sf_dir, "events"))
+    return named(log(spark, sf_dir))
 
 
 def current(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The latest transition per table and date, with the named columns."""
-    needed = dict.fromkeys([*RUN_KEY, *ORDER, *columns])
-    log = transitions(spark, sf_dir).select(*needed)
-    return latest(log, RUN_KEY, ORDER).select(*dict.fromkeys([*RUN_KEY, *columns]))
+    wanted = ["props" if name == "record_count" else name for name in columns]
+    rows = log(spark, sf_dir).select(*dict.fromkeys([*LOG_KEY, *ORDER, *wanted]))
+    return named(latest(rows, LOG_KEY, ORDER)).select(*RUN_KEY, *columns)
+
+
+def states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folded log, one row per numbered table and date."""
+    return fold(log(spark, sf_dir), LOG_KEY, carried=("props",))
 
 
 def folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fold(transitions(spark, sf_dir), RUN_KEY)
+    return named(states(spark, sf_dir))
 
 
 def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest status per table and date."""
-    return folded(spark, sf_dir).select(*RUN_KEY, "status")
+    """The latest status per numbered table and date."""
+    return states(spark, sf_dir).select(*LOG_KEY, "status")
 
 
 def requested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every table is due daily, from the first day it was seen on."""
-    log = transitions(spark, sf_dir)
-    first = log.groupBy("table_key").agg(F.min("business_date").alias("first_day"))
+    """Every numbered table is due daily, from the first day it was seen on."""
+    rows = log(spark, sf_dir)
+    first = rows.groupBy("user_id").agg(F.min("business_date").alias("first_day"))
     return due_every_day(first, "first_day", LAST_DAY)
 
 

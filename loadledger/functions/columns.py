@@ -59,13 +59,16 @@ def iso_text(ts: Column) -> Column:
 
 def parse_iso(text: Column) -> Column:
     """ISO text to an instant; a trailing Z means UTC. Text that is no timestamp gives NULL."""
-    offset = F.regexp_replace(text, "Z$", "+00:00")
-    return F.try_to_timestamp(offset).cast("timestamp_ntz")
+    return text.try_cast("timestamp").cast("timestamp_ntz")
 
 
 def parse_day(text: Column) -> Column:
-    """Year-month-day text to a date; other layouts and impossible dates give NULL."""
-    return F.try_to_date(text, "yyyy-M-d")
+    """Year-month-day text to a date; other layouts and impossible dates give NULL.
+
+    A cast tells impossible dates by a value, where a date pattern would raise and catch an error for
+    every bad row. The pattern here only keeps out what a cast takes besides.
+    """
+    return F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text.try_cast("date"))
 
 
 def storage_path(path: Column, mount: str = "/dbfs") -> Column:

@@ -20,8 +20,8 @@ def row_text(names: Sequence[str]) -> Column:
 
     def field(name: str) -> Column:
         value = F.col(name).cast("string")
-        shown = F.concat_ws(":", F.length(value).cast("string"), value)
-        return F.concat(F.lit(f"{name}="), F.when(value.isNull(), F.lit("~")).otherwise(shown))
+        shown = F.concat(F.lit(f"{name}="), F.length(value).cast("string"), F.lit(":"), value)
+        return F.coalesce(shown, F.lit(f"{name}=~"))
 
     return F.concat_ws(";", *[field(name) for name in sorted(names)])
 
@@ -33,11 +33,29 @@ def row_hash(names: Sequence[str]) -> Column:
 def fingerprint(names: Sequence[str]) -> Column:
     """Aggregate: the sum of 60 bits of every row's MD5, as text. Row order does not matter.
 
-    A decimal sum cannot overflow at any row count Spark can hold, and it is combined map-side,
-    so only one number per group and task is shuffled.
+    It is combined map-side, so only a few numbers per group and task are shuffled.
     """
-    bits = F.conv(F.substring(row_hash(names), 1, 15), 16, 10).cast("decimal(28,0)")
-    return F.coalesce(F.sum(bits).cast("string"), F.lit("0"))
+    bits = F.conv(F.substring(row_hash(names), 1, 15), 16, 10).cast("bigint")
+    return wide_sum(bits).cast("string")
+
+
+def wide_sum(bits: Column) -> Column:
+    """Aggregate: the sum of 64-bit patterns read as unsigned numbers, 0 for no rows.
+
+    Each pattern is cut into pieces of 21 or 22 bits and the pieces are added up as longs, which
+    costs less than a decimal sum and holds for 2 trillion rows.
+    """
+    piece = 2**21 - 1
+    sums = (
+        (F.shiftrightunsigned(bits, 42), 2**42),
+        (F.shiftrightunsigned(bits, 21).bitwiseAND(piece), 2**21),
+        (bits.bitwiseAND(piece), 1),
+    )
+    total = F.lit(0).cast("decimal(38,0)")
+    for part, worth in sums:
+        scaled = F.coalesce(F.sum(part), F.lit(0)).cast("decimal(20,0)") * F.lit(worth)
+        total = (total + scaled).cast("decimal(38,0)")
+    return total
 
 
 def hashed_columns(schema: T.StructType) -> list[str]:
@@ -47,8 +65,7 @@ def hashed_columns(schema: T.StructType) -> list[str]:
 
 def hash_sum(names: Sequence[str]) -> Column:
     """Aggregate: the sum of Spark's 64-bit row hashes, which stays inside generated code."""
-    hashed = F.xxhash64(*[F.col(name) for name in sorted(names)])
-    return F.coalesce(F.sum(hashed.cast("decimal(28,0)")), F.lit(0).cast("decimal(38,0)"))
+    return wide_sum(F.xxhash64(*[F.col(name) for name in sorted(names)]))
 
 
 def quick_fingerprint(names: Sequence[str]) -> Column:

@@ -17,15 +17,15 @@ def fold(
     log: DataFrame,
     keys: Sequence[str],
     order: Sequence[str] = ORDER,
-    carried: Sequence[str] = (),
+    carried: Sequence[str] = ("record_count",),
     last: Sequence[str] = (),
 ) -> DataFrame:
     """Replay transitions to one state per key.
 
-    Gives the last status, when the last start and the last end happened, the records of the last
-    end, and how often the key was started again. ``carried`` columns come from the last end too,
-    ``last`` columns from the last transition of any kind. The first column of ``order`` is a
-    timestamp, the others break its ties.
+    Gives the last status, when the last start and the last end happened, and how often the key was
+    started again. ``carried`` columns come from the last end, ``last`` columns from the last
+    transition of any kind; text that is slow to parse is better carried and parsed afterwards. The
+    first column of ``order`` is a timestamp, the others break its ties.
 
     It is one aggregate with map-side combining, so a long history of one key does not pile up in a
     task.
@@ -41,7 +41,6 @@ def fold(
         F.min(started_at).alias("first_start_ts"),
         F.max(started_at).alias("start_ts"),
         F.max(F.when(ended, ts)).alias("end_ts"),
-        F.max_by("record_count", at_end).alias("record_count"),
         F.greatest(F.count_if(is_running(status)) - 1, F.lit(0)).alias("retry_count"),
         *[F.max_by(name, at_end).alias(name) for name in carried],
         *[F.max_by(name, moment).alias(name) for name in last],

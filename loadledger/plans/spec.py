@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadledger.functions.columns import parse_day
 from loadledger.functions.windows import day_bounds, rows_between
 from loadledger.operators.quality import is_blank, quarantine
 from loadledger.sinks.ledger import SPEC_SCHEMA
@@ -108,7 +109,7 @@ def load_specs(spark: SparkSession, path: str) -> tuple[list[TableSpec], DataFra
         "extraction_date STRING, is_full_extract BOOLEAN, custom_query STRING, run_id STRING"
     )
     listed = spark.read.schema(kinds).option("multiLine", True).json(path)
-    parsed = F.try_to_date("extraction_date", "yyyy-M-d")
+    parsed = parse_day(F.col("extraction_date"))
     rules = spec_rules()
     rules["extraction_date is not a date"] = F.col("extraction_date").isNotNull() & parsed.isNull()
     good, bad = quarantine(listed, rules)

@@ -97,7 +97,13 @@ class Ledger:
         return fold(
             self.transitions(days),
             (*IDENTITY, "business_date"),
-            carried=("output_path", "fingerprint", "file_size_bytes", "error_message"),
+            carried=(
+                "record_count",
+                "file_size_bytes",
+                "output_path",
+                "fingerprint",
+                "error_message",
+            ),
             last=("run_id",),
         )
 

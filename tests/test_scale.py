@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from loadledger.catalog.tables import ORDER, RUN_KEY, as_transitions
+from loadledger.catalog.tables import LOG_KEY, ORDER, as_log
 from loadledger.operators.latest import latest
 from loadledger.operators.progress import table_lists
 from loadledger.operators.running import number_rows
@@ -74,8 +74,8 @@ def test_no_slice_of_a_hot_key_is_large(spark, sf_dir):
 
 
 def test_hot_keys_shrink_before_the_shuffle(spark, sf_dir):
-    log = as_transitions(skewed(spark, sf_dir))
-    for result in (latest(log, RUN_KEY, ORDER), fold(log, RUN_KEY)):
+    log = as_log(skewed(spark, sf_dir))
+    for result in (latest(log, LOG_KEY, ORDER), fold(log, LOG_KEY, carried=("props",))):
         text = plan_of(result)
         assert text.count("Exchange") == 1
         assert "partial_max_by" in text.split("Exchange")[1]
