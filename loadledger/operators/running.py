@@ -17,8 +17,8 @@ def number_rows(
 
     A plain window would send a whole key to one task. Here the rows are range-partitioned by key
     and order, so a hot key spreads over many slices of even size. Rows are numbered inside their
-    slice and then moved up by the count of the same key in earlier slices. The slices are
-    materialised first: their borders come from a sample, and a recomputed task must not see others.
+    slice and then moved up by the count of the same key in earlier slices. The slices are written
+    out first: their borders come from a sample, and a recomputed task must not see others.
 
     Only a key that crosses a slice border needs moving, and a slice has one such key at each end.
     So the broadcast side has at most two rows per slice, whatever the size of the data.

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadledger.operators.latest import latest
 from loadledger.operators.state import ORDER, fold, is_retained
 from loadledger.work import exists, small_frame
 
@@ -113,6 +114,20 @@ class Ledger:
         schema = F.max_by("schema_json", F.struct(*ORDER)).alias("schema_json")
         return done.groupBy("table_key").agg(schema)
 
+    def complete_dataset(self, days: Sequence[date] = ()) -> DataFrame:
+        """Where the newest successful run of every table and window is, failures since then or not."""
+        done = self.transitions(days).where(F.col("status") == "completed")
+        kept = ("business_date", "run_id", "record_count", "output_path")
+        return latest(done.select(*IDENTITY, *ORDER, *kept), IDENTITY, ORDER).drop(*ORDER)
+
+    def read(self, table_key: str, day: date) -> DataFrame:
+        """The rows of one table for one business date, from exactly the runs that count."""
+        runs = self.complete_dataset([day]).where(F.col("table_key") == table_key)
+        paths = [row.output_path for row in runs.where("output_path IS NOT NULL").collect()]
+        if not paths:
+            raise LookupError(f"no stored run of {table_key} for {day}")
+        return self.spark.read.parquet(*paths)
+
     def reopen(self, chosen: DataFrame) -> str:
         """Make states pending again, by further transitions: forced tables, or failures to retry.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,19 +76,25 @@ class JdbcSource:
         """The caller's own SQL, run by the database; its tables need no binding here."""
         return self.spark.read.format("jdbc").options(**self.options(query=sql)).load()
 
-    def ranged_options(self, relation: str, column: str, low: int, high: int) -> dict[str, str]:
+    def ranged_options(self, relation: str, column: str, low, high) -> dict[str, str]:
+        """Bounds are whole numbers, dates or timestamps."""
+        parts = self.partitions
+        if not isinstance(low, date):
+            low, high = int(low), int(high)
+            parts = max(1, min(parts, high - low + 1))
+            high += 1
         return self.options(
             dbtable=relation,
             partitionColumn=column,
             lowerBound=str(low),
-            upperBound=str(high + 1),
-            numPartitions=str(max(1, min(self.partitions, high - low + 1))),
+            upperBound=str(high),
+            numPartitions=str(parts),
         )
 
     def ranged(
         self, name: str, column: str, schema: str | None = None, as_of: datetime | None = None
     ) -> DataFrame:
-        """One big table in parallel ranges of an integer column, with no row left out.
+        """One big table in parallel ranges of a number or date column, with no row left out.
 
         The bounds only place the cuts: Spark leaves the outer ranges open and adds NULL to the first.
         """
@@ -98,5 +104,5 @@ class JdbcSource:
         low, high = self.query(asked).first()
         if low is None:
             return self.table(name, schema, as_of)
-        options = self.ranged_options(relation, column, int(low), int(high))
+        options = self.ranged_options(relation, column, low, high)
         return self.spark.read.format("jdbc").options(**options).load()

@@ -54,9 +54,11 @@ def exists(spark: SparkSession, pattern: str) -> bool:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor cannot change what was computed."""
-    spark = df.sparkSession
-    directory = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(directory)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and go on from there.
+
+    Whatever is lost later, nothing before this point is computed again, so a partitioning that might
+    come out differently stays as it was. Being columnar, the table is read only where it is needed.
+    """
+    path = new_dir(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

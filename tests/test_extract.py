@@ -311,3 +311,42 @@ def test_earlier_runs_are_taken_over_from_json(spark, tmp_path):
     assert rows["s.t"].window_start == datetime(2024, 1, 5)
     assert (rows["s.t"].record_count, rows["s.t"].run_id) == (7, "r1")
     assert rows["s.u"].error_message == "no route" and rows["s.v"].run_id == "p1"
+
+
+def test_readers_get_the_last_success_even_after_a_failure(spark, extractor, monkeypatch):
+    days = [DAY, DAY + timedelta(days=1)]
+    specs = [TableSpec("db", "nation", is_full_extract=True, extraction_date=day) for day in days]
+    extractor.extract_many(specs, run_id="r1").collect()
+    assert all(row.skipped for row in extractor.extract_many(specs).collect())
+
+    def refuse(*args, **kwargs):
+        raise ConnectionError("simulated outage")
+
+    monkeypatch.setattr(LakeSource, "table", refuse)
+    assert not extractor.extract(specs[0], force=True).success
+    monkeypatch.undo()
+    assert [r.status for r in extractor.ledger.current([DAY]).collect()] == ["failed"]
+    dataset = extractor.ledger.complete_dataset([DAY]).collect()
+    assert [(r.table_key, r.run_id, r.record_count) for r in dataset] == [("db.nation", "r1", 25)]
+    assert extractor.ledger.read("db.nation", DAY).count() == 25
+    with pytest.raises(LookupError):
+        extractor.ledger.read("db.region", DAY)
+
+
+def test_a_shared_folder_is_demanded_on_a_cluster():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(RuntimeError):
+        new_dir(Session(), "anything")

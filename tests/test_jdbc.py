@@ -49,6 +49,9 @@ def test_parallel_read_names_column_and_bounds(oracle):
     assert (options["lowerBound"], options["upperBound"]) == ("1", "1001")
     assert options["numPartitions"] == "4"
     assert oracle.ranged_options('"T"', "ID", 5, 6)["numPartitions"] == "2"
+    days = oracle.ranged_options('"T"', "DAY", datetime(2024, 1, 1), datetime(2024, 2, 1, 12))
+    assert days["lowerBound"] == "2024-01-01 00:00:00" and days["numPartitions"] == "4"
+    assert days["upperBound"] == "2024-02-01 12:00:00"
 
 
 @pytest.mark.parametrize("low,high,parts", [(1, 1500, 4), (0, 2, 7), (-10, 10, 3), (5, 5, 4)])
