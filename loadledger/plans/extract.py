@@ -218,22 +218,22 @@ class Extractor:
         self._record(spec, "completed", run_id, began, **facts)
         return Outcome(spec.key, True, False, written.records, None)
 
-    def verify(self, day: date) -> DataFrame:
-        """What every completed run of one business date is worth, judged by the rows it holds now.
+    def verify(self, days: Sequence[date]) -> DataFrame:
+        """What the runs that count for these business dates are worth, judged by the rows they hold now.
 
-        Tables differ in their columns, so each is summed up by a query of its own; one union runs
-        them all.
+        Tables differ in their columns, so each run is summed up by a query of its own; one union
+        runs them all. The driver only handles the list of runs.
         """
-        state = self.ledger.current([day]).where(F.col("status") == "completed")
-        runs = state.where(F.col("output_path").isNotNull())
-        shapes = self.ledger.transitions([day]).select("output_path", "schema_json").distinct()
-        listed = runs.join(shapes, "output_path").select("output_path", "schema_json").collect()
+        runs = self.ledger.complete_dataset(days).withColumn(
+            "run", F.regexp_extract("output_path", RUN, 0)
+        )
+        listed = runs.collect()
         stored = [
             run_contents(
                 self.spark, row.output_path, StructType.fromJson(json.loads(row.schema_json)), RUN
             )
             for row in listed
-            if exists(self.spark, f"{row.output_path}/*.parquet")
+            if row.output_path and exists(self.spark, f"{row.output_path}/*.parquet")
         ]
         nothing = small_frame(self.spark, [], "run STRING, records BIGINT, fingerprint STRING")
         found = reduce(DataFrame.unionByName, stored, nothing).withColumnsRenamed(
@@ -246,11 +246,10 @@ class Extractor:
             F.col("stored_fingerprint"),
             tolerance=0.0,
         )
-        empty = F.col("record_count") == 0
         return (
-            state.withColumn("run", F.regexp_extract("output_path", RUN, 0))
+            small_frame(self.spark, [tuple(row) for row in listed], runs.schema)
             .join(found, "run", "left")
-            .withColumn("verdict", F.when(empty, "valid").otherwise(checked))
+            .withColumn("verdict", F.when(F.col("record_count") == 0, "valid").otherwise(checked))
             .select(*IDENTITY, "run_id", "record_count", "stored_records", "verdict")
         )
 

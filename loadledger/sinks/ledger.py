@@ -117,7 +117,14 @@ class Ledger:
     def complete_dataset(self, days: Sequence[date] = ()) -> DataFrame:
         """Where the newest successful run of every table and window is, failures since then or not."""
         done = self.transitions(days).where(F.col("status") == "completed")
-        kept = ("business_date", "run_id", "record_count", "output_path")
+        kept = (
+            "business_date",
+            "run_id",
+            "record_count",
+            "output_path",
+            "fingerprint",
+            "schema_json",
+        )
         return latest(done.select(*IDENTITY, *ORDER, *kept), IDENTITY, ORDER).drop(*ORDER)
 
     def read(self, table_key: str, day: date) -> DataFrame:

@@ -260,7 +260,7 @@ def test_verification_reads_the_rows(spark, extractor):
     spark.createDataFrame(renamed, schema).write.mode("overwrite").parquet(paths["db.region"])
     gone = spark._jvm.org.apache.hadoop.fs.Path(paths["db.part"])
     gone.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(gone, True)
-    verdicts = {row.table_key: row.verdict for row in extractor.verify(DAY).collect()}
+    verdicts = {row.table_key: row.verdict for row in extractor.verify([DAY]).collect()}
     assert verdicts == {
         "db.nation": "size_off",
         "db.region": "content_changed",
