@@ -1,0 +1,46 @@
+"""The same queries and SQL over tables in which one key holds more than a third of the rows."""
+
+import duckdb
+import pytest
+
+from __spark_entry__ import oracle_sql, queries
+from conftest import SF_DIR
+from test_catalog import TABLES, in_name_order
+
+HOT = {
+    "events": "SELECT * REPLACE (CASE WHEN event_type IN ('view', 'error') THEN 7 ELSE user_id END AS user_id)",
+    "lineitem": "SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN 1 ELSE l_orderkey END AS l_orderkey)",
+    "orders": "SELECT * REPLACE (CASE WHEN o_orderpriority < '3' THEN 1 ELSE o_custkey END AS o_custkey)",
+}
+NAMES = (
+    "asof_snapshot custom_query_extract extraction_needed extraction_summary integrity_check "
+    "latest_state pending_specs restart_counts retry_counts run_table_lists state_upsert "
+    "stream_live_state transition_fold window_conformance window_current_flag"
+).split()
+
+
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("skewed")
+    connection = duckdb.connect()
+    for table in TABLES:
+        chosen = HOT.get(table, "SELECT *")
+        path = f"{folder}/{table}.parquet"
+        connection.execute(f"COPY ({chosen} FROM '{SF_DIR}/{table}.parquet') TO '{path}' (FORMAT parquet)")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
+    return str(folder), connection
+
+
+@pytest.mark.parametrize("table,key", [("events", "user_id"), ("lineitem", "l_orderkey"), ("orders", "o_custkey")])
+def test_one_key_is_hot(skewed, table, key):
+    share = f"SELECT max(n) / sum(n) FROM (SELECT count(*) AS n FROM {table} GROUP BY {key}) AS c"
+    assert skewed[1].execute(share).fetchall()[0][0] > 0.3
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_agrees_with_its_sql_on_hot_keys(spark, skewed, name):
+    folder, connection = skewed
+    result = queries()[name](spark, folder)
+    answer = connection.execute(oracle_sql()[name])
+    columns = [column[0] for column in answer.description]
+    assert in_name_order(result.columns, result.collect()) == in_name_order(columns, answer.fetchall())
