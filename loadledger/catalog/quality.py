@@ -69,7 +69,29 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    """
+    WITH columns AS (
+      SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+               WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type
+      FROM (DESCRIBE SELECT * FROM orders) AS described),
+    runs AS (
+      SELECT 1 AS run_no, name, type FROM columns WHERE name <> 'o_orderpriority'
+      UNION ALL SELECT 2 AS run_no, name, type FROM columns
+      UNION ALL SELECT 3 AS run_no, name,
+                       CASE name WHEN 'o_totalprice' THEN 'decimal(15,2)' ELSE type END AS type
+                FROM columns WHERE name <> 'o_orderstatus'),
+    pairs AS (
+      SELECT coalesce(new.run_no, old.run_no + 1) AS run_no, coalesce(new.name, old.name) AS name,
+             new.type AS new_type, old.type AS old_type
+      FROM runs AS new FULL JOIN runs AS old ON new.run_no = old.run_no + 1 AND new.name = old.name)
+    SELECT 'orders' AS table_name, CAST(run_no AS INTEGER) AS run_no, name AS "column", new_type, old_type,
+           CASE WHEN old_type IS NULL THEN 'added' WHEN new_type IS NULL THEN 'removed'
+                WHEN old_type <> new_type THEN 'type_changed' ELSE 'same' END AS change,
+           coalesce(old_type <> new_type, false) AS is_error
+    FROM pairs WHERE run_no BETWEEN 2 AND 3
+    """
+)
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three runs of orders: a column is added, then another one changes its type."""
     root = new_dir(spark, "drift")
