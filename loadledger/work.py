@@ -1,35 +1,63 @@
 """The shared folder for checkpoints, stream state and written intermediate tables.
 
-A cluster names it in ``spark.checkpoint.dir``. Executors on other machines must see what is
-written there, so a machine-local folder is used only when the master itself is local.
+The session names it in ``spark.checkpoint.dir``; where that is unset, a folder under
+``spark.sql.warehouse.dir`` serves, which executors share as well. What is written there belongs to
+the innermost open :func:`workspace`, which deletes it at its end.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+_OPEN: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by the session, or a fresh temporary one under a local master."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    """The folder named by the session, or else one under its warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="loadledger-"))
-    return context.getCheckpointDir().rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_work"
 
 
 def new_dir(spark: SparkSession, purpose: str) -> str:
     """A path under the shared folder that nothing else uses; the first write creates it."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[list[str]]:
+    """Owns every folder that :func:`new_dir` hands out inside, and deletes them at the end.
+
+    Frames are lazy: write or collect the result inside. Without an open workspace the folders stay,
+    as a frame that is returned may still read them.
+    """
+    owned: list[str] = []
+    _OPEN.append(owned)
+    try:
+        yield owned
+    finally:
+        _OPEN.remove(owned)
+        for path in owned:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, on whatever file system it is; one that was never written is no fault."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.delete(target, True)
 
 
 def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
@@ -53,12 +81,12 @@ def exists(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, purpose: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and go on from there.
 
     Whatever is lost later, nothing before this point is computed again, so a partitioning that might
     come out differently stays as it was. Being columnar, the table is read only where it is needed.
     """
-    path = new_dir(df.sparkSession, "stage")
+    path = new_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from loadledger.catalog import QUERIES, SQL
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -26,23 +27,23 @@ def in_name_order(columns, rows):
     return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_sql(spark, sf_dir, database, name):
-    result = queries()[name](spark, sf_dir)
+    result = QUERIES[name](spark, sf_dir)
     rows = result.collect()
     assert len(set(result.columns)) == len(result.columns)
-    if name not in oracle_sql():
+    if name not in SQL:
         assert rows
         return
-    answer = database.execute(oracle_sql()[name])
+    answer = database.execute(SQL[name])
     columns = [column[0] for column in answer.description]
     assert sorted(columns) == sorted(result.columns)
     assert in_name_order(result.columns, rows) == in_name_order(columns, answer.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_cross_join_and_no_python(spark, sf_dir, name):
-    plan = queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert word not in plan
 
