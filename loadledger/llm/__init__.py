@@ -1,6 +1,6 @@
 """Operators of a pipeline for training data; importing the modules fills the registry."""
 
-from loadledger.llm import exact
+from loadledger.llm import exact, secrets
 from loadledger.llm.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "exact"]
+__all__ = ["QUERIES", "SQL", "exact", "secrets"]
