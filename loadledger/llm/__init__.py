@@ -1,6 +1,6 @@
 """Operators of a pipeline for training data; importing the modules fills the registry."""
 
-from loadledger.llm import exact, secrets, warc
+from loadledger.llm import chat, exact, secrets, warc
 from loadledger.llm.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "exact", "secrets", "warc"]
+__all__ = ["QUERIES", "SQL", "chat", "exact", "secrets", "warc"]
