@@ -1,6 +1,6 @@
 """Operators of a pipeline for training data; importing the modules fills the registry."""
 
-from loadledger.llm import chat, exact, secrets, simhash, warc
+from loadledger.llm import chat, exact, langid, secrets, simhash, warc
 from loadledger.llm.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "chat", "exact", "secrets", "simhash", "warc"]
+__all__ = ["QUERIES", "SQL", "chat", "exact", "langid", "secrets", "simhash", "warc"]
