@@ -1,6 +1,6 @@
 """Operators of a pipeline for training data; importing the modules fills the registry."""
 
-from loadledger.llm import chat, decontam, exact, html, langid, mixing, secrets, simhash, warc
+from loadledger.llm import chat, decontam, exact, html, langid, mixing, repeats, secrets, simhash, warc
 from loadledger.llm.registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "chat", "decontam", "exact", "html", "langid", "mixing", "secrets", "simhash", "warc"]
+__all__ = ["QUERIES", "SQL", "chat", "decontam", "exact", "html", "langid", "mixing", "repeats", "secrets", "simhash", "warc"]
