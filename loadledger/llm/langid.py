@@ -121,7 +121,8 @@ def fit(
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # Written first: its size is then known, and the texts need not be dealt out by language for it.
+    sizes = cut_lineage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")))
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
     chosen = rows.join(sizes, "lang").where(share < per_language / F.col("n"))
 
