@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadledger.catalog.extracts import _ORDER_COLUMNS, _ORDER_PRINT, _ORDER_TEXT
+from loadledger.catalog.extracts import _ORDER_COLUMNS, _ORDER_PRINT, _ORDER_TEXT, printable_orders
 from loadledger.catalog.registry import query
 from loadledger.catalog.tables import WITH_X, load, transitions
 from loadledger.functions import columns, hashing, windows
@@ -132,8 +132,22 @@ def status_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso_text,
-           CAST(date_trunc('second', ts) AS TIMESTAMP) AS ts FROM events
+    SELECT run_status, run_status IN ('completed', 'failed', 'cancelled') AS is_over, count(*) AS n
+    FROM (SELECT unnest(['idle', 'running', 'completed', 'failed', 'paused', 'cancelled']) AS run_status) AS s
+    JOIN events ON true GROUP BY 1, 2
+    """
+)
+def run_status_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event once for each status a whole run can have."""
+    statuses = F.explode(F.array(*[F.lit(status) for status in columns.RUN_STATUSES])).alias("run_status")
+    rows = load(spark, sf_dir, "events").select(statuses)
+    over = columns.is_run_over(F.col("run_status")).alias("is_over")
+    return rows.groupBy("run_status", over).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """
+    SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS iso_text, ts FROM events
     """
 )
 def iso_timestamp_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,8 +202,9 @@ def normalize_storage_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT o_orderkey, md5({_ORDER_TEXT}) AS h FROM orders")
 def row_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load(spark, sf_dir, "orders")
-    return orders.select("o_orderkey", hashing.row_hash(_ORDER_COLUMNS).alias("h"))
+    orders = printable_orders(load(spark, sf_dir, "orders"))
+    key = F.col("o_orderkey")
+    return orders.select(key, hashing.row_hash(_ORDER_COLUMNS).alias("h"))
 
 
 @query(
@@ -199,6 +214,7 @@ def row_content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def dataset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    month = F.date_format("o_orderdate", "yyyyMM").alias("ym")
-    prints = load(spark, sf_dir, "orders").groupBy(month)
+    month = F.date_format("o_orderdate", "yyyyMM")
+    dated = load(spark, sf_dir, "orders").withColumn("ym", month)
+    prints = printable_orders(dated).groupBy("ym")
     return prints.agg(F.count(F.lit(1)).alias("n"), hashing.fingerprint(_ORDER_COLUMNS).alias("fp"))

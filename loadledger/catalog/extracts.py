@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +14,14 @@ from loadledger.catalog.tables import WITH_C, current, load
 from loadledger.functions.hashing import fingerprint
 from loadledger.operators.progress import all_days
 from loadledger.plans.extract import Extractor
-from loadledger.plans.spec import TableSpec, first_runs, read_spec
+from loadledger.plans.spec import TableSpec, read_spec
 from loadledger.sinks.ledger import Ledger
 from loadledger.sinks.runs import output_files, write_batches, write_run
 from loadledger.sources.asof import as_of
 from loadledger.sources.lake import LakeSource
 from loadledger.sources.ranges import range_number
 from loadledger.sources.runs import read_runs, read_sidecars
-from loadledger.work import new_dir, small_frame
+from loadledger.work import cut_lineage, new_dir
 
 DAY = date(1997, 5, 28)
 MOMENT = datetime(2024, 1, 15, 12)
@@ -90,24 +90,19 @@ def incremental_window_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def first_run_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = LakeSource(spark, sf_dir)
+    """Orders succeeded the day before, line items never: what their extracts for one day then take."""
     ledger = Ledger(spark, new_dir(spark, "ledger"))
-    root = new_dir(spark, "runs")
+    extractor = Extractor(LakeSource(spark, sf_dir), new_dir(spark, "runs"), ledger)
     columns = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
     specs = [
         TableSpec("db", table, incremental_column=column, extraction_date=DAY)
         for table, column in columns.items()
     ]
-    Extractor(source, root, ledger).extract(specs[0])
-    keys = small_frame(spark, [(s.key,) for s in specs], "table_key STRING")
-    new = {row.table_key for row in first_runs(keys, ledger.succeeded_tables()).collect()}
-    counts = [
-        read_spec(source, s, bootstrap=s.key in new)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(s.key).alias("table_key"), F.lit("full" if s.key in new else "window").alias("mode"), "n")
-        for s in specs
-    ]
-    return counts[0].unionByName(counts[1])
+    extractor.extract(replace(specs[0], extraction_date=DAY - timedelta(days=1)))
+    mode = F.when(F.col("first"), "full").otherwise("window").alias("mode")
+    modes = cut_lineage(extractor.decisions(specs).select("table_key", mode))
+    outcomes = extractor.extract_many(specs)
+    return modes.join(outcomes, "table_key").select("table_key", "mode", F.col("record_count").alias("n"))
 
 
 @query(
@@ -143,30 +138,42 @@ def partitioned_range_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _ten_day_runs(spark: SparkSession, sf_dir: str) -> tuple[Extractor, list[date]]:
-    """All events, extracted in three windows of ten days."""
+def _three_runs(spark: SparkSession, sf_dir: str) -> tuple[Extractor, list[date]]:
+    """All events, extracted in three windows of as many days each."""
     ledger = Ledger(spark, new_dir(spark, "ledger"))
     extractor = Extractor(LakeSource(spark, sf_dir), new_dir(spark, "runs"), ledger)
-    window = TableSpec("db", "events", incremental_column="ts", window_hours=240, bootstrap=False)
-    starts = [date(2024, 1, 1), date(2024, 1, 11), date(2024, 1, 21)]
+    day = F.to_date("ts")
+    first, last = extractor.source.table("events").agg(F.min(day), F.max(day)).first()
+    days = (last - first).days // 3 + 1
+    window = TableSpec("db", "events", incremental_column="ts", window_hours=24 * days, bootstrap=False)
+    starts = [first + timedelta(days=days * n) for n in range(3)]
     extractor.extract_many(
         [replace(window, extraction_date=start) for start in starts], run_id="backfill"
     )
     return extractor, starts
 
 
+_THIRDS = """
+    WITH ends AS (
+      SELECT CAST(min(ts) AS DATE) AS first, CAST(max(ts) AS DATE) - CAST(min(ts) AS DATE) AS span FROM events),
+    placed AS (
+      SELECT events.*, CAST((CAST(ts AS DATE) - first) // (span // 3 + 1) AS INTEGER) AS third,
+             CAST(first + CAST(((CAST(ts AS DATE) - first) // (span // 3 + 1)) * (span // 3 + 1) AS INTEGER) AS DATE)
+               AS business_date
+      FROM events, ends)
+"""
+
+
 @query(
-    """
-    SELECT CAST(CASE WHEN ts < TIMESTAMP '2024-01-11 00:00:00' THEN DATE '2024-01-01'
-                     WHEN ts < TIMESTAMP '2024-01-21 00:00:00' THEN DATE '2024-01-11'
-                     ELSE DATE '2024-01-21' END AS DATE) AS business_date,
-           'backfill' AS run_id, count(*) AS n, count(DISTINCT event_id) AS n_events
-    FROM events GROUP BY 1
+    _THIRDS
+    + """
+    SELECT business_date, 'backfill' AS run_id, count(*) AS n, count(DISTINCT event_id) AS n_events
+    FROM placed GROUP BY 1
     """
 )
 def extract_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three ten-day windows that cover the table, read back by what the paths say about them."""
-    extractor, _ = _ten_day_runs(spark, sf_dir)
+    """Three windows that cover the table, read back by what the paths say about them."""
+    extractor, _ = _three_runs(spark, sf_dir)
     schema = extractor.source.table("events").schema
     runs = read_runs(spark, extractor.root, schema)
     return runs.groupBy("business_date", "run_id").agg(
@@ -182,21 +189,17 @@ def ledger_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """
-    SELECT CAST(CASE WHEN ts < TIMESTAMP '2024-01-11 00:00:00' THEN DATE '2024-01-01'
-                     WHEN ts < TIMESTAMP '2024-01-21 00:00:00' THEN DATE '2024-01-11'
-                     ELSE DATE '2024-01-21' END AS TIMESTAMP) AS window_start,
-           count(*) AS record_count,
-           count(*) + max(CASE WHEN ts >= TIMESTAMP '2024-01-11 00:00:00'
-                                AND ts < TIMESTAMP '2024-01-21 00:00:00' THEN 1 ELSE 0 END) AS stored_records,
-           CASE WHEN min(ts) >= TIMESTAMP '2024-01-11 00:00:00'
-                 AND max(ts) < TIMESTAMP '2024-01-21 00:00:00' THEN 'size_off' ELSE 'valid' END AS verdict
-    FROM events GROUP BY 1
+    _THIRDS
+    + """
+    SELECT CAST(business_date AS TIMESTAMP) AS window_start, count(*) AS record_count,
+           count(*) + CASE WHEN third = 1 THEN 1 ELSE 0 END AS stored_records,
+           CASE WHEN third = 1 THEN 'size_off' ELSE 'valid' END AS verdict
+    FROM placed GROUP BY business_date, third
     """
 )
 def stored_run_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three stored runs checked row by row, after one of them was given a row too many."""
-    extractor, starts = _ten_day_runs(spark, sf_dir)
+    """Three stored runs checked row by row, after the second of them was given a row too many."""
+    extractor, starts = _three_runs(spark, sf_dir)
     second = extractor.ledger.current([starts[1]]).first().output_path
     stored = spark.read.parquet(second)
     newest = stored.agg(*[F.max_by(c, "event_id").alias(c) for c in stored.columns])
@@ -267,45 +270,74 @@ def multi_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outcomes.select("table_key", "success", "record_count")
 
 
-_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"]
-_ORDER_TEXT = """concat_ws(';',
-  'o_custkey=' || length(CAST(o_custkey AS VARCHAR)) || ':' || CAST(o_custkey AS VARCHAR),
-  'o_orderkey=' || length(CAST(o_orderkey AS VARCHAR)) || ':' || CAST(o_orderkey AS VARCHAR),
-  'o_orderpriority=' || length(o_orderpriority) || ':' || o_orderpriority,
-  'o_orderstatus=' || length(o_orderstatus) || ':' || o_orderstatus)"""
-_ORDER_PRINT = f"CAST(sum(CAST('0x' || substr(md5({_ORDER_TEXT}), 1, 15) AS BIGINT)) AS VARCHAR)"
+_ORDER_COLUMNS = [
+    "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+]
+# What engines print alike: prices in cents, dates in one layout.
+_ORDER_SQL = {name: f"CAST({name} AS VARCHAR)" for name in _ORDER_COLUMNS} | {
+    "o_totalprice": "CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR)",
+    "o_orderdate": "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f')",
+}
+_ORDER_TEXT = "concat_ws(';', {})".format(
+    ", ".join(
+        f"coalesce('{name}=' || length({text}) || ':' || {text}, '{name}=~')"
+        for name, text in sorted(_ORDER_SQL.items())
+    )
+)
+_ORDER_PRINT = " || ':' || ".join(
+    f"CAST(sum(CAST('0x' || substr(md5({_ORDER_TEXT}), {start}, 16) AS UBIGINT)) AS VARCHAR)" for start in (1, 17)
+)
+
+
+def printable_orders(orders: DataFrame) -> DataFrame:
+    return orders.withColumns(
+        {
+            "o_totalprice": F.round(F.col("o_totalprice") * 100).cast("bigint"),
+            "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        }
+    )
 
 
 @query(f"SELECT count(*) AS n, {_ORDER_PRINT} AS fp FROM orders")
 def run_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{new_dir(spark, 'runs')}/db/orders/199705/28/r1.parquet"
     write_run(load(spark, sf_dir, "orders"), path)
-    stored = spark.read.parquet(path)
+    stored = printable_orders(spark.read.parquet(path))
     return stored.agg(F.count(F.lit(1)).alias("n"), fingerprint(_ORDER_COLUMNS).alias("fp"))
 
 
 @query(
-    "SELECT table_key, n, CAST(CASE WHEN n > 10000 THEN least(greatest(1, n // 5000), 4) ELSE 1 END "
-    "AS BIGINT) AS n_files FROM (\n"
+    "SELECT table_key, n, greatest(1, CAST(ceil(n / 5000.0) AS BIGINT)) AS n_needed, true AS bound_held FROM (\n"
     + "\nUNION ALL\n".join(f"SELECT 'db.{t}' AS table_key, count(*) AS n FROM {t}" for t in TABLES)
     + "\n) AS counts"
 )
 def output_file_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = [
-        load(spark, sf_dir, t)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(f"db.{t}").alias("table_key"), "n")
-        for t in TABLES
-    ]
-    files = output_files(F.col("n"), workers=4, threshold=10_000, per_file=5_000)
-    return reduce(DataFrame.unionByName, counts).withColumn("n_files", files.cast("bigint"))
+    """Files that runs were really written in, each bounded to 5,000 rows, against what they need."""
+    root, per_file = new_dir(spark, "runs"), 5_000
+    found = []
+    for table in TABLES:
+        write_run(load(spark, sf_dir, table), f"{root}/{table}", rows_per_file=per_file)
+        stored = spark.read.parquet(f"{root}/{table}").groupBy(F.col("_metadata.file_path").alias("file"))
+        files = stored.agg(F.count(F.lit(1)).alias("rows")).agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("n"),
+            F.count(F.lit(1)).alias("n_files"),
+            F.coalesce(F.max("rows"), F.lit(0)).alias("most"),
+        )
+        found.append(files.withColumn("table_key", F.lit(f"db.{table}")))
+    needed = output_files(F.col("n"), per_file)
+    held = (F.col("most") <= per_file) & ((F.col("n") == 0) | (F.col("n_files") >= needed))
+    return reduce(DataFrame.unionByName, found).select(
+        "table_key", "n", needed.alias("n_needed"), held.alias("bound_held")
+    )
 
 
 @query(
     """
     SELECT d.business_date, count(o.o_orderkey) AS n, count(o.o_orderkey) = 0 AS is_empty
-    FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1995-01-01 00:00:00',
-            TIMESTAMP '2001-08-01 00:00:00', INTERVAL 1 DAY)) AS DATE) AS business_date) AS d
+    FROM (SELECT CAST(unnest(generate_series(
+            (SELECT CAST(CAST(min(o_orderdate) AS DATE) AS TIMESTAMP) FROM orders),
+            (SELECT CAST(CAST(max(o_orderdate) AS DATE) AS TIMESTAMP) FROM orders), INTERVAL 1 DAY)) AS DATE)
+          AS business_date) AS d
     LEFT JOIN orders AS o ON CAST(o.o_orderdate AS DATE) = d.business_date
     GROUP BY 1
     """
@@ -316,13 +348,35 @@ def empty_window_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = orders.groupBy(F.to_date("o_orderdate").alias("business_date")).agg(
         F.count("o_orderkey").alias("found")
     )
-    days = all_days(spark, "1995-01-01", "2001-08-01")
     n = F.coalesce("found", F.lit(0))
-    return days.join(counts, "business_date", "left").select(
+    return all_days(orders, "o_orderdate").join(counts, "business_date", "left").select(
         "business_date", n.alias("n"), (n == 0).alias("is_empty")
     )
 
 
+@query(
+    """
+    SELECT d.day AS business_date, count(o.o_orderkey) AS record_count, 'completed' AS status,
+           count(o.o_orderkey) > 0 AS has_output
+    FROM (SELECT unnest([CAST(min(o_orderdate) AS DATE) - 1, CAST(min(o_orderdate) AS DATE),
+                         CAST(max(o_orderdate) AS DATE) + 1]) AS day FROM orders) AS d
+    LEFT JOIN orders AS o ON CAST(o.o_orderdate AS DATE) = d.day
+    GROUP BY 1
+    """
+)
+def empty_window_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows before, at and after the orders, extracted: empty ones are done, and store nothing."""
+    ledger = Ledger(spark, new_dir(spark, "ledger"))
+    extractor = Extractor(LakeSource(spark, sf_dir), new_dir(spark, "runs"), ledger)
+    day = F.to_date("o_orderdate")
+    first, last = extractor.source.table("orders").agg(F.min(day), F.max(day)).first()
+    spec = TableSpec("db", "orders", incremental_column="o_orderdate", bootstrap=False)
+    days = [first - timedelta(days=1), first, last + timedelta(days=1)]
+    extractor.extract_many([replace(spec, extraction_date=d) for d in days])
+    has_output = F.col("output_path").isNotNull().alias("has_output")
+    return ledger.current().select("business_date", "record_count", "status", has_output)
+
+
 @query("SELECT CAST(ts AS DATE) AS batch_date, count(*) AS n FROM events GROUP BY 1")
 def batch_partition_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All days as batches; one of them is run again under the same run id and changes nothing."""

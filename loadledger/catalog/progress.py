@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.catalog.registry import query
 from loadledger.catalog.tables import (
+    ATTEMPT_OF_STATUS,
     LOG_KEY,
     ORDER,
     RUN_KEY,
     WITH_C,
     WITH_F,
+    WITH_R,
     WITH_X,
     current,
     folded,
@@ -19,10 +23,10 @@ from loadledger.catalog.tables import (
     named,
     states,
     statuses,
+    stored_ledger,
 )
-from loadledger.functions.columns import run_id_text, run_path
 from loadledger.operators import progress
-from loadledger.operators.latest import latest
+from loadledger.operators.state import fold
 
 
 @query(WITH_C + "SELECT table_key, business_date, seq, status FROM c")
@@ -47,13 +51,14 @@ def status_breakdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH_F
     + """
     , timed AS (
-      SELECT split_part(table_key, '.', 1) AS source, status, record_count,
+      SELECT split_part(table_key, '.', 1) AS source, status, record_count, file_size_bytes,
              CASE WHEN status = 'completed'
                   THEN nullif(date_diff('microsecond', start_ts, end_ts), 0) END AS us
       FROM f)
     SELECT source, count(*) AS total,
            count(*) FILTER (status = 'completed') AS n_completed,
            CAST(coalesce(sum(record_count) FILTER (status = 'completed'), 0) AS BIGINT) AS records,
+           CAST(coalesce(sum(file_size_bytes) FILTER (status = 'completed'), 0) AS BIGINT) AS bytes,
            coalesce(CAST(sum(us) AS DOUBLE) / count(us) / 1000000.0, 0.0) AS avg_s,
            min(us) / 1000000.0 AS min_s, max(us) / 1000000.0 AS max_s
     FROM timed GROUP BY source
@@ -80,16 +85,69 @@ def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    WITH_C
+    WITH_R
     + """
-    SELECT *, CASE WHEN failed = 0 THEN 'SUCCESS' WHEN ok = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS outcome
-    FROM (SELECT business_date, count(*) FILTER (status = 'completed') AS ok,
+    SELECT *, CASE WHEN failed = 0 THEN 'SUCCESS' WHEN ok = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS outcome,
+           CASE WHEN ok + failed > 0 THEN CAST(ok AS DOUBLE) / (ok + failed) END AS success_ratio
+    FROM (SELECT run_id, count(*) FILTER (status = 'completed') AS ok,
                  count(*) FILTER (status = 'failed') AS failed
-          FROM c GROUP BY business_date) AS counts
+          FROM r GROUP BY run_id) AS counts
     """
 )
 def run_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.outcome(statuses(spark, sf_dir), ["business_date"])
+    """Outcomes of all runs of a stored ledger, whatever later runs did to the same tables."""
+    return progress.outcome(stored_ledger(spark, sf_dir).by_run(), ["run_id"])
+
+
+_RUNS = """
+    , runs AS (
+      SELECT run_id, min(first_start_ts) AS started_ts, max(last_ts) AS last_ts, count(*) AS attempted,
+             count(*) FILTER (status = 'completed') AS succeeded,
+             count(*) FILTER (status = 'failed') AS failed,
+             count(*) FILTER (status IN ('running', 'retrying')) AS running,
+             CAST(coalesce(sum(record_count) FILTER (status = 'completed'), 0) AS BIGINT) AS records,
+             CAST(sum(retry_count) AS BIGINT) AS restarts
+      FROM r GROUP BY run_id),
+    log AS (
+      SELECT *, CASE WHEN running > 0 THEN 'STARTED' WHEN failed = 0 THEN 'SUCCESS'
+                     WHEN succeeded = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS run_status,
+             CASE WHEN running = 0 THEN last_ts END AS ended_ts,
+             CASE WHEN running = 0 THEN date_diff('microsecond', started_ts, last_ts) / 1000000.0 END
+               AS duration_s,
+             CAST(succeeded AS DOUBLE) / attempted AS success_ratio
+      FROM runs)
+"""
+
+
+def _run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of the stand-in's tables per run, numbered tables still."""
+    rows = log(spark, sf_dir)
+    run = F.concat(F.lit("src"), F.col("user_id") % 5, F.date_format("event_ts", "-yyyyMMddHH"))
+    attempt = F.create_map(*[F.lit(x) for pair in ATTEMPT_OF_STATUS.items() for x in pair])
+    tagged = rows.withColumns({"run_id": run, "attempt": attempt[F.col("status")]})
+    return named(fold(tagged, ["run_id", "user_id"], carried=("props",), attempt="attempt"))
+
+
+@query(WITH_R + _RUNS + "SELECT * FROM log")
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return progress.run_log(_run_tables(spark, sf_dir), ["run_id"])
+
+
+@query(
+    WITH_R
+    + _RUNS
+    + """
+    , last AS (SELECT run_id FROM log WHERE run_status <> 'SUCCESS' ORDER BY last_ts DESC, run_id LIMIT 1)
+    SELECT run_id, table_key, status FROM r
+    WHERE run_id = (SELECT run_id FROM last) AND status NOT IN ('completed', 'skipped')
+    """
+)
+def run_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left to do of the last run that is no success."""
+    tables = _run_tables(spark, sf_dir)
+    troubled = progress.run_log(tables, ["run_id"]).where("run_status <> 'SUCCESS'")
+    last = progress.recent_runs(troubled, "run_id", 1).select("run_id").scalar()
+    return progress.resume_run(tables, last).select("run_id", "table_key", "status")
 
 
 @query(
@@ -167,15 +225,9 @@ def restart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named(progress.restarts(log(spark, sf_dir), "user_id", "business_date"))
 
 
-@query(
-    WITH_X
-    + """
-    SELECT business_date, max(event_ts) AS last_ts, count(*) AS total FROM x
-    GROUP BY business_date ORDER BY last_ts DESC, business_date LIMIT 10
-    """
-)
+@query(WITH_R + _RUNS + "SELECT * FROM log ORDER BY last_ts DESC, run_id LIMIT 10")
 def recent_runs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.recent_runs(log(spark, sf_dir), "business_date", 10)
+    return progress.recent_runs(progress.run_log(_run_tables(spark, sf_dir), ["run_id"]), "run_id", 10)
 
 
 @query(
@@ -185,20 +237,32 @@ def recent_runs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT *, row_number() OVER (
         PARTITION BY table_key, business_date ORDER BY event_ts DESC, seq DESC) AS newest
       FROM x WHERE status = 'completed')
-    SELECT table_key, business_date, seq,
+    SELECT table_key, business_date, seq, record_count,
            concat('s3://lake/', split_part(table_key, '.', 1), '/', split_part(table_key, '.', 2),
                   strftime(event_ts, '/%Y%m/%d/%Y%m%d_%H%M%S.parquet')) AS output_path
     FROM done WHERE newest = 1
     """
 )
 def complete_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every date, where the newest successful run of each table is stored."""
-    done = log(spark, sf_dir).where(F.col("status") == "completed")
-    newest = named(latest(done.select(*LOG_KEY, *ORDER), LOG_KEY, ORDER))
-    part = F.split("table_key", r"\.")
-    moment = F.col("event_ts")
-    path = run_path("s3://lake", part[0], part[1], moment, run_id_text(moment))
-    return newest.select(*RUN_KEY, "seq", path.alias("output_path"))
+    """For every date, where a stored ledger has the newest successful run of each table."""
+    dataset = stored_ledger(spark, sf_dir).complete_dataset()
+    return dataset.select(*RUN_KEY, "seq", "record_count", "output_path")
+
+
+@query(
+    WITH_X
+    + """
+    , done AS (
+      SELECT *, row_number() OVER (
+        PARTITION BY table_key, business_date ORDER BY event_ts DESC, seq DESC) AS newest
+      FROM x WHERE status = 'completed' AND event_ts <= TIMESTAMP '2024-01-15 12:00:00')
+    SELECT table_key, business_date, seq FROM done WHERE newest = 1
+    """
+)
+def dataset_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The complete data set as a stored ledger stood at an instant."""
+    ledger = stored_ledger(spark, sf_dir)
+    return ledger.complete_dataset(moment=datetime(2024, 1, 15, 12)).select(*RUN_KEY, "seq")
 
 
 @query(
@@ -206,9 +270,15 @@ def complete_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     + """
     SELECT table_key, business_date, status, last_ts AS since,
            CASE WHEN status = 'completed' THEN record_count END AS records,
-           CASE WHEN status = 'failed' THEN retry_count END AS retries
+           CASE WHEN status = 'completed' THEN file_size_bytes END AS bytes,
+           CASE WHEN status = 'completed'
+                THEN date_diff('microsecond', start_ts, end_ts) / 1000000.0 END AS duration_s,
+           CASE WHEN status = 'failed' THEN retry_count END AS retries,
+           CASE WHEN status = 'failed' THEN 'lost ' || record_count END AS error
     FROM f
     """
 )
 def status_detail_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress.details(folded(spark, sf_dir), RUN_KEY)
+    states_ = folded(spark, sf_dir)
+    message = F.concat(F.lit("lost "), F.col("record_count"))
+    return progress.details(states_.withColumn("error_message", message), RUN_KEY)

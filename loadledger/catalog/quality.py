@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.catalog.registry import query
 from loadledger.catalog.tables import load
-from loadledger.functions.windows import rows_between
 from loadledger.operators import quality
-from loadledger.sinks.runs import write_batches, write_run
-from loadledger.work import new_dir
+from loadledger.plans.extract import Extractor
+from loadledger.plans.spec import TableSpec
+from loadledger.sinks.ledger import Ledger
+from loadledger.sinks.runs import write_batches
+from loadledger.sources.lake import LakeSource
+from loadledger.work import cut_lineage, new_dir
 
 _RULES_SQL = """
 SELECT d.doc_id, d.lang, d.text IS NULL OR trim(d.text) = '' AS no_text,
@@ -59,20 +62,16 @@ def row_rule_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = quality.quarantine(_documents(spark, sf_dir), _rules())
-    marked = good.select("lang", F.lit(1).alias("ok")).unionByName(
-        bad.select("lang", F.lit(0).alias("ok"))
-    )
+    marked = quality.judged(_documents(spark, sf_dir), _rules())
     return marked.groupBy("lang").agg(
-        F.count_if(F.col("ok") == 1).alias("n_accepted"),
-        F.count_if(F.col("ok") == 0).alias("n_rejected"),
+        F.count_if("is_valid").alias("n_accepted"), F.count_if(~F.col("is_valid")).alias("n_rejected")
     )
 
 
 @query(
     """
     WITH columns AS (
-      SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double'
+      SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'long' WHEN 'DOUBLE' THEN 'double'
                WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' END AS type
       FROM (DESCRIBE SELECT * FROM orders) AS described),
     runs AS (
@@ -85,7 +84,7 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT coalesce(new.run_no, old.run_no + 1) AS run_no, coalesce(new.name, old.name) AS name,
              new.type AS new_type, old.type AS old_type
       FROM runs AS new FULL JOIN runs AS old ON new.run_no = old.run_no + 1 AND new.name = old.name)
-    SELECT 'orders' AS table_name, CAST(run_no AS INTEGER) AS run_no, name AS "column", new_type, old_type,
+    SELECT 'db.orders' AS table_name, CAST(run_no AS INTEGER) AS run_no, name AS "column", new_type, old_type,
            CASE WHEN old_type IS NULL THEN 'added' WHEN new_type IS NULL THEN 'removed'
                 WHEN old_type <> new_type THEN 'type_changed' ELSE 'same' END AS change,
            coalesce(old_type <> new_type, false) AS is_error
@@ -93,27 +92,49 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three runs of orders: a column is added, then another one changes its type."""
-    root = new_dir(spark, "drift")
-    orders = load(spark, sf_dir, "orders")
-    price = F.col("o_totalprice").cast("decimal(15,2)")
-    shapes = {
-        "run1": (1995, orders.drop("o_orderpriority")),
-        "run2": (1997, orders),
-        "run3": (1999, orders.withColumn("o_totalprice", price).drop("o_orderstatus")),
-    }
-    for run, (year, shaped) in shapes.items():
-        until = datetime(year + 2 if year < 1999 else 2002, 1, 1)
-        write_run(rows_between(shaped, "o_orderdate", datetime(year, 1, 1), until), f"{root}/{run}")
-    schemas = {run: spark.read.parquet(f"{root}/{run}").schema for run in shapes}
-    return quality.schema_drift(quality.schema_rows(spark, "orders", schemas))
+    """Drift of all tables of a ledger: orders were extracted three times in other shapes, lines once."""
+    ledger = Ledger(spark, new_dir(spark, "ledger"))
+    source = LakeSource(spark, sf_dir)
+    extractor = Extractor(source, new_dir(spark, "runs"), ledger, allow_type_changes=True)
+    columns = source.table("orders").columns
+    price = "CAST(o_totalprice AS DECIMAL(15,2)) AS o_totalprice"
+    shapes = [
+        [name for name in columns if name != "o_orderpriority"],
+        columns,
+        [price if name == "o_totalprice" else name for name in columns if name != "o_orderstatus"],
+    ]
+    for day, names in enumerate(shapes, start=1):
+        sql = f"SELECT {', '.join(names)} FROM orders"
+        spec = TableSpec("db", "orders", custom_query=sql, query_tables=("orders",), extraction_date=date(2024, 1, day))
+        extractor.extract(spec)
+    counted = "SELECT count(*) AS n FROM lineitem"
+    extractor.extract(
+        TableSpec("db", "lines", custom_query=counted, query_tables=("lineitem",), extraction_date=date(2024, 1, 1))
+    )
+    done = ledger.transitions().where(F.col("status") == "completed")
+    return quality.schema_drift(quality.schema_rows(done))
 
 
-@query()
+@query(
+    """
+    SELECT CAST(ts AS DATE) AS batch_date, CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events) AS changed
+    FROM events GROUP BY 1, 2
+    """
+)
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of all events, listed before and after a file was added to the last of them."""
     root = new_dir(spark, "batches")
-    write_batches(load(spark, sf_dir, "events"), root, F.to_date("ts"), "r1")
-    return quality.file_manifest(spark, root, r"batch_date=[^/]+/run_id=[^/]+")
+    events = load(spark, sf_dir, "events")
+    write_batches(events, root, F.to_date("ts"), "r1")
+    pattern = r"batch_date=[^/]+/run_id=[^/]+"
+    before = cut_lineage(quality.file_manifest(spark, root, pattern))
+    last = events.agg(F.max(F.to_date("ts"))).first()[0]
+    events.where(F.to_date("ts") == F.lit(last)).write.mode("append").parquet(
+        f"{root}/batch_date={last}/run_id=r1"
+    )
+    changed = quality.changed_runs(before, quality.file_manifest(spark, root, pattern))
+    day = F.to_date(F.regexp_extract("run", r"batch_date=([^/]+)/", 1))
+    return changed.select(day.alias("batch_date"), "changed")
 
 
 @query(
@@ -125,7 +146,7 @@ def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
       WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1)
     SELECT r.business_date, r.recorded, a.actual,
            CASE WHEN a.actual IS NULL THEN 'missing'
-                WHEN abs(a.actual - r.recorded) / r.recorded > 0.05 THEN 'size_off'
+                WHEN a.actual <> r.recorded THEN 'size_off'
                 ELSE 'valid' END AS verdict
     FROM recorded AS r LEFT JOIN actual AS a ON r.business_date = a.business_date
     """
@@ -174,10 +195,59 @@ def window_conformance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT o_orderkey, count(l_shipdate) AS n_checked,
+           count(*) FILTER (l_shipdate < o_orderdate
+                            OR l_shipdate >= o_orderdate + INTERVAL 30 DAY) AS n_outside,
+           count(*) FILTER (l_shipdate < o_orderdate
+                            OR l_shipdate >= o_orderdate + INTERVAL 30 DAY) = 0 AS is_consistent
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey
+    """
+)
+def window_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether all lines of an order were shipped within 30 days of it."""
+    lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_shipdate")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    shipped = lines.agg(F.count(F.lit(1)).alias("n"))
+    start = F.col("o_orderdate")
+    return quality.window_report(
+        shipped.join(orders, shipped.l_orderkey == orders.o_orderkey),
+        ["o_orderkey"],
+        F.col("l_shipdate"),
+        start,
+        start + F.make_interval(days=F.lit(30)),
+        F.col("n"),
+    )
+
+
+@query(
+    """
+    SELECT l_orderkey, l_linenumber, l_shipdate, o_orderdate AS window_start,
+           o_orderdate + INTERVAL 30 DAY AS window_end
+    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    WHERE l_shipdate < o_orderdate OR l_shipdate >= o_orderdate + INTERVAL 30 DAY
+    """
+)
+def window_offenders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines shipped outside the 30 days of their order, with that window."""
+    lines = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    start = F.col("o_orderdate")
+    outside = quality.outside_rows(
+        lines.join(orders, lines.l_orderkey == orders.o_orderkey),
+        F.col("l_shipdate"),
+        start,
+        start + F.make_interval(days=F.lit(30)),
+    )
+    return outside.drop("o_orderkey", "o_orderdate")
+
+
 @query(
     """
     SELECT CAST(ts AS DATE) AS batch_date, count(*) AS n,
-           CASE WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN 1 ELSE 0 END AS n_unreadable
+           CASE WHEN CAST(ts AS DATE) = (SELECT CAST(min(ts) AS DATE) FROM events) THEN 1 ELSE 0 END
+             AS n_unreadable
     FROM events GROUP BY 1
     """
 )
@@ -186,7 +256,8 @@ def unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_dir(spark, "batches")
     events = load(spark, sf_dir, "events")
     write_batches(events, root, F.to_date("ts"), "r1")
-    spoiled = f"{root}/batch_date=2024-01-15/run_id=r1"
+    first = events.agg(F.min(F.to_date("ts"))).first()[0]
+    spoiled = f"{root}/batch_date={first}/run_id=r1"
     spark.range(1).selectExpr("'no table'").coalesce(1).write.mode("append").text(spoiled)
     day = F.to_date(F.regexp_extract("path", r"batch_date=([^/]+)/", 1)).alias("batch_date")
     broken = quality.unreadable_files(spark, root, events.schema).groupBy(day)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.catalog.registry import query
 from loadledger.catalog.tables import (
-    LAST_DAY,
     LOG_KEY,
     ORDER,
     RUN_KEY,
@@ -19,19 +18,20 @@ from loadledger.catalog.tables import (
     WITH_FG,
     WITH_X,
     folded,
+    last_day,
     load,
     log,
     named,
     requested,
     states,
     statuses,
+    stored_ledger,
 )
 from loadledger.functions.windows import same_day
 from loadledger.operators import state
 from loadledger.operators.latest import latest
 from loadledger.operators.quality import verdict
-
-TODAY = date(2024, 1, 31)
+from loadledger.work import new_dir
 
 
 @query(
@@ -113,7 +113,7 @@ def todo_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def transition_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return folded(spark, sf_dir).drop("last_ts")
+    return folded(spark, sf_dir).drop("last_ts", "file_size_bytes")
 
 
 @query(
@@ -136,7 +136,7 @@ def transition_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
              WHEN status = 'failed' AND retry_count < 1 THEN 'retryable_failure'
              WHEN status = 'failed' THEN 'retries_exhausted'
              WHEN actual IS NULL THEN 'output_missing'
-             WHEN record_count > 0 AND abs(actual - record_count) / record_count > 0.05
+             WHEN record_count > 0 AND actual <> record_count
                THEN 'output_corrupt'
              ELSE 'up_to_date' END AS reason
       FROM known)
@@ -176,12 +176,11 @@ def extraction_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
       SELECT table_key, arg_max(status, struct_pack(ts := event_ts, id := seq)) AS status,
              max(event_ts) AS last_ts FROM x GROUP BY table_key)
     SELECT table_key,
-           status <> 'failed' AND (status <> 'completed' OR last_ts < TIMESTAMP '2024-01-30 00:00:00')
-             AS needed,
+           status <> 'failed' AND (status <> 'completed' OR last_ts < end_day) AS needed,
            CASE WHEN status = 'failed' THEN 'retries_exhausted' WHEN status <> 'completed'
-                THEN 'not_finished' WHEN last_ts < TIMESTAMP '2024-01-30 00:00:00'
+                THEN 'not_finished' WHEN last_ts < end_day
                 THEN 'window_outdated' ELSE 'up_to_date' END AS reason
-    FROM last
+    FROM last, (SELECT max(business_date) AS end_day FROM x) AS ends
     """
 )
 def table_extraction_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +191,7 @@ def table_extraction_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
         status=F.col("status"),
         forced=F.lit(False),
         verdict=F.lit("valid"),
-        current=same_day(F.col("last_ts"), F.lit(LAST_DAY)),
+        current=same_day(F.col("last_ts"), last_day(spark, sf_dir)),
         retries=F.col("retry_count"),
         max_retries=0,
     )
@@ -215,6 +214,26 @@ def retry_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    WITH_X
+    + """
+    , l AS (
+      SELECT table_key, business_date, arg_max(status, struct_pack(ts := event_ts, id := seq)) AS status,
+             greatest(arg_max(attempt, struct_pack(ts := event_ts, id := seq)) - 1, 0) AS retry_count
+      FROM x GROUP BY 1, 2)
+    SELECT table_key, business_date,
+           CASE WHEN table_key LIKE 'src0.%' THEN 'pending' ELSE status END AS status,
+           CAST(CASE WHEN table_key LIKE 'src0.%' THEN 0 ELSE retry_count END AS INTEGER) AS retry_count
+    FROM l
+    """
+)
+def force_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of one source are reopened in a stored ledger, and count their attempts anew."""
+    ledger = stored_ledger(spark, sf_dir)
+    ledger.reopen(ledger.current().where(F.col("table_key").startswith("src0.")))
+    return ledger.current().select(*RUN_KEY, "status", "retry_count")
+
+
 @query(
     WITH_F
     + """
@@ -225,7 +244,7 @@ def retry_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM f
     """
 )
-def force_reprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
+def force_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     forced = state.force(folded(spark, sf_dir), F.col("table_key").startswith("src0."))
     return forced.select(*RUN_KEY, "status", "retry_count", "end_ts")
 
@@ -248,30 +267,57 @@ def reset_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH_X
     + """
     SELECT table_key, business_date, seq, status FROM (
-      SELECT *, row_number() OVER (
-        PARTITION BY table_key, business_date ORDER BY event_ts DESC, seq DESC) AS newest
-      FROM x WHERE business_date > DATE '2024-01-10' OR business_date <= DATE '2024-01-20') AS r
-    WHERE newest = 1
+      SELECT *, row_number() OVER (PARTITION BY table_key, business_date ORDER BY event_ts, seq) AS oldest,
+             row_number() OVER (
+               PARTITION BY table_key, business_date ORDER BY event_ts DESC, seq DESC) AS newest
+      FROM x) AS r
+    WHERE CASE WHEN business_date > DATE '2024-01-10' THEN newest ELSE oldest END = 1
     """
 )
 def state_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """States of days 1 to 20, renewed by the transitions of days 11 to 30."""
+    """First states of all days, of which those after the tenth are renewed by the last ones."""
     rows = log(spark, sf_dir).select(*LOG_KEY, *ORDER, "status")
-    day = F.col("business_date")
-    base = latest(rows.where(day <= F.lit(date(2024, 1, 20))), LOG_KEY, ORDER)
-    updates = latest(rows.where(day > F.lit(date(2024, 1, 10))), LOG_KEY, ORDER)
+    moment = F.struct(*ORDER)
+    base = rows.groupBy(*LOG_KEY).agg(
+        F.min("event_ts").alias("event_ts"), F.min_by("seq", moment).alias("seq"), F.min_by("status", moment).alias("status")
+    )
+    updates = latest(rows.where(F.col("business_date") > F.lit(date(2024, 1, 10))), LOG_KEY, ORDER)
     return named(state.upsert(base, updates, LOG_KEY).select(*LOG_KEY, "seq", "status"))
 
 
 @query(
-    WITH_C
+    WITH_X
     + """
-    SELECT count(*) FILTER (business_date >= DATE '2024-01-24') AS kept,
-           count(*) FILTER (business_date < DATE '2024-01-24') AS dropped FROM c
+    , ends AS (SELECT max(business_date) + 1 AS today FROM x),
+    last AS (
+      SELECT table_key, max(struct_pack(ts := event_ts, id := seq)) AS top
+      FROM x WHERE status = 'completed' GROUP BY table_key)
+    SELECT count(*) FILTER (business_date >= today - 7) AS young,
+           count(*) FILTER (business_date < today - 7 AND status = 'completed'
+                            AND struct_pack(ts := event_ts, id := seq) = top) AS last_successes
+    FROM x CROSS JOIN ends LEFT JOIN last ON x.table_key = last.table_key
     """
 )
 def ledger_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = state.is_retained(F.col("business_date"), TODAY, days=7)
-    return statuses(spark, sf_dir).agg(
-        F.count_if(kept).alias("kept"), F.count_if(~kept).alias("dropped")
-    )
+    """What a retained copy of the stored ledger holds: the last week, and older last successes."""
+    ledger = stored_ledger(spark, sf_dir)
+    today = ledger.dates()[-1] + timedelta(days=1)
+    kept = ledger.retain(new_dir(spark, "ledger"), today, days=7).transitions()
+    young = state.is_retained(F.col("business_date"), today, days=7)
+    return kept.agg(F.count_if(young).alias("young"), F.count_if(~young).alias("last_successes"))
+
+
+@query(
+    WITH_X
+    + """
+    SELECT table_key, max(struct_pack(ts := event_ts, id := seq)).id AS seq
+    FROM x WHERE status = 'completed' GROUP BY table_key
+    """
+)
+def compacted_successes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last success of each table, from a ledger whose older half is compacted, one old date twice."""
+    ledger = stored_ledger(spark, sf_dir)
+    days = ledger.dates()
+    ledger.append(ledger.transitions([days[0]]).drop("append_id"))
+    ledger.compact(days[len(days) // 2])
+    return latest(ledger._successes(), ["table_key"], ORDER).select("table_key", "seq")

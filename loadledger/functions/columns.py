@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 STATUSES = ("pending", "running", "completed", "failed", "skipped", "retrying")
 FINISHED = ("completed", "failed", "skipped")
 STARTED = ("running", "retrying")
+# The status words of whole runs, and those of a run log.
+RUN_STATUSES = ("idle", "running", "completed", "failed", "paused", "cancelled")
+RUN_ENDED = ("completed", "failed", "cancelled")
 # Path beginnings that already name a storage system.
 STORAGE_PREFIXES = ("s3://", "abfss://", "adl://", "gs://", "/dbfs/")
 
@@ -53,13 +56,34 @@ def is_running(status: Column) -> Column:
     return status.isin(*STARTED)
 
 
+def is_run_over(status: Column) -> Column:
+    """A paused run is not over: it may be taken up again."""
+    return status.isin(*RUN_ENDED)
+
+
 def iso_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """Date, time and all microseconds, in UTC; the session's zone has no part in it."""
+    text = ts.cast("timestamp_ntz").cast("string")
+    micros = F.rpad(F.substring(text, 21, 6), 6, "0")
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), micros, F.lit("Z"))
+
+
+_ISO = r"^\s*(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6}\d*)?)?)(Z|[+-]\d{2}:?\d{2})?\s*$"
 
 
 def parse_iso(text: Column) -> Column:
-    """ISO text to an instant; a trailing Z means UTC. Text that is no timestamp gives NULL."""
-    return text.try_cast("timestamp").cast("timestamp_ntz")
+    """ISO date and time to an instant without a zone, in UTC; other text gives NULL.
+
+    Text without an offset is taken as it stands. One with an offset, or Z, is shifted to UTC by it.
+    Neither the session's zone nor the clock has a part in it.
+    """
+    local = F.concat_ws(" ", F.regexp_extract(text, _ISO, 1), F.regexp_extract(text, _ISO, 2))
+    offset = F.regexp_extract(text, _ISO, 3)
+    digits = F.regexp_replace(offset, "[^0-9]", "")
+    minutes = F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")
+    signed = F.when(offset.startswith("-"), -minutes).otherwise(minutes)
+    shift = F.make_interval(mins=F.coalesce(signed, F.lit(0)))
+    return F.when(text.rlike(_ISO), local.try_cast("timestamp_ntz") - shift)
 
 
 def parse_day(text: Column) -> Column:

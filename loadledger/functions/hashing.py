@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def _named(name: str) -> Column:
+    """A column by its name as it is, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def row_text(names: Sequence[str]) -> Column:
     """One unambiguous text per row: columns in name order, each value with its length.
 
@@ -19,7 +24,7 @@ def row_text(names: Sequence[str]) -> Column:
     """
 
     def field(name: str) -> Column:
-        value = F.col(name).cast("string")
+        value = _named(name).cast("string")
         shown = F.concat(F.lit(f"{name}="), F.length(value).cast("string"), F.lit(":"), value)
         return F.coalesce(shown, F.lit(f"{name}=~"))
 
@@ -31,12 +36,20 @@ def row_hash(names: Sequence[str]) -> Column:
 
 
 def fingerprint(names: Sequence[str]) -> Column:
-    """Aggregate: the sum of 60 bits of every row's MD5, as text. Row order does not matter.
+    """Aggregate: the sums of both 64-bit halves of every row's MD5, as text. Order does not matter.
 
     It is combined map-side, so only a few numbers per group and task are shuffled.
     """
-    bits = F.conv(F.substring(row_hash(names), 1, 15), 16, 10).cast("bigint")
-    return wide_sum(bits).cast("string")
+    hashed = row_hash(names)
+    halves = [_half(F.substring(hashed, start, 16)) for start in (1, 17)]
+    return F.concat_ws(":", *[wide_sum(half).cast("string") for half in halves])
+
+
+def _half(digits: Column) -> Column:
+    """Sixteen hexadecimal digits as the bits of a long."""
+    high = F.conv(F.substring(digits, 1, 8), 16, 10).cast("bigint")
+    low = F.conv(F.substring(digits, 9, 8), 16, 10).cast("bigint")
+    return F.shiftleft(high, 32).bitwiseOR(low)
 
 
 def wide_sum(bits: Column) -> Column:
@@ -58,19 +71,38 @@ def wide_sum(bits: Column) -> Column:
     return total
 
 
-def hashed_columns(schema: T.StructType) -> list[str]:
-    """Columns that count towards a run's fingerprint; Spark does not hash maps."""
-    return [field.name for field in schema if not isinstance(field.dataType, T.MapType)]
+def _has_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_has_map(field.dataType) for field in kind)
+    if isinstance(kind, T.ArrayType):
+        return _has_map(kind.elementType)
+    return isinstance(kind, T.MapType)
+
+
+def _hashable(value: Column, kind: T.DataType) -> Column:
+    """A value Spark can hash: maps at any depth become lists of their entries, by key."""
+    if not _has_map(kind):
+        return value
+    if isinstance(kind, T.MapType):
+        keys = F.array_sort(F.map_keys(value))
+        entry = lambda key: F.struct(key.alias("k"), _hashable(F.element_at(value, key), kind.valueType).alias("v"))
+        return F.transform(keys, entry)
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: _hashable(item, kind.elementType))
+    fields = [_hashable(value.getField(f.name), f.dataType).alias(f"f{n}") for n, f in enumerate(kind)]
+    return F.when(value.isNotNull(), F.struct(*fields))
 
 
-def hash_sum(names: Sequence[str]) -> Column:
-    """Aggregate: the sum of Spark's 64-bit row hashes, which stays inside generated code."""
-    return wide_sum(F.xxhash64(*[F.col(name) for name in sorted(names)]))
+def hash_sum(schema: T.StructType) -> Column:
+    """Aggregate: the sum of Spark's 64-bit row hashes, over all columns in the order of their names."""
+    fields = sorted(schema, key=lambda field: field.name)
+    # A row without columns is hashed as one constant, so that rows still count.
+    return wide_sum(F.xxhash64(*[_hashable(_named(f.name), f.dataType) for f in fields] or [F.lit(0)]))
 
 
-def quick_fingerprint(names: Sequence[str]) -> Column:
+def quick_fingerprint(schema: T.StructType) -> Column:
     """Like :func:`fingerprint`, for checks that stay inside Spark."""
-    return hash_sum(names).cast("string")
+    return hash_sum(schema).cast("string")
 
 
 def schema_hash(schema: T.StructType) -> str:

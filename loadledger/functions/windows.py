@@ -46,7 +46,8 @@ def rows_between(df: DataFrame, column: str, start: datetime, end: datetime) ->
     The literals take the column's own type, so no cast lands on the column and the comparison
     reaches the Parquet row groups or the database.
     """
-    kind = df.schema[column].dataType
+    # Resolved as Spark resolves names, so the case of letters does not matter.
+    kind = df.select(column).schema[0].dataType
     midnights = start.time() == time.min and end.time() == time.min
     if isinstance(kind, T.DateType) and midnights:
         low, high = F.lit(start.date()), F.lit(end.date())

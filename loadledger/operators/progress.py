@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadledger.functions.columns import STATUSES, micros_between
+from loadledger.functions.columns import STATUSES, micros_between, seconds_between
 from loadledger.operators.running import number_rows
 
 
@@ -20,7 +20,7 @@ def status_counts(state: DataFrame) -> DataFrame:
 
 
 def summary(state: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Extracts, completed extracts and their records, with durations in seconds.
+    """Extracts, completed extracts, their records and bytes, with durations in seconds.
 
     Only completed rows count towards records and durations, and a duration of zero is left out.
     """
@@ -28,10 +28,15 @@ def summary(state: DataFrame, by: Sequence[str]) -> DataFrame:
     spent = F.nullif(micros_between(F.col("start_ts"), F.col("end_ts")), F.lit(0))
     timed = F.when(done, spent)
     mean = F.sum(timed) / F.count(timed) / F.lit(1e6)
+    amounts = {"records": "record_count", "bytes": "file_size_bytes"}
     return state.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(done).alias("n_completed"),
-        F.coalesce(F.sum(F.when(done, F.col("record_count"))), F.lit(0)).alias("records"),
+        *[
+            F.coalesce(F.sum(F.when(done, F.col(column))), F.lit(0)).alias(name)
+            for name, column in amounts.items()
+            if column in state.columns
+        ],
         F.when(F.count(timed) > 0, mean).otherwise(F.lit(0.0)).alias("avg_s"),
         (F.min(timed) / F.lit(1e6)).alias("min_s"),
         (F.max(timed) / F.lit(1e6)).alias("max_s"),
@@ -55,7 +60,10 @@ def progress(state: DataFrame, run: Sequence[str]) -> DataFrame:
 
 
 def outcome(state: DataFrame, run: Sequence[str]) -> DataFrame:
-    """SUCCESS when no table failed, FAILED when none worked, PARTIAL in between."""
+    """SUCCESS when no table failed, FAILED when none worked, PARTIAL in between, and the share that did.
+
+    Tables that neither completed nor failed do not count. Where no table did either, the share is NULL.
+    """
     counts = state.groupBy(*run).agg(
         F.count_if(F.col("status") == "completed").alias("ok"),
         F.count_if(F.col("status") == "failed").alias("failed"),
@@ -63,7 +71,45 @@ def outcome(state: DataFrame, run: Sequence[str]) -> DataFrame:
     return counts.withColumn(
         "outcome",
         F.when(F.col("failed") == 0, "SUCCESS").when(F.col("ok") == 0, "FAILED").otherwise("PARTIAL"),
+    ).withColumn("success_ratio", F.try_divide(F.col("ok"), F.col("ok") + F.col("failed")))
+
+
+def run_log(tables: DataFrame, run: Sequence[str]) -> DataFrame:
+    """One row per run, from its tables' states such as :meth:`Ledger.by_run` gives.
+
+    A run whose tables are not all at an end is STARTED and has no end yet. Times span its tables.
+    """
+    status = F.col("status")
+    open_ = F.count_if(status.isin("running", "retrying"))
+    figures = tables.groupBy(*run).agg(
+        F.min("first_start_ts").alias("started_ts"),
+        F.max("last_ts").alias("last_ts"),
+        F.count(F.lit(1)).alias("attempted"),
+        F.count_if(status == "completed").alias("succeeded"),
+        F.count_if(status == "failed").alias("failed"),
+        open_.alias("running"),
+        F.coalesce(F.sum(F.when(status == "completed", F.col("record_count"))), F.lit(0)).alias("records"),
+        F.coalesce(F.sum("retry_count"), F.lit(0)).cast("bigint").alias("restarts"),
     )
+    over = F.col("running") == 0
+    return (
+        figures.withColumn(
+            "run_status",
+            F.when(~over, "STARTED")
+            .when(F.col("failed") == 0, "SUCCESS")
+            .when(F.col("succeeded") == 0, "FAILED")
+            .otherwise("PARTIAL"),
+        )
+        .withColumn("ended_ts", F.when(over, F.col("last_ts")))
+        .withColumn("duration_s", micros_between(F.col("started_ts"), F.col("ended_ts")) / F.lit(1e6))
+        .withColumn("success_ratio", F.col("succeeded") / F.col("attempted"))
+    )
+
+
+def resume_run(tables: DataFrame, run_id: str | Column) -> DataFrame:
+    """What a run taken up again has to do: its tables that are neither completed nor skipped."""
+    wanted = F.lit(run_id) if isinstance(run_id, str) else run_id
+    return tables.where((F.col("run_id") == wanted) & ~F.col("status").isin("completed", "skipped"))
 
 
 def table_lists(
@@ -91,7 +137,7 @@ def table_lists(
     )
 
 
-# What a finding advises.
+# The kinds of findings. What each advises is our own.
 ACTIONS = {
     "window_inconsistency": "review the windows of these extracts",
     "failed_extractions": "look into the failures, then reset them for a retry",
@@ -111,9 +157,8 @@ def findings(state: DataFrame, run: Sequence[str], outside_window: Column) -> Da
     return rows.withColumn("action", advice[F.col("finding")])
 
 
-def recent_runs(log: DataFrame, run: str, limit: int = 10) -> DataFrame:
-    """The runs that were active last, newest first."""
-    runs = log.groupBy(run).agg(F.max("event_ts").alias("last_ts"), F.count(F.lit(1)).alias("total"))
+def recent_runs(runs: DataFrame, run: str, limit: int = 10) -> DataFrame:
+    """The runs of a :func:`run_log` that were active last, newest first, with all their figures."""
     return runs.orderBy(F.desc("last_ts"), run).limit(limit)
 
 
@@ -134,19 +179,27 @@ def start_numbers(log: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return numbered.withColumn("retry_count", F.col("attempt") - 1)
 
 
-def all_days(spark: SparkSession, first: str, last: str) -> DataFrame:
-    """A calendar, for reporting days on which nothing happened."""
-    days = F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    return spark.range(1).select(F.explode(days).alias("business_date"))
+def all_days(rows: DataFrame, column: str) -> DataFrame:
+    """Every day from the first to the last in a column, for reporting days on which nothing happened."""
+    ends = rows.agg(F.min(F.to_date(column)).alias("first"), F.max(F.to_date(column)).alias("last"))
+    days = F.sequence("first", "last", F.make_interval(days=F.lit(1)))
+    return ends.where("first IS NOT NULL").select(F.explode(days).alias("business_date"))
 
 
 def details(state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per extract with what matters for its status: since when, records, retries."""
+    """One row per extract with what matters for its status.
+
+    That is since when; of a success its records, bytes and seconds; of a failure its retries and error.
+    """
     status = F.col("status")
+    done, failed = status == "completed", status == "failed"
     return state.select(
         *keys,
         "status",
         F.col("last_ts").alias("since"),
-        F.when(status == "completed", F.col("record_count")).alias("records"),
-        F.when(status == "failed", F.col("retry_count")).alias("retries"),
+        F.when(done, F.col("record_count")).alias("records"),
+        F.when(done, F.col("file_size_bytes")).alias("bytes"),
+        F.when(done, seconds_between(F.col("start_ts"), F.col("end_ts"))).alias("duration_s"),
+        F.when(failed, F.col("retry_count")).alias("retries"),
+        F.when(failed, F.col("error_message")).alias("error"),
     )

@@ -9,6 +9,20 @@ from pyspark.sql import functions as F
 
 from loadledger.work import cut_lineage
 
+#: More slices than this are of no use to a cluster, whatever the estimate says.
+MOST_SLICES = 1_000_000
+
+
+def slices_for(df: DataFrame) -> int:
+    """Slices of about the size Spark advises for a partition, from its estimate of the input."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    advised = df.sparkSession._jsparkSession.sessionState().conf().getConfString(
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"
+    )
+    bytes_each = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advised)
+    # An estimate that multiplies the sides of a join can be beyond any real size.
+    return max(1, min(-(-int(str(size)) // bytes_each), MOST_SLICES))
+
 
 def number_rows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int | None = None
@@ -23,8 +37,7 @@ def number_rows(
     Only a key that crosses a slice border needs moving, and a slice has one such key at each end.
     So the broadcast side has at most two rows per slice, whatever the size of the data.
     """
-    spark = df.sparkSession
-    parts = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = slices or slices_for(df)
     cut = cut_lineage(
         df.repartitionByRange(parts, *keys, *order).withColumn("_slice", F.spark_partition_id())
     )

@@ -19,11 +19,13 @@ def fold(
     order: Sequence[str] = ORDER,
     carried: Sequence[str] = ("record_count",),
     last: Sequence[str] = (),
+    attempt: str | None = None,
 ) -> DataFrame:
     """Replay transitions to one state per key.
 
     Gives the last status, when the last start and the last end happened, and how often the key was
-    started again. ``carried`` columns come from the last end, ``last`` columns from the last
+    started again: in all, or, where transitions number their ``attempt``, since it last succeeded or
+    was sent back to the start, which both put 0. ``carried`` columns come from the last end, ``last`` columns from the last
     transition of any kind; text that is slow to parse is better carried and parsed afterwards. The
     first column of ``order`` is a timestamp, the others break its ties.
 
@@ -35,24 +37,27 @@ def fold(
     ended = status.isin("completed", "failed")
     at_end = F.when(ended, moment)
     started_at = F.when(is_running(status), ts)
+    starts = F.max_by(attempt, moment) if attempt else F.count_if(is_running(status))
     return log.groupBy(*keys).agg(
         F.max_by("status", moment).alias("status"),
         F.max(ts).alias("last_ts"),
         F.min(started_at).alias("first_start_ts"),
         F.max(started_at).alias("start_ts"),
         F.max(F.when(ended, ts)).alias("end_ts"),
-        F.greatest(F.count_if(is_running(status)) - 1, F.lit(0)).alias("retry_count"),
+        F.greatest(starts - 1, F.lit(0)).alias("retry_count"),
         *[F.max_by(name, at_end).alias(name) for name in carried],
         *[F.max_by(name, moment).alias(name) for name in last],
     )
 
 
-def due_every_day(keys: DataFrame, first: str, last: date, name: str = "business_date") -> DataFrame:
+def due_every_day(
+    keys: DataFrame, first: str, last: date | Column, name: str = "business_date"
+) -> DataFrame:
     """One requested row per key and day, from the key's own first day to ``last``."""
-    until = F.lit(last)
+    until = last if isinstance(last, Column) else F.lit(last)
     days = F.sequence(F.col(first), until, F.make_interval(days=F.lit(1)))
     return keys.where(F.col(first) <= until).select(
-        *[c for c in keys.columns if c != first], F.explode(days).alias(name)
+        *[c for c in keys.columns if c not in (first, "last_day")], F.explode(days).alias(name)
     )
 
 

@@ -6,7 +6,7 @@ import json
 import time
 import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import reduce
@@ -18,15 +18,15 @@ from pyspark.sql.types import StructType
 
 from loadledger.functions.columns import is_running
 from loadledger.functions.hashing import schema_hash
-from loadledger.operators.quality import changed_types, run_contents, verdict
+from loadledger.operators.quality import BYTES_TOLERANCE, changed_types, run_contents, verdict
 from loadledger.operators.state import decide
 from loadledger.plans.spec import TableSpec, read_spec
 from loadledger.sinks.ledger import IDENTITY, Ledger
 from loadledger.sinks.runs import write_run
-from loadledger.sources.runs import list_files
-from loadledger.work import exists, small_frame
+from loadledger.sources.runs import ATTEMPT, list_files
+from loadledger.work import cut_lineage, exists, paths, small_frame
 
-# A run within any path: source/table/yyyyMM/dd/run.parquet.
+# A run within any path: source/table/yyyyMM/dd/run~attempt.parquet.
 RUN = r"[^/]+/[^/]+/\d{6}/\d{2}/[^/]+\.parquet"
 OUTCOME_COLUMNS = "table_key STRING, success BOOLEAN, skipped BOOLEAN, record_count BIGINT, error STRING"
 
@@ -51,7 +51,8 @@ class Extractor:
     """Extracts tables of one source into dated run folders, at most once per table and window.
 
     The data is written first and its ledger row last. A run that died in between left no completed
-    row, so nobody reads it and the next attempt does it again.
+    row, so nobody reads it and the next attempt does it again. Every attempt has a folder of its own,
+    so a run that counts is never written to, not even by a forced run of the same id.
     """
 
     def __init__(
@@ -62,7 +63,9 @@ class Extractor:
         max_retries: int = 3,
         concurrent_tables: int = 8,
         allow_type_changes: bool = False,
+        check_content: bool = False,
     ):
+        """``check_content`` has stored rows read and compared before a table is skipped."""
         self.source = source
         self.root = root.rstrip("/")
         self.ledger = ledger
@@ -70,6 +73,7 @@ class Extractor:
         self.max_retries = max_retries
         self.concurrent_tables = concurrent_tables
         self.allow_type_changes = allow_type_changes
+        self.check_content = check_content
 
     def extract(self, spec: TableSpec, force: bool = False) -> Outcome:
         return self._run([spec], force, None)[0]
@@ -94,22 +98,26 @@ class Extractor:
             "window_end TIMESTAMP_NTZ, forced BOOLEAN",
         )
         days = sorted({s.day for s in specs})
-        state = self.ledger.current(days).drop("business_date")
-        run = F.regexp_extract("output_path", RUN, 0)
+        state = self.ledger.current(days).drop("business_date").withColumnRenamed("schema_json", "run_schema")
         status = F.col("status")
-        rows = (
+        known = cut_lineage(
             requested.join(state, list(IDENTITY), "left")
-            .withColumn("run", run)
+            .withColumn("run", F.regexp_extract("output_path", RUN, 0))
             .withColumn("known", status.isNotNull())
             # A row that still says running was left behind by an attempt that died.
             .withColumn("status", F.when(is_running(status), "pending").otherwise(status))
-            .join(self._stored_sizes(days), "run", "left")
-            .join(
-                self.ledger.succeeded_tables().withColumn("succeeded", F.lit(True)), "table_key", "left"
-            )
         )
+        succeeded = self.ledger.succeeded_tables(requested).withColumn("succeeded", F.lit(True))
+        rows = known.join(self._stored_sizes(specs, known), "run", "left").join(succeeded, "table_key", "left")
+        hashes: tuple = ()
+        if self.check_content:
+            runs = known.where("status = 'completed'").withColumnRenamed("run_schema", "schema_json")
+            rows = rows.join(self._contents(runs).select("run", "stored_fingerprint"), "run", "left")
+            hashes = (F.col("fingerprint"), F.col("stored_fingerprint"))
         empty = F.coalesce(F.col("record_count") == 0, F.lit(False))
-        stored = verdict(F.col("file_size_bytes"), F.col("stored_bytes"))
+        stored = verdict(
+            F.col("file_size_bytes"), F.col("stored_bytes"), *hashes, tolerance=BYTES_TOLERANCE
+        )
         judged = decide(
             rows.withColumn("verdict", F.when(empty, "valid").otherwise(stored)),
             status=F.col("status"),
@@ -128,19 +136,52 @@ class Extractor:
             F.col("succeeded").isNull().alias("first"),
             "schema_json",
             F.coalesce("record_count", F.lit(0)).alias("record_count"),
+            F.coalesce(F.when(F.col("forced"), 0).otherwise(F.col("attempts")), F.lit(0)).alias("attempts"),
             "known",
         )
 
-    def _stored_sizes(self, days) -> DataFrame:
-        """Bytes per run for the given business dates, from one listing of only their folders."""
-        named = ",".join(day.strftime("%Y%m/%d") for day in days)
-        run = F.regexp_extract("path", RUN, 0)
-        folders = f"{self.root}/*/*/{{{named}}}"
-        if not exists(self.spark, folders):
+    def _stored_sizes(self, specs: Sequence[TableSpec], known: DataFrame) -> DataFrame:
+        """Bytes per run, from one listing of the folders of the tables and dates asked for."""
+
+        def one_of(names) -> str:
+            return "{" + ",".join(sorted({name.replace(",", "?") for name in names})) + "}"
+
+        days = one_of(spec.day.strftime("%Y%m/%d") for spec in specs)
+        sources, tables = one_of(s.source_name for s in specs), one_of(self._folder(s) for s in specs)
+        folders = paths(self.spark, f"{self.root}/{sources}/{tables}/{days}")
+        # Runs taken over from elsewhere keep their place: at most one per spec asked for.
+        elsewhere = known.where(~F.col("output_path").startswith(self.root)).select("output_path").collect()
+        folders += [row.output_path for row in elsewhere if exists(self.spark, row.output_path)]
+        if not folders:
             return small_frame(self.spark, [], "run STRING, stored_bytes BIGINT")
+        run = F.regexp_extract("path", RUN, 0)
         files = list_files(self.spark, folders, "*.parquet")
         return files.groupBy(run.alias("run")).agg(F.sum("length").alias("stored_bytes"))
 
+    def _contents(self, runs: DataFrame) -> DataFrame:
+        """Rows and fingerprints of stored runs (run, output_path, schema_json): a scan per schema.
+
+        Runs whose folder is gone have no row. The driver handles schemas and paths, not rows.
+        """
+        nothing = small_frame(self.spark, [], "run STRING, stored_records BIGINT, stored_fingerprint STRING")
+        listed = runs.where("output_path IS NOT NULL").select("schema_json", "output_path").distinct()
+        by_schema = listed.groupBy("schema_json").agg(F.collect_list("output_path").alias("found")).collect()
+        scans = []
+        for row in by_schema:
+            there = self._present(row.found)
+            if there and row.schema_json:
+                schema = StructType.fromJson(json.loads(row.schema_json))
+                scans.append(run_contents(self.spark, there, schema, RUN))
+        renamed = {"records": "stored_records", "fingerprint": "stored_fingerprint"}
+        return reduce(DataFrame.unionByName, [scan.withColumnsRenamed(renamed) for scan in scans], nothing)
+
+    def _present(self, wanted: Sequence[str]) -> list[str]:
+        """Of these run folders those that exist, from one listing of each folder above them."""
+        above = {path.rsplit("/", 1)[0] for path in wanted}
+        name = lambda path: path.split(":", 1)[-1].lstrip("/")
+        there = {name(found) for folder in above for found in paths(self.spark, f"{folder}/*")}
+        return [path for path in wanted if name(path) in there]
+
     def _run(
         self, specs: Sequence[TableSpec], force: bool, run_id: str | None
     ) -> list[Outcome]:
@@ -150,7 +191,7 @@ class Extractor:
         run_id = run_id or self._new_run_id()
         plan = {row.position: row for row in self.decisions(specs, force).collect()}
         retired = [
-            self._transition(specs[i], "skipped", None, error_message=row.reason)
+            self._transition(specs[i], "skipped", None, attempt=row.attempts, error_message=row.reason)
             for i, row in plan.items()
             if row.reason == "retries_exhausted"
         ]
@@ -159,8 +200,11 @@ class Extractor:
         work = [i for i, row in plan.items() if row.needed]
         whole = self._bootstrapping(specs, [i for i in work if plan[i].first])
         run_ids = {i: specs[i].run_id or run_id for i in work}
+        attempts = {i: plan[i].attempts + 1 for i in work}
         started = [
-            self._transition(specs[i], "retrying" if plan[i].known else "running", run_ids[i])
+            self._transition(
+                specs[i], "retrying" if plan[i].known else "running", run_ids[i], attempt=attempts[i]
+            )
             for i in work
         ]
         if started:
@@ -175,10 +219,16 @@ class Extractor:
         with ThreadPoolExecutor(max_workers=self.concurrent_tables) as pool:
             attempt = inheritable_thread_target(self.spark)(self._attempt)
             futures = {
-                i: pool.submit(attempt, specs[i], run_ids[i], i in whole, plan[i].schema_json)
+                pool.submit(attempt, specs[i], run_ids[i], i in whole, plan[i].schema_json, attempts[i]): i
                 for i in work
             }
-            done.update({i: future.result() for i, future in futures.items()})
+            waiting = set(futures)
+            while waiting:
+                # What has ended by now goes into one append.
+                ended, waiting = wait(waiting, return_when=FIRST_COMPLETED)
+                found = {futures[future]: future.result() for future in ended}
+                self._record([row for _, row in found.values()])
+                done.update({i: outcome for i, (outcome, _) in found.items()})
         return [done[i] for i in range(len(specs))]
 
     @staticmethod
@@ -191,8 +241,9 @@ class Extractor:
         return set(chosen.values())
 
     def _attempt(
-        self, spec: TableSpec, run_id: str, bootstrap: bool, last_schema: str | None
-    ) -> Outcome:
+        self, spec: TableSpec, run_id: str, bootstrap: bool, last_schema: str | None, attempt: int
+    ) -> tuple[Outcome, dict]:
+        """One attempt at one table: how it ended, and the transition to record."""
         began = time.monotonic()
         try:
             path = self.path_of(spec, run_id)
@@ -212,56 +263,49 @@ class Extractor:
                 "output_path": path if written.records else None,
             }
         except Exception as problem:  # noqa: BLE001 - whatever went wrong belongs to this table only
-            text = str(problem).strip()[:2000] or type(problem).__name__
-            self._record(spec, "failed", run_id, began, error_message=text)
-            return Outcome(spec.key, False, False, None, text)
-        self._record(spec, "completed", run_id, began, **facts)
-        return Outcome(spec.key, True, False, written.records, None)
+            text = str(problem).strip() or type(problem).__name__
+            spent = time.monotonic() - began
+            row = self._transition(
+                spec, "failed", run_id, attempt=attempt, duration_seconds=spent, error_message=text
+            )
+            return Outcome(spec.key, False, False, None, text), row
+        spent = time.monotonic() - began
+        row = self._transition(spec, "completed", run_id, attempt=0, duration_seconds=spent, **facts)
+        return Outcome(spec.key, True, False, written.records, None), row
 
     def verify(self, days: Sequence[date]) -> DataFrame:
         """What the runs that count for these business dates are worth, judged by the rows they hold now.
 
-        Tables differ in their columns, so each run is summed up by a query of its own; one union
-        runs them all. The driver only handles the list of runs.
+        Runs of one schema are read in one scan, however many they are.
         """
-        runs = self.ledger.complete_dataset(days).withColumn(
-            "run", F.regexp_extract("output_path", RUN, 0)
-        )
-        listed = runs.collect()
-        stored = [
-            run_contents(
-                self.spark, row.output_path, StructType.fromJson(json.loads(row.schema_json)), RUN
-            )
-            for row in listed
-            if row.output_path and exists(self.spark, f"{row.output_path}/*.parquet")
-        ]
-        nothing = small_frame(self.spark, [], "run STRING, records BIGINT, fingerprint STRING")
-        found = reduce(DataFrame.unionByName, stored, nothing).withColumnsRenamed(
-            {"records": "stored_records", "fingerprint": "stored_fingerprint"}
+        runs = cut_lineage(
+            self.ledger.complete_dataset(days).withColumn("run", F.regexp_extract("output_path", RUN, 0))
         )
+        found = self._contents(runs)
         checked = verdict(
             F.col("record_count"),
             F.col("stored_records"),
             F.col("fingerprint"),
             F.col("stored_fingerprint"),
-            tolerance=0.0,
         )
         return (
-            small_frame(self.spark, [tuple(row) for row in listed], runs.schema)
-            .join(found, "run", "left")
+            runs.join(found, "run", "left")
             .withColumn("verdict", F.when(F.col("record_count") == 0, "valid").otherwise(checked))
             .select(*IDENTITY, "run_id", "record_count", "stored_records", "verdict")
         )
 
+    @staticmethod
+    def _folder(spec: TableSpec) -> str:
+        return f"{spec.schema_name}.{spec.table_name}" if spec.schema_name else spec.table_name
+
     def path_of(self, spec: TableSpec, run_id: str) -> str:
+        """A new folder for an attempt; a path that was once recorded is never given out again."""
         day = spec.day.strftime("%Y%m/%d")
-        table = f"{spec.schema_name}.{spec.table_name}" if spec.schema_name else spec.table_name
-        return f"{self.root}/{spec.source_name}/{table}/{day}/{run_id}.parquet"
+        attempt = uuid.uuid4().hex[:12]
+        return f"{self.root}/{spec.source_name}/{self._folder(spec)}/{day}/{run_id}{ATTEMPT}{attempt}.parquet"
 
-    def _record(self, spec, status, run_id, began, **facts) -> None:
-        spent = time.monotonic() - began
-        row = self._transition(spec, status, run_id, duration_seconds=spent, **facts)
-        self.ledger.append_rows([row])
+    def _record(self, rows: list[dict]) -> None:
+        self.ledger.append_rows(rows)
 
     @staticmethod
     def _new_run_id() -> str:

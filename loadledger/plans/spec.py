@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loadledger.functions.columns import parse_day
 from loadledger.functions.windows import day_bounds, rows_between
-from loadledger.operators.quality import is_blank, quarantine
+from loadledger.operators.quality import is_blank, judged
 from loadledger.sinks.ledger import SPEC_SCHEMA
 
 
@@ -73,7 +73,8 @@ def read_spec(source, spec: TableSpec, bootstrap: bool = False) -> DataFrame:
         return source.query(spec.custom_query, spec.query_tables)
     past = {"as_of": spec.as_of} if spec.as_of else {}
     if spec.split_on and hasattr(source, "ranged"):
-        rows = source.ranged(spec.table_name, spec.split_on, spec.schema_name, **past)
+        inside = (spec.incremental_column, *spec.window) if spec.is_windowed and not bootstrap else None
+        rows = source.ranged(spec.table_name, spec.split_on, spec.schema_name, inside=inside, **past)
     else:
         rows = source.table(spec.table_name, spec.schema_name, **past)
     if spec.is_windowed and not bootstrap:
@@ -87,8 +88,8 @@ def first_runs(specs: DataFrame, succeeded: DataFrame) -> DataFrame:
 
 
 SPEC_RULES = {
-    "Missing required field: source_name": "source_name",
-    "Missing required field: table_name": "table_name",
+    "source_name is blank: name the source that the table is read from": "source_name",
+    "table_name is blank: name the table to read": "table_name",
 }
 
 
@@ -96,9 +97,8 @@ def spec_rules() -> dict:
     """Conditions under which a row of a spec table is unusable."""
     rules = {message: is_blank(F.col(name)) for message, name in SPEC_RULES.items()}
     full = F.coalesce("is_full_extract", F.lit(False)) | ~is_blank(F.col("custom_query"))
-    rules["incremental_column is required for incremental extraction"] = ~full & is_blank(
-        F.col("incremental_column")
-    )
+    unbounded = "incremental_column is blank, and the spec asks neither for the full table nor a query"
+    rules[unbounded] = ~full & is_blank(F.col("incremental_column"))
     return rules
 
 
@@ -112,8 +112,8 @@ def load_specs(spark: SparkSession, path: str) -> tuple[list[TableSpec], DataFra
     parsed = parse_day(F.col("extraction_date"))
     rules = spec_rules()
     rules["extraction_date is not a date"] = F.col("extraction_date").isNotNull() & parsed.isNull()
-    good, bad = quarantine(listed, rules)
-    rows = good.withColumn("extraction_date", parsed).collect()
+    checked = judged(listed, rules)
+    rows = checked.where("is_valid").withColumn("extraction_date", parsed).drop("violations", "is_valid").collect()
     return [
         TableSpec(**{k: v for k, v in row.asDict().items() if v is not None}) for row in rows
-    ], bad
+    ], checked.where("NOT is_valid").drop("is_valid")

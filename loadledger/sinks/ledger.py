@@ -1,7 +1,8 @@
-"""The run ledger: an append-only Parquet table of state transitions."""
+"""The run ledger: an append-only Parquet table of state transitions, a folder per business date."""
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Sequence
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from loadledger.operators.latest import latest
 from loadledger.operators.state import ORDER, fold, is_retained
-from loadledger.work import exists, small_frame
+from loadledger.work import delete, exists, paths, small_frame
 
 _STRING, _LONG, _NTZ = T.StringType(), T.LongType(), T.TimestampNTZType()
 
@@ -38,6 +39,7 @@ LEDGER_SCHEMA = (
     .add("window_end", _NTZ)
     .add("event_ts", _NTZ)
     .add("status", _STRING)
+    .add("attempt", T.IntegerType())
     .add("run_id", _STRING)
     .add("record_count", _LONG)
     .add("file_size_bytes", _LONG)
@@ -52,23 +54,45 @@ LEDGER_SCHEMA = (
 )
 
 IDENTITY = ("table_key", "window_start", "window_end")
+DATED = (*IDENTITY, "business_date")
+_FIGURES = ("record_count", "file_size_bytes", "output_path", "fingerprint", "schema_json", "error_message")
+
+
+def union_schema(schemas: Sequence[str]) -> T.StructType:
+    """All columns of several stored schemas, oldest first; of two types the newer one counts."""
+    fields: dict[str, T.StructField] = {}
+    for text in schemas:
+        for field in T.StructType.fromJson(json.loads(text)):
+            fields[field.name] = T.StructField(field.name, field.dataType, True)
+    return T.StructType(list(fields.values()))
 
 
 class Ledger:
-    """Every append is a folder of its own, so concurrent writers never share a commit.
+    """Every append fills folders of its own, so concurrent writers never share a commit.
 
     A state is never edited. Later transitions supersede earlier ones when the log is folded, and a
     run whose ledger row was never written does not exist for any reader.
+
+    The log lies in ``log/business_date=…/append_id=…``: a call for some dates lists their folders
+    only. ``newest`` holds, for the dates that were compacted, the last success of each table, so that
+    whether a table ever succeeded needs no look at old dates.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._log = f"{self.root}/log"
+        self._newest = f"{self.root}/newest"
 
     def append(self, rows: DataFrame, append_id: str | None = None) -> str:
         """Add transitions. Repeating an ``append_id`` replaces that append instead of doubling it."""
         return self._store(rows.hint("rebalance", "business_date"), append_id)
 
+    def append_rows(self, rows: list[dict], append_id: str | None = None) -> str:
+        """Add transitions known to the driver, a few per table at most."""
+        values = [tuple(row.get(f.name) for f in LEDGER_SCHEMA) for row in rows]
+        return self._store(small_frame(self.spark, values, LEDGER_SCHEMA), append_id)
+
     def _store(self, rows: DataFrame, append_id: str | None) -> str:
         name = append_id or uuid.uuid4().hex
         shaped = rows.select(
@@ -76,77 +100,149 @@ class Ledger:
                 (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
                 for f in LEDGER_SCHEMA
             ]
-        )
-        target = f"{self.root}/append_id={name}"
-        shaped.write.mode("overwrite").partitionBy("business_date").parquet(target)
+        ).withColumn("append_id", F.lit(name))
+        self._write(shaped, self._log)
+        upto = self._compacted()
+        if upto is not None:
+            # An old date was worked on again: its successes must be found without a look at it.
+            late = shaped.where((F.col("business_date") < F.lit(upto)) & (F.col("status") == "completed"))
+            self._write(late, self._newest)
         return name
 
-    def append_rows(self, rows: list[dict], append_id: str | None = None) -> str:
-        """Add a handful of transitions known to the driver, one per table at most."""
-        values = [tuple(row.get(f.name) for f in LEDGER_SCHEMA) for row in rows]
-        return self._store(small_frame(self.spark, values, LEDGER_SCHEMA), append_id)
+    @staticmethod
+    def _write(rows: DataFrame, root: str) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "business_date", "append_id"
+        ).parquet(root)
 
-    def transitions(self, days: Sequence[date] = ()) -> DataFrame:
-        """The log. Naming ``days`` leaves all other date folders unopened."""
-        self._start()
+    def _read(self, root: str, folders: Sequence[str]) -> DataFrame:
         schema = T.StructType(list(LEDGER_SCHEMA)).add("append_id", T.StringType())
-        log = self.spark.read.schema(schema).parquet(self.root)
-        return log.where(F.col("business_date").isin(*days)) if days else log
+        if not folders:
+            return small_frame(self.spark, [], schema)
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*folders)
+
+    def dates(self) -> list[date]:
+        """Business dates the log has, from one listing of its first level."""
+        names = [path.rsplit("business_date=", 1)[1] for path in paths(self.spark, f"{self._log}/business_date=*")]
+        return sorted(date.fromisoformat(name) for name in names if name[:1].isdigit())
+
+    def transitions(self, days: Sequence[date] = ()) -> DataFrame:
+        """The log. Naming ``days`` leaves all other date folders unlisted."""
+        if not days:
+            return self._read(self._log, [self._log] if exists(self.spark, self._log) else [])
+        named = ",".join(sorted({day.isoformat() for day in days}))
+        return self._read(self._log, paths(self.spark, f"{self._log}/business_date={{{named}}}"))
 
     def current(self, days: Sequence[date] = ()) -> DataFrame:
         """One row per table and window with its present state."""
-        return fold(
-            self.transitions(days),
-            (*IDENTITY, "business_date"),
-            carried=(
-                "record_count",
-                "file_size_bytes",
-                "output_path",
-                "fingerprint",
-                "error_message",
-            ),
-            last=("run_id",),
-        )
+        return self._folded(self.transitions(days), DATED, ("run_id",))
 
-    def succeeded_tables(self) -> DataFrame:
-        """Tables that completed at least once, for whatever window, with the schema of last time."""
-        done = self.transitions().where(F.col("status") == "completed")
+    def by_run(self, days: Sequence[date] = ()) -> DataFrame:
+        """One row per table, window and run: what each run came to, whatever happened later."""
+        return self._folded(self.transitions(days).where("run_id IS NOT NULL"), (*DATED, "run_id"), ())
+
+    @staticmethod
+    def _folded(log: DataFrame, keys: Sequence[str], last: Sequence[str]) -> DataFrame:
+        attempts = (*last, "attempt")
+        folded = fold(log, keys, carried=(*_FIGURES, "duration_seconds"), last=attempts, attempt="attempt")
+        return folded.withColumnRenamed("attempt", "attempts")
+
+    def succeeded_tables(self, tables: DataFrame | None = None) -> DataFrame:
+        """Tables that completed at least once, for whatever window, with the schema of last time.
+
+        ``tables`` (``table_key``) says which are asked for; the others' history is dropped first.
+        """
+        done = self._successes()
+        if tables is not None:
+            done = done.join(tables.select("table_key").distinct(), "table_key", "left_semi")
         schema = F.max_by("schema_json", F.struct(*ORDER)).alias("schema_json")
         return done.groupBy("table_key").agg(schema)
 
-    def complete_dataset(self, days: Sequence[date] = ()) -> DataFrame:
-        """Where the newest successful run of every table and window is, failures since then or not."""
+    def _successes(self) -> DataFrame:
+        """Completed transitions: all of open dates, and the last of each table for compacted ones."""
+        upto = self._compacted()
+        if upto is None:
+            return self.transitions().where(F.col("status") == "completed")
+        kept = self._read(self._newest, [self._newest])
+        opened = [day for day in self.dates() if day >= upto]
+        if opened:
+            kept = kept.unionByName(self.transitions(opened))
+        return kept.where(F.col("status") == "completed")
+
+    def _compacted(self) -> date | None:
+        """The first date that no compaction has reached, if there was one."""
+        marks = paths(self.spark, f"{self.root}/upto=*")
+        return max((date.fromisoformat(path.rsplit("upto=", 1)[1]) for path in marks), default=None)
+
+    def compact(self, before: date) -> None:
+        """Pack each date before ``before`` into one append, and note every table's last success.
+
+        A packed append is written before those it replaces are deleted. In between, readers see
+        transitions twice, which changes no fold; so a crash does no harm and the next call goes on.
+        """
+        since = self._compacted()
+        closed = [day for day in self.dates() if day < before]
+        for day in closed:
+            folder = f"{self._log}/business_date={day.isoformat()}"
+            appends = paths(self.spark, f"{folder}/append_id=*")
+            if len(appends) > 1:
+                self._write(
+                    self.transitions([day]).dropDuplicates([*DATED, "seq", "status"])
+                    .coalesce(1).withColumn("append_id", F.lit(f"packed-{uuid.uuid4().hex}")),
+                    self._log,
+                )
+                for path in appends:
+                    delete(self.spark, path)
+        fresh = [day for day in closed if since is None or day >= since]
+        if fresh:
+            done = self.transitions(fresh).where(F.col("status") == "completed")
+            last = latest(done, ["table_key"], ORDER).withColumn("append_id", F.lit(f"upto-{before.isoformat()}"))
+            self._write(last.select(*[f.name for f in LEDGER_SCHEMA], "append_id"), self._newest)
+            small_frame(self.spark, [(before,)], "upto DATE").write.mode("overwrite").parquet(
+                f"{self.root}/upto={before.isoformat()}"
+            )
+
+    def complete_dataset(self, days: Sequence[date] = (), moment: datetime | None = None) -> DataFrame:
+        """Where the newest successful run of every table and date is, failures since then or not.
+
+        Windows of a date all start at its midnight, so two of them hold the same rows; the newer
+        success counts. ``moment`` gives the data set as the ledger stood then.
+        """
         done = self.transitions(days).where(F.col("status") == "completed")
-        kept = (
-            "business_date",
-            "run_id",
-            "record_count",
-            "output_path",
-            "fingerprint",
-            "schema_json",
-        )
-        return latest(done.select(*IDENTITY, *ORDER, *kept), IDENTITY, ORDER).drop(*ORDER)
+        if moment is not None:
+            done = done.where(F.col("event_ts") <= F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz"))
+        kept = ("window_start", "window_end", "run_id", "record_count", "output_path", "fingerprint", "schema_json")
+        keys = ("table_key", "business_date")
+        return latest(done.select(*keys, *ORDER, *kept), keys, ORDER)
+
+    def read(self, table_key: str, days: date | Sequence[date], moment: datetime | None = None) -> DataFrame:
+        """The rows of one table for some business dates, from exactly the runs that count.
 
-    def read(self, table_key: str, day: date) -> DataFrame:
-        """The rows of one table for one business date, from exactly the runs that count."""
-        runs = self.complete_dataset([day]).where(F.col("table_key") == table_key)
-        paths = [row.output_path for row in runs.where("output_path IS NOT NULL").collect()]
-        if not paths:
-            raise LookupError(f"no stored run of {table_key} for {day}")
-        return self.spark.read.parquet(*paths)
+        Columns are those of all these runs; where a run lacks one it is NULL.
+        """
+        days = [days] if isinstance(days, date) else list(days)
+        runs = self.complete_dataset(days, moment).where(F.col("table_key") == table_key)
+        stored = runs.where("output_path IS NOT NULL").orderBy(*ORDER).collect()
+        if not stored:
+            raise LookupError(f"no stored run of {table_key} for {', '.join(map(str, days))}")
+        schemas = [row.schema_json for row in stored if row.schema_json]
+        reader = self.spark.read
+        reader = reader.schema(union_schema(schemas)) if schemas else reader.option("mergeSchema", True)
+        return reader.parquet(*[row.output_path for row in stored])
 
     def reopen(self, chosen: DataFrame) -> str:
         """Make states pending again, by further transitions: forced tables, or failures to retry.
 
-        ``chosen`` are rows of :meth:`current`, such as those ``state.reset_failed`` marks.
+        ``chosen`` are rows of :meth:`current`, such as those ``state.reset_failed`` marks. Their
+        attempts are counted anew.
         """
         now = datetime.now(timezone.utc).replace(tzinfo=None)
         return self.append(
             chosen.select(
-                *IDENTITY,
-                "business_date",
+                *DATED,
                 "run_id",
                 F.lit("pending").alias("status"),
+                F.lit(0).alias("attempt"),
                 F.lit(time.time_ns()).alias("seq"),
                 F.lit(now.isoformat(sep=" ")).alias("event_ts"),
             )
@@ -155,13 +251,14 @@ class Ledger:
     def retain(self, target: str, today: date, days: int = 7) -> Ledger:
         """Copy what is younger than ``days`` to a new place, packed into few files per date.
 
-        Old date folders are never opened. The caller moves on to the ledger returned.
+        The last success of each table is kept whatever its age: without it a table would count as
+        new and be read in full again. The caller moves on to the ledger returned.
         """
         kept = Ledger(self.spark, target)
-        kept.append(self.transitions().where(is_retained(F.col("business_date"), today, days)))
+        columns = [f.name for f in LEDGER_SCHEMA]
+        young = is_retained(F.col("business_date"), today, days)
+        last = latest(self._successes().select(*columns), ["table_key"], ORDER).where(~young)
+        wanted = [day for day in self.dates() if (today - day).days <= days]
+        recent = self.transitions(wanted).select(*columns) if wanted else last.limit(0)
+        kept.append(recent.where(young).unionByName(last.select(*columns)))
         return kept
-
-    def _start(self) -> None:
-        """An empty append, so that a new ledger can be read."""
-        if not exists(self.spark, self.root):
-            self.append_rows([], append_id="start")

@@ -28,7 +28,16 @@ class LakeSource:
         return self.spark.read.parquet(f"{folder}/{name}.parquet")
 
     def query(self, sql: str, tables: tuple[str, ...] = ()) -> DataFrame:
-        """The caller's own SQL over ``tables``, which become temporary views of the session."""
+        """The caller's own SQL over ``tables``, which are views of a session of this query alone."""
+        own = self.spark.newSession()
+        for name, value in self._settings():
+            own.conf.set(name, value)
         for name in tables:
-            self.table(name).createOrReplaceTempView(name)
-        return self.spark.sql(sql)
+            LakeSource(own, self.root).table(name).createOrReplaceTempView(name)
+        found = own.sql(sql)
+        return DataFrame(found._jdf, self.spark)
+
+    def _settings(self) -> list[tuple[str, str]]:
+        """What the session says about the meaning of SQL, for the query to have the same."""
+        names = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.caseSensitive")
+        return [(name, self.spark.conf.get(name)) for name in names]

@@ -6,19 +6,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from loadledger.functions.columns import parse_iso, table_key
+from loadledger.functions.columns import parse_day, parse_iso, table_key
 from loadledger.functions.windows import window_end, window_start
 
 
+#: Stands between a run's id and its attempt in the name of a folder.
+ATTEMPT = "~"
+
+
 def read_runs(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
     """Every row of every run below ``root``, with source, table, business date and run id.
 
     They are taken from the path, which functions.columns.run_path lays out as
-    source/table/yyyyMM/dd/run.parquet/file. Give ``schema`` where it is known: else Spark opens
-    files to find it.
+    source/table/yyyyMM/dd/run.parquet/file. Give ``schema`` where it is known; else it is put
+    together from those of all files, so that a column some runs lack is there. Every attempt that
+    was stored is read; :meth:`Ledger.read` takes only those that count.
     """
     reader = spark.read.option("recursiveFileLookup", True)
-    rows = (reader.schema(schema) if schema else reader).parquet(root)
+    rows = (reader.schema(schema) if schema else reader.option("mergeSchema", True)).parquet(root)
     parts = F.split("_metadata.file_path", "/")
 
     def part(from_end: int) -> Column:
@@ -31,7 +36,7 @@ def read_runs(spark: SparkSession, root: str, schema: StructType | None = None)
         part(6).alias("run_source"),
         part(5).alias("run_table"),
         day.try_cast("date").alias("business_date"),
-        F.substring_index(part(2), ".parquet", 1).alias("run_id"),
+        F.substring_index(F.substring_index(part(2), ".parquet", 1), ATTEMPT, 1).alias("run_id"),
     )
 
 
@@ -59,10 +64,10 @@ def read_sidecars(
         .where("extraction_complete")
     )
     spec = F.col("table_config")
-    day = parse_iso(spec["extraction_date"])
+    day = _day(spec["extraction_date"])
     ended = parse_iso(F.col("end_time"))
     return found.select(
-        F.unix_micros(ended.cast("timestamp")).alias("seq"),
+        _micros(ended).alias("seq"),
         table_key(spec["source_name"], spec["schema_name"], spec["table_name"]).alias("table_key"),
         F.to_date(day).alias("business_date"),
         window_start(day).alias("window_start"),
@@ -71,12 +76,22 @@ def read_sidecars(
         F.lit("completed").alias("status"),
         spec["run_id"].alias("run_id"),
         "record_count",
-        "file_size_bytes",
+        # What such files give as a size is that of a directory entry: not known.
+        F.lit(None).cast("bigint").alias("file_size_bytes"),
         F.when(F.col("record_count") > 0, F.col("output_path")).alias("output_path"),
         "duration_seconds",
     )
 
 
+def _day(text: Column) -> Column:
+    """A date, with or without a time."""
+    return F.coalesce(parse_iso(text), parse_day(text).cast("timestamp_ntz"))
+
+
+def _micros(moment: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), moment)
+
+
 def read_state_files(spark: SparkSession, root: str, pattern: str = "pipeline_*.json") -> DataFrame:
     """JSON state files of earlier runs, one per run with all its tables, as ledger rows."""
     shape = (
@@ -93,11 +108,11 @@ def read_state_files(spark: SparkSession, root: str, pattern: str = "pipeline_*.
         .json(root)
     )
     states = files.select("pipeline", "metadata", F.explode("extractions").alias("table_key", "s"))
-    day = parse_iso(F.coalesce("s.extraction_date", "pipeline.extraction_date"))
+    day = _day(F.coalesce("s.extraction_date", "pipeline.extraction_date"))
     known = F.coalesce("s.end_time", "s.start_time", "metadata.saved_at")
     moment = parse_iso(known)
     return states.select(
-        F.unix_micros(moment.cast("timestamp")).alias("seq"),
+        _micros(moment).alias("seq"),
         "table_key",
         F.to_date(day).alias("business_date"),
         window_start(day).alias("window_start"),
@@ -106,13 +121,13 @@ def read_state_files(spark: SparkSession, root: str, pattern: str = "pipeline_*.
         "s.status",
         F.coalesce("s.run_id", "pipeline.run_id").alias("run_id"),
         "s.record_count",
-        "s.file_size_bytes",
+        F.lit(None).cast("bigint").alias("file_size_bytes"),
         "s.output_path",
         "s.error_message",
     )
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+def list_files(spark: SparkSession, root: str | list[str], pattern: str = "*") -> DataFrame:
     """One row per file below ``root``: path, length and content.
 
     Content is only read when a later step asks for it; sizes come from the listing.

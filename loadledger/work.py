@@ -73,12 +73,17 @@ def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | s
     return spark.createDataFrame(table, shape)
 
 
-def exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether anything is stored at a path or below a pattern, on whatever file system it names."""
+def paths(spark: SparkSession, pattern: str) -> list[str]:
+    """What is stored at a path or matches a pattern, on whatever file system it names."""
     path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     found = files.globStatus(path)
-    return found is not None and len(found) > 0
+    return [] if found is None else [status.getPath().toString() for status in found]
+
+
+def exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether anything is stored at a path or below a pattern."""
+    return bool(paths(spark, pattern))
 
 
 def cut_lineage(df: DataFrame, purpose: str = "stage") -> DataFrame:

@@ -19,12 +19,13 @@ def test_urls_and_drivers(spark, oracle):
     assert oracle.url == "jdbc:oracle:thin:@db.example:1521:XE"
     server = JdbcSource.sql_server(spark, "db.example", 1433, "sales", "me", "secret")
     assert server.url == "jdbc:sqlserver://db.example:1433;databaseName=sales"
-    assert server.relation("Orders", "dbo") == "[dbo].[Orders]"
+    assert server.relation("Orders", "dbo") == "dbo.Orders"
+    assert server.relation("Order Lines", "dbo") == "dbo.[Order Lines]"
 
 
 def test_options_of_a_plain_read(oracle):
     options = oracle.options(dbtable=oracle.relation("ORDERS", "SALES"))
-    assert options["dbtable"] == '"SALES"."ORDERS"'
+    assert options["dbtable"] == "SALES.ORDERS"
     assert options["fetchsize"] == "500"
     assert (options["user"], options["password"]) == ("me", "secret")
     assert "numPartitions" not in options and "query" not in options
@@ -35,9 +36,9 @@ def test_identifiers_cannot_break_out(oracle):
 
 
 def test_as_of_read_is_a_derived_table(spark, oracle):
-    text = oracle.relation("ORDERS", "SALES", datetime(2024, 1, 15, 12))
-    assert "AS OF TIMESTAMP TIMESTAMP '2024-01-15 12:00:00'" in text
-    assert text.startswith("(SELECT * FROM") and '"SALES"."ORDERS"' in text
+    text = oracle.relation("ORDERS", "SALES", datetime(2024, 1, 15, 12, 0, 0, 123456))
+    assert "AS OF TIMESTAMP TIMESTAMP '2024-01-15 12:00:00.123456'" in text
+    assert text.startswith("(SELECT * FROM") and "SALES.ORDERS" in text
     server = JdbcSource.sql_server(spark, "h", 1433, "d", "u", "p")
     with pytest.raises(ValueError):
         server.relation("Orders", as_of=datetime(2024, 1, 15))
@@ -96,6 +97,33 @@ def test_every_option_of_a_spec_reaches_the_source(spark):
     read_spec(source, TableSpec("s", "t", custom_query="SELECT 1", incremental_column="c"))
     assert source.asked == [
         ("table", ("t", "x"), {"as_of": moment}),
-        ("ranged", ("t", "id", None), {}),
+        ("ranged", ("t", "id", None), {"inside": None}),
         ("query", ("SELECT 1", ()), {}),
     ]
+
+
+def test_plain_names_stay_bare_and_others_are_quoted(oracle):
+    assert oracle.relation("employees", "hr") == "hr.employees"
+    assert oracle.relation("V$SESSION#1") == "V$SESSION#1"
+    assert oracle.relation("2nd table") == '"2nd table"'
+
+
+def test_bounds_are_asked_for_the_window(spark, oracle):
+    start, end = datetime(2024, 1, 15), datetime(2024, 1, 16)
+    asked = oracle.bounds_query("hr.employees", "id", ("last_modified", start, end))
+    assert asked == (
+        "SELECT min(id) AS low, max(id) AS high, count(*) AS n FROM hr.employees "
+        "WHERE last_modified >= TIMESTAMP '2024-01-15 00:00:00.000000' "
+        "AND last_modified < TIMESTAMP '2024-01-16 00:00:00.000000'"
+    )
+    server = JdbcSource.sql_server(spark, "h", 1433, "d", "u", "p")
+    assert "last_modified >=  '2024-01-15 00:00:00.000' AND" in server.bounds_query("t", "id", ("last_modified", start, end))
+    source = Recorder(spark.range(3).withColumn("at", F.lit("2024-01-15 01:00:00").cast("timestamp_ntz")))
+    spec = TableSpec("s", "t", split_on="id", incremental_column="AT", extraction_date=start.date())
+    assert read_spec(source, spec).count() == 3
+    assert source.asked == [("ranged", ("t", "id", None), {"inside": ("AT", start, end)})]
+
+
+def test_ranges_grow_with_the_table(oracle):
+    assert oracle.parts_for(10) == 4 and oracle.parts_for(1_000_000_000) == 200
+    assert oracle.ranged_options("t", "id", 1, 10**9, oracle.parts_for(10**9))["numPartitions"] == "200"

@@ -65,3 +65,18 @@ def test_windows_close_once_and_late_rows_are_left_out(spark):
     assert run() == [(1, 2)]
     add(spark, inbox, [("a", 4, T0, "x"), ("a", 5, T0 + timedelta(days=4), "x")])
     assert run() == [(1, 2), (3, 1)]
+
+
+def test_stored_states_stay_few(spark):
+    inbox, root, checkpoint = (new_dir(spark, p) for p in ("inbox", "states", "progress"))
+    from loadledger.work import paths
+
+    for batch in range(9):
+        add(spark, inbox, [("a", batch, T0 + timedelta(hours=batch), f"s{batch}"), (f"k{batch}", batch, T0, "x")])
+        live.follow_states(
+            stream(spark, inbox), ["table_key"], ["event_ts", "seq"], root, checkpoint, merge_after=3
+        ).awaitTermination()
+        folders = paths(spark, f"{root}/*/batch_id=*")
+        assert len(folders) <= 5
+        found = {r.table_key: r.status for r in live.live_states(spark, root, ["table_key"]).collect()}
+        assert found == {"a": f"s{batch}"} | {f"k{n}": "x" for n in range(batch + 1)}
