@@ -136,7 +136,7 @@ def transition_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
              WHEN status = 'failed' AND retry_count < 1 THEN 'retryable_failure'
              WHEN status = 'failed' THEN 'retries_exhausted'
              WHEN actual IS NULL THEN 'output_missing'
-             WHEN record_count > 0 AND actual <> record_count
+             WHEN actual <> record_count
                THEN 'output_corrupt'
              ELSE 'up_to_date' END AS reason
       FROM known)

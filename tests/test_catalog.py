@@ -14,7 +14,7 @@ TABLES = (
 
 @pytest.fixture(scope="module")
 def database():
-    from conftest import SF_DIR
+    from given import SF_DIR
 
     connection = duckdb.connect()
     for table in TABLES:

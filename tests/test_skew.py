@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
-from conftest import SF_DIR
+from given import SF_DIR
 from test_catalog import TABLES, in_name_order
 
 HOT = {
