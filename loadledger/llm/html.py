@@ -395,9 +395,12 @@ def fit(texts: list[str], pages: int = LABELLED_PAGES, seed: int = SEED) -> Fiel
 
 
 def sample_texts(pages: DataFrame, id_col: str, html_col: str, rows: int = SAMPLE_ROWS) -> list[str]:
-    """Block texts of a bounded number of pages, chosen by a hash of the id."""
-    chosen = pages.select(F.col(html_col).alias("html"), F.xxhash64(id_col).alias("_h")).orderBy("_h", "html")
-    return [block.text for row in chosen.limit(rows).collect() for block in blocks_of(row.html)]
+    """Block texts of about ``rows`` different pages, chosen by a hash of id and page."""
+    total = pages.count()
+    hashed = pages.select(F.xxhash64(id_col, html_col).alias("_h"), F.col(html_col).alias("html"))
+    share = F.pmod("_h", F.lit(1 << 30)) / (1 << 30)
+    chosen = hashed.where(share < rows / max(1, total)).groupBy("_h").agg(F.min("html").alias("html"))
+    return [block.text for row in sorted(chosen.collect()) for block in blocks_of(row.html)]
 
 
 def extract(
