@@ -227,7 +227,7 @@ def _arrow_type(kind) -> pa.DataType:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those in which a test item was found."""
+    """``docs`` without those in which a test item was found; rows that share an id share its fate."""
     found = cut_lineage(contamination(docs, items, id_col, text_col).select(F.col(id_col).alias("_found")).distinct())
     return docs.join(found, docs[id_col].eqNullSafe(F.col("_found")), "left_anti")
 

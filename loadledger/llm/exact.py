@@ -108,7 +108,10 @@ def _compare(texts: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text another row of a smaller id has."""
+    """``docs`` without the rows whose text another row of a smaller id has.
+
+    Ids name documents: rows that share an id share its fate.
+    """
     dropped = exact_groups(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("_dropped"))
     gone = cut_lineage(dropped.distinct())
     return docs.join(gone, docs[id_col].eqNullSafe(F.col("_dropped")), "left_anti")

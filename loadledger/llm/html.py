@@ -176,7 +176,7 @@ def blocks_of(html: str | None, known: Container[str] | None = None) -> list[Blo
             f"links:{min(4, 4 * linked // len(text))}",
             f"ends:{text[-1] in '.!?:;…。'}",
             f"place:{4 * place // (last + 1)}",
-            f"digits:{4 * sum(map(str.isdigit, text[:200])) > len(text[:200])}",
+            f"digits:{4 * sum(map(text.count, '0123456789')) > len(text)}",
             f"mark:{text[0] in '©&' or text.startswith('(c)')}",
         }
         out.append(Block(text, parent.features | own | {f"nearest:{name}" for name in parent.own}))

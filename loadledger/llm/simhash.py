@@ -128,7 +128,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group of near copies, that of the smallest id."""
+    """``docs`` with one document of each group of near copies, that of the smallest id.
+
+    Ids name documents: rows that share an id share its fate.
+    """
     groups = near_groups(docs, id_col, text_col)
     gone = groups.where(~F.col("component_id").eqNullSafe(F.col(id_col))).select(F.col(id_col).alias("_dropped"))
     return docs.join(cut_lineage(gone.distinct()), docs[id_col].eqNullSafe(F.col("_dropped")), "left_anti")
