@@ -21,12 +21,16 @@ from loadledger.catalog.tables import (
     folded,
     log,
     named,
+    run_of,
     states,
     statuses,
     stored_ledger,
+    transitions,
 )
 from loadledger.operators import progress
 from loadledger.operators.state import fold
+from loadledger.sinks.runlog import RunLog
+from loadledger.work import new_dir
 
 
 @query(WITH_C + "SELECT table_key, business_date, seq, status FROM c")
@@ -225,6 +229,46 @@ def restart_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named(progress.restarts(log(spark, sf_dir), "user_id", "business_date"))
 
 
+# What each transition of the stand-in says about its whole run.
+_RUN_STATUS = {
+    "pending": "PAUSED", "running": "STARTED", "retrying": "STARTED", "completed": "SUCCESS", "failed": "FAILED"
+}
+
+
+@query(
+    WITH_X
+    + """
+    SELECT run_id, business_date, 'hourly' AS name,
+           CASE newest WHEN 'pending' THEN 'PAUSED' WHEN 'completed' THEN 'SUCCESS' WHEN 'failed' THEN 'FAILED'
+                       ELSE 'STARTED' END AS run_status,
+           started_ts, greatest(starts - 1, 0) AS restarts, records,
+           CASE WHEN newest IN ('completed', 'failed') THEN last_ts END AS ended_ts
+    FROM (SELECT run_id, business_date, arg_max(status, struct_pack(ts := event_ts, id := seq)) AS newest,
+                 min(event_ts) AS started_ts, max(event_ts) AS last_ts,
+                 count(*) FILTER (status IN ('running', 'retrying')) AS starts,
+                 arg_max(record_count, struct_pack(ts := event_ts, id := seq)) AS records
+          FROM x GROUP BY run_id, business_date) AS folded
+    """
+)
+def run_log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs as a stored log of their starts, pauses and ends says they stand."""
+    stored = RunLog(spark, new_dir(spark, "runlog"))
+    word = F.create_map(*[F.lit(x) for pair in _RUN_STATUS.items() for x in pair])
+    entries = transitions(spark, sf_dir)
+    stored.append(
+        entries.select(
+            "seq",
+            "event_ts",
+            "business_date",
+            run_of(F.col("event_ts"), F.col("table_key")).alias("run_id"),
+            F.lit("hourly").alias("name"),
+            word[F.col("status")].alias("run_status"),
+            F.col("record_count").alias("records"),
+        ).hint("rebalance", "business_date")
+    )
+    return stored.runs().drop("attempted", "succeeded", "failed")
+
+
 @query(WITH_R + _RUNS + "SELECT * FROM log ORDER BY last_ts DESC, run_id LIMIT 10")
 def recent_runs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return progress.recent_runs(progress.run_log(_run_tables(spark, sf_dir), ["run_id"]), "run_id", 10)

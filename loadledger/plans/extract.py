@@ -22,6 +22,7 @@ from loadledger.operators.quality import BYTES_TOLERANCE, changed_types, run_con
 from loadledger.operators.state import decide
 from loadledger.plans.spec import TableSpec, read_spec
 from loadledger.sinks.ledger import IDENTITY, Ledger
+from loadledger.sinks.runlog import RunLog
 from loadledger.sinks.runs import write_run
 from loadledger.sources.runs import ATTEMPT, list_files
 from loadledger.work import cut_lineage, exists, paths, small_frame
@@ -64,6 +65,8 @@ class Extractor:
         concurrent_tables: int = 8,
         allow_type_changes: bool = False,
         check_content: bool = False,
+        run_log: RunLog | None = None,
+        name: str = "extract",
     ):
         """``check_content`` has stored rows read and compared before a table is skipped."""
         self.source = source
@@ -74,6 +77,8 @@ class Extractor:
         self.concurrent_tables = concurrent_tables
         self.allow_type_changes = allow_type_changes
         self.check_content = check_content
+        self.run_log = run_log
+        self.name = name
 
     def extract(self, spec: TableSpec, force: bool = False) -> Outcome:
         return self._run([spec], force, None)[0]
@@ -84,9 +89,16 @@ class Extractor:
         """Extract side by side; a table that fails does not stop the others. One row per table.
 
         All tables share one run id unless their specs name another. Calling again, with the same run
-        id or a new one, only does what is not yet done.
+        id or a new one, only does what is not yet done. A ``run_log`` gets an entry per date at the
+        start and at the end.
         """
+        run_id = run_id or self._new_run_id()
+        days = sorted({spec.day for spec in specs})
+        for day in days if self.run_log else []:
+            self.run_log.start(run_id, self.name, day)
         rows = [outcome.row() for outcome in self._run(specs, force, run_id)]
+        for day in days if self.run_log else []:
+            self.run_log.finish(run_id, day, self.ledger)
         return small_frame(self.spark, rows, OUTCOME_COLUMNS)
 
     def decisions(self, specs: Sequence[TableSpec], force: bool = False) -> DataFrame:

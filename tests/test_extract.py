@@ -11,6 +11,7 @@ from loadledger.functions.hashing import quick_fingerprint
 from loadledger.operators import progress
 from loadledger.operators.state import reset_failed
 from loadledger.plans.spec import load_specs
+from loadledger.sinks.runlog import RunLog
 from loadledger.sources.runs import read_runs, read_sidecars, read_state_files
 from loadledger.work import cut_lineage, exists, new_dir, workspace
 
@@ -550,3 +551,25 @@ def test_verification_of_many_runs_scans_once_per_schema(spark, tmp_path, monkey
     monkeypatch.setattr(extract, "run_contents", lambda *a: scans.append(a) or real(*a))
     assert {r.verdict for r in extractor.verify(days).collect()} == {"valid"}
     assert len(scans) == 1
+
+
+def test_runs_are_logged_updated_and_taken_up_again(spark, extractor, monkeypatch):
+    extractor.run_log, extractor.name = RunLog(spark, new_dir(spark, "runlog")), "nightly"
+    log = extractor.run_log
+    assert log.runs().collect() == []
+    extractor.extract_many([full("nation"), full("no_such_table")], run_id="r1").collect()
+    extractor.extract_many([full("region")], run_id="r2").collect()
+    rows = {r.run_id: r for r in log.runs([DAY]).collect()}
+    assert (rows["r1"].run_status, rows["r1"].name) == ("PARTIAL", "nightly")
+    assert (rows["r1"].attempted, rows["r1"].succeeded, rows["r1"].failed, rows["r1"].records) == (2, 1, 1, 25)
+    assert rows["r2"].run_status == "SUCCESS" and rows["r2"].ended_ts >= rows["r2"].started_ts
+    left = log.resume("r1", DAY, extractor.ledger).collect()
+    assert [r.table_key for r in left] == ["db.no_such_table"]
+    log.update("r1", DAY, "PAUSED")
+    row = log.runs().where("run_id = 'r1'").first()
+    assert (row.run_status, row.ended_ts, row.records) == ("PAUSED", None, 25)
+    real = LakeSource.table
+    monkeypatch.setattr(LakeSource, "table", lambda self, name, *a: real(self, name.replace("no_such_table", "part"), *a))
+    extractor.extract_many([full("nation"), full("no_such_table")], run_id="r1").collect()
+    row = log.runs().where("run_id = 'r1'").first()
+    assert (row.run_status, row.restarts, row.succeeded) == ("SUCCESS", 1, 2)
