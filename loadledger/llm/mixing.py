@@ -36,7 +36,7 @@ MOST = 3
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1, 2, 3)
 #: Rows that fly together in one task, about.
-BLOCK = 20_000
+BLOCK = 1_000
 #: Probabilities this near to 0 or 1 are decided.
 _NEAR = 1e-9
 #: Landing sums are told apart to this many steps.
