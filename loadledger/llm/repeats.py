@@ -39,7 +39,7 @@ LENGTH = 50
 #: Bytes of the grams that are hashed to choose anchors.
 GRAM = 20
 #: Text in a batch, and text of the corpus per shard, about.
-BATCH_BYTES, SHARD_BYTES = 12 << 20, 16 << 20
+BATCH_BYTES, SHARD_BYTES = 6 << 20, 4 << 20
 #: Starts whose anchors are worked out together.
 _CHUNK = 1 << 19
 _NO_ID = np.iinfo(np.int64).max
@@ -171,7 +171,15 @@ def _stretches(data: np.ndarray, fits: np.ndarray, at: int) -> tuple[np.ndarray,
     moved[1:-1] = least[1:] != least[:-1]
     begins = np.flatnonzero(here & (moved[:-1] | ~np.concatenate(([False], here[:-1]))))
     stops = np.flatnonzero(here & (moved[1:] | ~np.concatenate((here[1:], [False])))) + 1
-    return least[begins] >> np.uint64(16), begins + at, stops - begins
+    return _spread(least[begins] >> np.uint64(16)), begins + at, stops - begins
+
+
+def _spread(anchors: np.ndarray) -> np.ndarray:
+    """Hashes of 48 bits, one to one, as others: the least of many lie low, and shards go by range."""
+    mask = np.uint64(2**48 - 1)
+    anchors = anchors * np.uint64(0x9E3779B97F4B) & mask
+    anchors ^= anchors >> np.uint64(24)
+    return anchors * np.uint64(0xBF58476D1CE5) & mask
 
 
 def _distinct(anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
