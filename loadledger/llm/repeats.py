@@ -42,6 +42,8 @@ GRAM = 20
 BATCH_BYTES, SHARD_BYTES = 6 << 20, 4 << 20
 #: Starts whose anchors are worked out together.
 _CHUNK = 1 << 19
+#: How hard messages and batches are compressed; they are written and moved several times.
+_LEVEL = 4
 _NO_ID = np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15
 _SHARD_OF_INDEX = -1
@@ -51,13 +53,21 @@ _MESSAGES = "shard long, batch long, kind int, content binary"
 _PARTS = ["shard", "batch", "kind", "content"]
 
 
+def _squeeze(raw: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=_LEVEL).compress(raw, asbytes=True)
+
+
+def _expand(packed: bytes, size: int) -> bytes:
+    return pa.decompress(packed, size, codec="zstd", asbytes=True)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays as compressed bytes: equal bytes of neighbouring numbers stand together."""
     out = []
     for array in arrays:
         raw = np.ascontiguousarray(array)
         planes = raw.view(np.uint8).reshape(len(raw), raw.dtype.itemsize).T
-        packed = pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True) if len(raw) else b""
+        packed = _squeeze(np.ascontiguousarray(planes).tobytes()) if len(raw) else b""
         out.append(np.array([len(raw), len(packed)], np.int64).tobytes() + packed)
     return b"".join(out)
 
@@ -69,7 +79,7 @@ def _unpack(content: bytes, *kinds: type) -> list[np.ndarray]:
         at += 16
         width = np.dtype(kind).itemsize
         if count:
-            raw = pa.decompress(content[at : at + size], count * width, codec="zstd", asbytes=True)
+            raw = _expand(content[at : at + size], count * width)
             planes = np.frombuffer(raw, np.uint8).reshape(width, count)
             out.append(np.ascontiguousarray(planes.T).view(kind).reshape(count))
         else:
@@ -90,7 +100,7 @@ def _batched(rows: DataFrame, batch_bytes: int) -> DataFrame:
             kept = np.array([0 if i is None else i for i in ids], np.int64)
             missing = np.array([i is None for i in ids], np.uint8)
             sizes = np.array([len(text) for text in texts], np.int64)
-            packed = pa.compress(b"".join(texts), codec="zstd", asbytes=True) if size else b""
+            packed = _squeeze(b"".join(texts)) if size else b""
             values = [number, _pack(kept), _pack(sizes), _pack(missing), size, packed]
             kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
             names = ["batch", "ids", "sizes", "missing", "bytes", "packed"]
@@ -120,7 +130,7 @@ class _Batch:
         self.missing = missing.astype(bool)
         self.ids = ids
         self.order = np.where(self.missing, _NO_ID, ids)
-        raw = pa.decompress(row["packed"], row["bytes"], codec="zstd", asbytes=True) if row["bytes"] else b""
+        raw = _expand(row["packed"], row["bytes"]) if row["bytes"] else b""
         self.bytes = np.frombuffer(raw, np.uint8)
         self.ends = np.cumsum(self.sizes)
 
@@ -266,8 +276,9 @@ def _send_stretches(shards: int):
             anchors, starts, counts, docs = batch.stretches()
             hashes, which = _distinct(anchors)
             repeated = _bits(answers.to_pylist())[which] if len(hashes) else np.empty(0, bool)
-            chosen = np.flatnonzero(repeated)
-            chosen = chosen[np.argsort(anchors[chosen], kind="stable")]
+            in_text = np.flatnonzero(repeated)
+            by_anchor = np.argsort(anchors[in_text], kind="stable")
+            chosen = in_text[by_anchor]
             whole = batch.bytes.tobytes()
             places: dict[bytes, int] = {}
             stops = starts[chosen] + counts[chosen] + (LENGTH - 1)
@@ -286,7 +297,11 @@ def _send_stretches(shards: int):
                 lengths = np.array([len(text) for text in part], np.uint8)
                 content = _pack(lengths, least[start:stop], np.frombuffer(b"".join(part), np.uint8))
                 sent.append((to, row["batch"], 0, content))
-            index = _pack(starts[chosen], counts[chosen].astype(np.uint8), number, least)
+            # The index goes by the text, where steps between stretches are small numbers.
+            number_of = np.empty(len(number), np.uint32)
+            number_of[by_anchor] = number
+            steps = np.diff(starts[in_text], prepend=0).astype(np.uint32)
+            index = _pack(steps, counts[in_text].astype(np.uint8), number_of, least)
             sent.append((_SHARD_OF_INDEX, row["batch"], 0, index))
         return _messages(sent)
 
@@ -355,7 +370,8 @@ def _cover(batch_rows: pa.Table, messages: pa.Table) -> pa.Table:
     for row in batch_rows.to_pylist():
         batch = _Batch(row)
         index = next(m["content"] for m in said if m["shard"] == _SHARD_OF_INDEX)
-        starts, counts, number, least = _unpack(index, np.int64, np.uint8, np.int64, np.int64)
+        steps, counts, number, least = _unpack(index, np.uint32, np.uint8, np.uint32, np.int64)
+        starts = np.cumsum(steps, dtype=np.int64)
         earlier = _bits(said)
         counts = counts.astype(np.int64)
         windows = np.zeros(len(least), np.int64)
@@ -418,7 +434,7 @@ def remove_repeats(
     )
     index = sent.where(F.col("shard") == _SHARD_OF_INDEX)
     found = sent.where(F.col("shard") != _SHARD_OF_INDEX).groupBy("shard").applyInArrow(_answer_stretches, _MESSAGES)
-    replies = cut_lineage(found.unionByName(index))
+    replies = cut_lineage(found).unionByName(index)
     shape = "id long, n_bytes long, spans array<struct<start:bigint,end:bigint>>, kept binary"
     done = by_batch.cogroup(replies.groupBy("batch")).applyInArrow(_cover, shape)
     return done.withColumnRenamed("id", id_col)

@@ -104,7 +104,7 @@ def _rank(names: np.ndarray) -> np.ndarray:
     """
     size, width = len(names), 1
     while True:
-        order = np.argsort(names, kind="stable")
+        order = np.argsort(names)
         sorted_names = names[order]
         new = np.concatenate([[True], sorted_names[1:] != sorted_names[:-1]])
         rank = np.cumsum(new) - 1
@@ -153,7 +153,9 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, most: int) -> np.ndarra
     words = np.zeros(len(text), np.uint64)
     for byte in range(8):
         words |= padded[byte : byte + len(text)].astype(np.uint64) << np.uint64(8 * byte)
-    permuted = np.argsort(order[1:], kind="stable") + 1
+    place = np.zeros(len(text), np.int64)
+    place[order[1:]] = np.arange(1, len(order))
+    permuted = place[place > 0]
     here, before = order[permuted], order[permuted - 1]
     shared = np.zeros(len(here), np.int64)
     left = np.arange(len(here))
