@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadledger.llm.registry import load, query
+from loadledger.llm.registry import bound_batches, load, query
 from loadledger.work import cut_lineage
 
 SEED_WORDS = 4
@@ -198,6 +198,7 @@ def contamination(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document and item found in it: ``score``, and its words by place."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kinds = [rows.schema["id"].dataType, items.schema[item_col].dataType]
     shape = f"id {kinds[0].simpleString()}, item {kinds[1].simpleString()}, score double, first long, after long"

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadledger.llm.registry import load, query
+from loadledger.llm.registry import bound_batches, load, query
 
 #: Rows whose texts the labelled pages are made of, and how many pages are made.
 SAMPLE_ROWS, LABELLED_PAGES = 200, 600
@@ -407,6 +407,7 @@ def extract(
     pages: DataFrame, field: Field, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
 ) -> DataFrame:
     """One row per page: id, URL, the main text, and its length in code points."""
+    bound_batches(pages.sparkSession)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     shape = rows.schema
     kinds = f"id {shape['id'].dataType.simpleString()}, url {shape['url'].dataType.simpleString()}"

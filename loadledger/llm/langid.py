@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadledger.llm.registry import load, query
+from loadledger.llm.registry import bound_batches, load, query
 from loadledger.work import cut_lineage
 
 UNKNOWN = "und"
@@ -118,6 +118,7 @@ def fit(
     per_language: int = PER_LANGUAGE,
 ) -> Model:
     """Learn from a sample of the rows with a language."""
+    bound_batches(labelled.sparkSession)
     rows = labelled.select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).where("lang IS NOT NULL AND text IS NOT NULL")
@@ -167,6 +168,7 @@ def fit(
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``lang_pred``, ``score`` and ``rejected``."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -183,6 +185,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 def accepted(model: Model, spark: SparkSession, text: Column) -> Column:
     """Whether a text's language is known, as a condition on rows."""
+    bound_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

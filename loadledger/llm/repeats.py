@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadledger.llm.registry import load, query
+from loadledger.llm.registry import bound_batches, load, query
 from loadledger.llm.suffix import common_prefixes, suffix_array
 from loadledger.work import cut_lineage
 
@@ -422,6 +422,7 @@ def remove_repeats(
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """One row per document: id, ``n_bytes``, the ``spans`` taken out, and the bytes ``kept``."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     batches = cut_lineage(_batched(rows, batch_bytes))
     size = batches.agg(F.sum("bytes")).first()[0] or 0

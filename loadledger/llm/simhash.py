@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.llm.graph import components
-from loadledger.llm.registry import load, query
+from loadledger.llm.registry import bound_batches, load, query
 from loadledger.work import cut_lineage
 
 SHINGLE = 3
@@ -60,6 +60,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id`` and ``fingerprint``, as a signed long, of every document."""
+    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
