@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.llm.registry import bound_batches, load, query
+from loadledger.llm.rows import digest, without_rows
 from loadledger.work import cut_lineage
 
 SEED_WORDS = 4
@@ -198,11 +199,18 @@ def contamination(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document and item found in it: ``score``, and its words by place."""
-    bound_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit("").alias("digest"))
+    return _contaminated(rows, items, item_col, item_text_col, block_bytes).select(
+        F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first", "after"
+    )
+
+
+def _contaminated(rows: DataFrame, items: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> DataFrame:
+    """The same for ``id``, ``text`` and ``digest`` of documents, with the digest."""
+    bound_batches(rows.sparkSession)
     kinds = [rows.schema["id"].dataType, items.schema[item_col].dataType]
-    shape = f"id {kinds[0].simpleString()}, item {kinds[1].simpleString()}, score double, first long, after long"
-    context = docs.sparkSession.sparkContext
+    shape = f"id {kinds[0].simpleString()}, digest string, item {kinds[1].simpleString()}, score double, first long, after long"
+    context = rows.sparkSession.sparkContext
     found = []
     for block in blocks_of(items, item_col, item_text_col, block_bytes):
         index = context.broadcast(Index(block))
@@ -210,15 +218,14 @@ def contamination(
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 made = list(index.value.find(text.as_py() for text in batch.column(1)))
-                ids = batch.column(0).take(pa.array([m[0] for m in made], pa.int64()))
-                columns = [ids, *[pa.array([m[c] for m in made], t) for c, t in enumerate(types, 1)]]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "item", "score", "first", "after"])
+                at = pa.array([m[0] for m in made], pa.int64())
+                columns = [pa.array([m[c] for m in made], t) for c, t in enumerate(types, 1)]
+                columns = [batch.column(0).take(at), batch.column(2).take(at), *columns]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "item", "score", "first", "after"])
 
         types = [_arrow_type(kinds[1]), pa.float64(), pa.int64(), pa.int64()]
         found.append(rows.mapInArrow(search, shape))
-    return reduce(DataFrame.unionByName, found).select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first", "after"
-    )
+    return reduce(DataFrame.unionByName, found)
 
 
 def _arrow_type(kind) -> pa.DataType:
@@ -228,9 +235,10 @@ def _arrow_type(kind) -> pa.DataType:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those in which a test item was found; rows that share an id share its fate."""
-    found = cut_lineage(contamination(docs, items, id_col, text_col).select(F.col(id_col).alias("_found")).distinct())
-    return docs.join(found, docs[id_col].eqNullSafe(F.col("_found")), "left_anti")
+    """``docs`` without those in which a test item was found; other rows under their ids stay."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest(F.col(text_col)).alias("digest"))
+    found = _contaminated(rows, items, "item_id", "text", BLOCK_BYTES).select("id", "digest").distinct()
+    return without_rows(docs, id_col, digest(docs[text_col]), found.withColumn("again", F.lit(False)))
 
 
 @query()

@@ -5,9 +5,9 @@ text of the member of the smallest id; members that differ go into a group of th
 until none is left over. Only the texts of groups with several members are gathered for it.
 
 Defined results: a null text counts as empty, and empty texts equal each other. A null id is the
-smallest id of a group only where the group has no other. Rows that repeat the smallest id of their
-group with an equal text are all kept, as nothing tells them apart. Each input row gives one output
-row, an empty table none. Columns other than the two named are not read, so their names may clash.
+smallest id of a group only where the group has no other. In ``exact_groups`` rows that repeat the
+smallest id of their group with an equal text are all ``kept``, as nothing tells them apart, and each
+input row gives one output row; ``exact_dedup`` leaves one of them. An empty table gives none. Columns other than the two named are not read, so their names may clash.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.llm.registry import load, query
+from loadledger.llm.rows import without_rows
 from loadledger.work import cut_lineage
 
 # White space other than a lone space, which its replacement would equal.
@@ -108,13 +109,15 @@ def _compare(texts: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text another row of a smaller id has.
-
-    Ids name documents: rows that share an id share its fate.
-    """
-    dropped = exact_groups(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("_dropped"))
-    gone = cut_lineage(dropped.distinct())
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_dropped")), "left_anti")
+    """``docs`` with one row of each text, that of the smallest id; other rows under its id stay."""
+    groups = exact_groups(docs, id_col, text_col).select(
+        F.col(id_col).alias("id"), F.col("text_sha256").alias("digest"), "kept", "group_size"
+    )
+    pairs = groups.where("group_size > 1").groupBy("id", "digest").agg(
+        F.first("kept").alias("again"), F.count(F.lit(1)).alias("_n")
+    )
+    fates = pairs.where("NOT again OR _n > 1")
+    return without_rows(docs, id_col, F.sha2(normalised(docs[text_col]), 256), fates)
 
 
 @query(
