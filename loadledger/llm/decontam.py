@@ -1,17 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Words stand between white space, in lower case and without punctuation at either end; what is only
-punctuation is no word. So case, line breaks and the marks around words do not matter. A seed is an n-gram of a test item that few items have; where it occurs in a document it
-lays the item against the words around it. The local alignment of the two gives a score, as a share
-of what the item scores against itself, which edited and paraphrased copies keep most of.
+punctuation is no word. So case, line breaks and the marks around words do not matter. A seed is any
+n-gram of a test item; where it occurs in a document it lays the item against the words around it.
+The local alignment of the two gives a score, as a share of what the item scores against itself,
+which edited and paraphrased copies keep most of.
+
+Items that share a common n-gram are not all aligned with a document that has it. An alignment has no
+more matches than the item has words that occur in the document, so items that cannot reach their
+least score by that count are left out first, all together. The count decides nothing else, so it
+changes no result, and neither does the number of items in a block.
 
 The items are the smaller side, but nothing bounds them: they come in blocks of at most about
 ``BLOCK_BYTES`` of text, and each block is sent to the tasks and joined with every document in one
 pass. Documents are not moved at all, so common passages make no hot key, and all of a document's
 words are searched.
 
-Defined results: null texts have no words. An item of fewer words than a seed is never found. An
-item whose n-grams are all common is searched by all of them. Repeated documents give repeated
+Defined results: null texts have no words. An item of fewer words than a seed is never found. Repeated documents give repeated
 rows, repeated item ids one row of the best score. Empty tables give none. Null ids are kept as
 they are. Other columns are not read.
 """
@@ -33,8 +38,6 @@ from loadledger.llm.rows import digest, without_rows
 from loadledger.work import cut_lineage
 
 SEED_WORDS = 4
-#: An n-gram that more items have is no seed: a number of items, or a share of a block's if larger.
-COMMON_ITEMS, COMMON_SHARE = 10, 0.01
 #: An aligned pair counts from this share of the item's own score, and from this many points.
 LEAST_SHARE, LEAST_POINTS = 0.3, 16
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -86,15 +89,16 @@ class Index:
         codes = np.concatenate([np.empty(0, np.uint64), *grams])
         item_of = np.repeat(np.arange(len(grams)), sizes)
         place_of = np.concatenate([np.empty(0, np.int64), *[np.arange(n) for n in sizes]])
-        pairs = np.unique(np.stack([codes, item_of.astype(np.uint64)]), axis=1)
-        gram, having = np.unique(pairs[0], return_counts=True)
-        limit = max(COMMON_ITEMS, COMMON_SHARE * len(listed))
-        rare = having[np.searchsorted(gram, codes)] <= limit if len(codes) else np.empty(0, bool)
-        seeded = np.bincount(item_of[rare], minlength=len(listed)) > 0
-        rare |= ~seeded[item_of]
-        order = np.argsort(codes[rare], kind="stable")
-        self.codes = codes[rare][order]
-        self.item_of, self.place_of = item_of[rare][order], place_of[rare][order]
+        order = np.argsort(codes, kind="stable")
+        self.codes = codes[order]
+        self.item_of, self.place_of = item_of[order], place_of[order]
+        self.sizes = np.array([len(item) for item in self.items], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.words = np.concatenate([np.empty(0, np.int64), *self.items])
+        own = MATCH * self.sizes
+        self.least = np.maximum(LEAST_SHARE * own, np.minimum(LEAST_POINTS, own))
+        # By the number of a word, and a last place for words of no item.
+        self.present = np.zeros(len(vocabulary) + 1, bool)
 
     @staticmethod
     def _grams(numbers: np.ndarray) -> np.ndarray:
@@ -137,24 +141,51 @@ class Index:
         low = np.searchsorted(self.codes, codes[at], "left")
         high = np.searchsorted(self.codes, codes[at], "right")
         hits = high > low
-        owners = np.searchsorted(starts, at[hits], "right") - 1
+        at, low, high = at[hits], low[hits], high[hits]
+        owners = np.searchsorted(starts, at, "right") - 1
         laid: dict[tuple[int, int], set[int]] = {}
-        for owner, place, a, b in zip(owners.tolist(), at[hits].tolist(), low[hits].tolist(), high[hits].tolist()):
-            for k in range(a, b):
-                start = place - int(starts[owner]) - int(self.place_of[k])
-                laid.setdefault((owner, int(self.item_of[k])), set()).add(start)
+        firsts = np.flatnonzero(np.diff(owners, prepend=-1)).tolist()
+        for begin, end in zip(firsts, [*firsts[1:], len(owners)]):
+            owner = int(owners[begin])
+            fit = self._fit(group[owner][1], low[begin:end], high[begin:end])
+            places = (at[begin:end] - starts[owner]).tolist()
+            for place, a, b in zip(places, low[begin:end].tolist(), high[begin:end].tolist()):
+                ks = a + np.flatnonzero(fit[self.item_of[a:b]])
+                for which, shift in zip(self.item_of[ks].tolist(), self.place_of[ks].tolist()):
+                    laid.setdefault((owner, which), set()).add(place - shift)
         found: dict = {}
         for (owner, which), places in laid.items():
-            got = self._best(self.items[which], group[owner][1], sorted(places))
+            got = self._best(which, group[owner][1], sorted(places))
             key = (group[owner][0], self.ids[which])
             if got is not None and (key not in found or got > found[key]):
                 found[key] = got
         return iter([(*key, *got) for key, got in found.items()])
 
-    def _best(self, item: np.ndarray, numbers: np.ndarray, starts: list[int]) -> tuple | None:
+    def _fit(self, numbers: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """By item, whether a seed of the ranges is its own and enough of its words occur in the text."""
+        fit = np.zeros(len(self.items), bool)
+        for a, b in set(zip(low.tolist(), high.tolist())):
+            fit[self.item_of[a:b]] = True
+        which = np.flatnonzero(fit)
+        sizes = self.sizes[which]
+        ends = np.cumsum(sizes)
+        words = np.arange(ends[-1]) + np.repeat(self.begins[which] - (ends - sizes), sizes)
+        shared = np.add.reduceat(self._occurs(self.words[words], numbers), ends - sizes, dtype=np.int64)
+        fit[which] = MATCH * shared >= self.least[which]
+        return fit
+
+    def _occurs(self, words: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+        """Whether each word, all of them of items, is one of the numbers of a text."""
+        self.present[numbers] = True
+        self.present[_UNKNOWN] = False
+        occurs = self.present[words]
+        self.present[numbers] = False
+        return occurs
+
+    def _best(self, which: int, numbers: np.ndarray, starts: list[int]) -> tuple | None:
+        item, least = self.items[which], self.least[which]
         slack = len(item) // 2 + SEED_WORDS
         own = MATCH * len(item)
-        least = max(LEAST_SHARE * own, min(LEAST_POINTS, own))
         best = None
         first = last = None
         spans = []
@@ -168,6 +199,8 @@ class Index:
             first, last = a, b
         spans.append((first, last))
         for a, b in spans:
+            if MATCH * np.count_nonzero(self._occurs(item, numbers[a:b])) < least:
+                continue
             points, end, item_end = align(item, numbers[a:b])
             if points < least or (best is not None and points / own <= best[0]):
                 continue

@@ -115,3 +115,18 @@ def test_an_item_of_common_words_is_still_found(spark):
     items = spark.createDataFrame([(k, text) for k in range(40)], ITEMS)
     docs = spark.range(3).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
     assert contamination(docs, items).count() == 120
+
+
+def test_a_shared_passage_finds_every_item_that_has_it_in_blocks_of_any_size(spark):
+    rng = random.Random(9)
+    passage = " ".join(f"p{k}" for k in range(40))
+    items = [(k, f"{passage} {' '.join(rng.choices([f'q{j}' for j in range(500)], k=12))}") for k in range(60)]
+    items += [(100 + k, f"which of the following {' '.join(f'r{k}x{j}' for j in range(20))}") for k in range(60)]
+    docs = [(1, f"before it {passage} after it"), (2, "which of the following is true of p1 and p2"),
+            (3, passage.replace("p7 ", "other ").replace("p20 ", "")), (4, items[70][1])]
+    want = brute(docs, items)
+    assert {(d, i) for d, i in want} == {(d, i) for d in (1, 3) for i in range(60)} | {(4, 110)}
+    d, i = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    for size in (2_000, 1 << 20):
+        got = contamination(d, i, block_bytes=size).collect()
+        assert {(r.doc_id, r.item_id): round(r.score, 9) for r in got} == want
