@@ -1,7 +1,8 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Words stand between white space, in lower case and without punctuation at either end; what is only
-punctuation is no word. So case, line breaks and the marks around words do not matter. A seed is any
+punctuation is no word. So case, line breaks and the marks around words do not matter. Scripts that are
+written without spaces give a word for each two characters that follow each other. A seed is any
 n-gram of a test item; where it occurs in a document it lays the item against the words around it.
 The local alignment of the two gives a score, as a share of what the item scores against itself,
 which edited and paraphrased copies keep most of.
@@ -16,13 +17,15 @@ The items are the smaller side, but nothing bounds them: they come in blocks of
 pass. Documents are not moved at all, so common passages make no hot key, and all of a document's
 words are searched.
 
-Defined results: null texts have no words. An item of fewer words than a seed is never found. Repeated documents give repeated
+Defined results: null texts have no words. An item of fewer words than a
+seed is never found. Repeated documents give repeated
 rows, repeated item ids one row of the best score. Empty tables give none. Null ids are kept as
 they are. Other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
 import string
 from collections.abc import Iterator
 from functools import reduce
@@ -40,6 +43,8 @@ from loadledger.work import cut_lineage
 SEED_WORDS = 4
 #: An aligned pair counts from this share of the item's own score, and from this many points.
 LEAST_SHARE, LEAST_POINTS = 0.3, 16
+#: From this many points on it counts whatever its share, so that long items hide no long passage.
+ENOUGH_POINTS = 60
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Text of the items that is sent to the tasks at once.
 BLOCK_BYTES = 4 << 20
@@ -48,11 +53,32 @@ BLOCK_BYTES = 4 << 20
 _TOGETHER = 500_000
 # Fixed value: the marks that are cut off at both ends of a word.
 _MARKS = string.punctuation + "\u00a1\u00a7\u00ab\u00b6\u00bb\u00bf\u2013\u2014\u2018\u2019\u201c\u201d\u201e\u2026\u3001\u3002"
-_UNKNOWN, _NO_WORD = -1, -2
+_MARKS += "\u3008\u3009\u300a\u300b\u300c\u300d\u300e\u300f\u3010\u3011\u30fb\uff01\uff08\uff09\uff0c\uff1a\uff1b\uff1f"
+# Thai, Lao, Myanmar, Khmer, kana, bopomofo and Han, which stand without spaces.
+_UNSPACED = re.compile(
+    "([\u0e01-\u0e4e\u0e81-\u0ecd\u1000-\u1049\u1050-\u109f\u1780-\u17d3\u3005-\u3007\u3041-\u3096\u309d-\u309f"
+    "\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+    "\uff66-\uff9f\U00020000-\U0003ffff]+)"
+)
+_UNKNOWN = -1
 
 
 def words_of(text: str | None) -> list[str]:
-    return [word for token in (text or "").lower().split() if (word := token.strip(_MARKS))]
+    """The words; a run of a script without spaces gives each pair of neighbours, or its one character."""
+    text = (text or "").lower()
+    if text.isascii() or _UNSPACED.search(text) is None:
+        return _bare(text)
+    words = []
+    for place, part in enumerate(_UNSPACED.split(text)):
+        if place % 2:
+            words += [part[k : k + 2] for k in range(max(1, len(part) - 1))]
+        else:
+            words += _bare(part)
+    return words
+
+
+def _bare(text: str) -> list[str]:
+    return [word for word in map(str.strip, text.split(), repeat(_MARKS)) if word]
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -81,7 +107,7 @@ class Index:
     def __init__(self, items: list[tuple]):
         listed = [(item_id, words_of(text)) for item_id, text in items]
         vocabulary = sorted({word for _, words in listed for word in words})
-        self.number = {word: place for place, word in enumerate(vocabulary)} | {"": _NO_WORD}
+        self.number = {word: place for place, word in enumerate(vocabulary)}
         self.ids = [item_id for item_id, _ in listed]
         self.items = [np.array([self.number[w] for w in words], np.int64) for _, words in listed]
         grams = [self._grams(item) for item in self.items]
@@ -96,7 +122,7 @@ class Index:
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.words = np.concatenate([np.empty(0, np.int64), *self.items])
         own = MATCH * self.sizes
-        self.least = np.maximum(LEAST_SHARE * own, np.minimum(LEAST_POINTS, own))
+        self.least = np.maximum(np.minimum(LEAST_SHARE * own, ENOUGH_POINTS), np.minimum(LEAST_POINTS, own))
         # By the number of a word, and a last place for words of no item.
         self.present = np.zeros(len(vocabulary) + 1, bool)
 
@@ -115,10 +141,8 @@ class Index:
         return np.where(known, codes | np.uint64(1), np.uint64(0))
 
     def _numbers(self, text: str | None) -> np.ndarray:
-        tokens = (text or "").lower().split()
-        bare = map(str.strip, tokens, repeat(_MARKS))
-        numbers = np.fromiter(map(self.number.get, bare, repeat(_UNKNOWN)), np.int64, len(tokens))
-        return numbers[numbers != _NO_WORD]
+        words = words_of(text)
+        return np.fromiter(map(self.number.get, words, repeat(_UNKNOWN)), np.int64, len(words))
 
     def find(self, texts: Iterator[str | None]) -> Iterator[tuple]:
         """Items found in texts: the text's place, id, share of own score, first word, word after the last."""

@@ -130,3 +130,19 @@ def test_a_shared_passage_finds_every_item_that_has_it_in_blocks_of_any_size(spa
     for size in (2_000, 1 << 20):
         got = contamination(d, i, block_bytes=size).collect()
         assert {(r.doc_id, r.item_id): round(r.score, 9) for r in got} == want
+
+
+def test_a_long_passage_of_a_longer_item_is_found():
+    words = [f"w{k}" for k in range(1000)]
+    index = Index([(7, " ".join(words)), (8, " ".join(words[:400]))])
+    found = {row[:2]: (round(row[2], 9), *row[3:]) for row in index.find([
+        " ".join(["before", *words[300:350], "after"]), " ".join(words[300:329]), " ".join(words[300:330])])}
+    assert found == {(0, 7): (0.05, 1, 51), (0, 8): (0.125, 1, 51), (2, 7): (0.03, 0, 30), (2, 8): (0.075, 0, 30)}
+
+
+def test_scripts_without_spaces_are_cut_into_words():
+    items = ["北京是中华人民共和国的首都和政治中心吗", "日本で一番高い山は富士山ですか", "ประเทศไทยมีเมืองหลวงชื่อว่าอะไร"]
+    index = Index(list(enumerate(items)))
+    texts = [f"前文。{items[0]}？后文", f"Q: {items[1]}!", f"ถาม {items[2]} ตอบ", "上海是一座很大的城市。", None, "no such words"]
+    assert [(row[:2], row[2]) for row in index.find(texts)] == [((k, k), 1.0) for k in range(3)]
+    assert words_of("Der Name 東京都,x y") == ["der", "name", "東京", "京都", "x", "y"]
