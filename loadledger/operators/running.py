@@ -9,55 +9,56 @@ from pyspark.sql import functions as F
 
 from loadledger.work import cut_lineage
 
-#: More slices than this are of no use to a cluster, whatever the estimate says.
-MOST_SLICES = 1_000_000
-
-
-def slices_for(df: DataFrame) -> int:
-    """Slices of about the size Spark advises for a partition, from its estimate of the input."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    advised = df.sparkSession._jsparkSession.sessionState().conf().getConfString(
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB"
-    )
-    bytes_each = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advised)
-    # An estimate that multiplies the sides of a join can be beyond any real size.
-    return max(1, min(-(-int(str(size)) // bytes_each), MOST_SLICES))
-
-
-def number_rows(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int | None = None
+def running_sums(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], summed: Sequence[str], slices: int | None = None
 ) -> DataFrame:
-    """Add ``name``: 1, 2, 3, … within each key, in ``order``.
+    """``df`` with each of ``summed`` replaced by its sum over the rows of the key up to this one, in ``order``.
 
     A plain window would send a whole key to one task. Here the rows are range-partitioned by key
-    and order, so a hot key spreads over many slices of even size. Rows are numbered inside their
-    slice and then moved up by the count of the same key in earlier slices. The slices are written
+    and order, so a hot key spreads over many slices of even size. Rows are summed inside their
+    slice and then moved up by the sums of the same key in earlier slices. The slices are written
     out first: their borders come from a sample, and a recomputed task must not see others.
 
     Only a key that crosses a slice border needs moving, and a slice has one such key at each end.
-    So the broadcast side has at most two rows per slice, whatever the size of the data.
+    So the broadcast side has at most two rows per slice, whatever the size of the data. Unless
+    ``slices`` says how many there are, they are shuffle partitions like any others: as many as the
+    session sets, small ones merged.
     """
-    parts = slices or slices_for(df)
-    cut = cut_lineage(
-        df.repartitionByRange(parts, *keys, *order).withColumn("_slice", F.spark_partition_id())
-    )
-    sizes = cut.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    dealt = df.repartitionByRange(*([slices] if slices else []), *keys, *order)
+    cut = cut_lineage(dealt.withColumn("_slice", F.spark_partition_id()))
+    sizes = cut.groupBy(*keys, "_slice").agg(*[F.sum(name).alias(f"_all_{name}") for name in summed])
     earlier = (
         Window.partitionBy(*keys)
         .orderBy("_slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    before = {name: F.sum(f"_all_{name}").over(earlier) for name in summed}
     shifts = (
-        sizes.withColumn("_before", F.sum("_size").over(earlier))
-        .where(F.col("_before").isNotNull())
-        .select(*[F.col(key).alias(f"_of_{key}") for key in keys], F.col("_slice").alias("_at"), "_before")
+        sizes.withColumn("_later", F.count(F.lit(1)).over(earlier) > 0)
+        .withColumns({f"_before_{name}": total for name, total in before.items()})
+        .where("_later")
+        .select(
+            *[F.col(key).alias(f"_of_{key}") for key in keys],
+            F.col("_slice").alias("_at"),
+            *[f"_before_{name}" for name in summed],
+        )
     )
     same_slice = F.col("_slice") == F.col("_at")
     for key in keys:
         same_slice = same_slice & F.col(key).eqNullSafe(F.col(f"_of_{key}"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    inside = Window.partitionBy(*keys, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = {name: F.sum(name).over(inside).alias(name) for name in summed}
+    moved = {name: (F.col(name) + F.coalesce(f"_before_{name}", F.lit(0))).alias(name) for name in summed}
     return (
-        cut.withColumn("_place", F.row_number().over(inside))
+        cut.select(*[sums.get(name, F.col(name)) for name in df.columns], "_slice")
         .join(F.broadcast(shifts), same_slice, "left")
-        .select(*df.columns, (F.col("_place") + F.coalesce("_before", F.lit(0))).alias(name))
+        .select(*[moved.get(name, F.col(name)) for name in df.columns])
     )
+
+
+def number_rows(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int | None = None
+) -> DataFrame:
+    """Add ``name``: 1, 2, 3, … within each key, in ``order``; hot keys are split as in :func:`running_sums`."""
+    ones = df.withColumn(name, F.lit(1).cast("long"))
+    return running_sums(ones, keys, order, [name], slices)

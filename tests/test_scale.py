@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loadledger.catalog.tables import LOG_KEY, ORDER, as_log
 from loadledger.operators.latest import latest
 from loadledger.operators.progress import table_lists
-from loadledger.operators.running import number_rows
+from loadledger.operators.running import number_rows, running_sums
 from loadledger.operators.state import fold
 from loadledger.plans.spec import TableSpec, read_spec
 from loadledger.sinks.runs import write_batches
@@ -59,6 +59,21 @@ def test_numbering_keeps_null_keys_and_ties(spark):
     assert all(r.c == r.d == r.m for r in numbered.collect())
 
 
+def test_running_sums_of_a_hot_key_equal_a_window(spark, sf_dir):
+    events = skewed(spark, sf_dir).select("user_id", "ts", "event_id", F.col("event_id").alias("a"), F.lit(1).alias("b"))
+    upto = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
+    plain = events.withColumns({"a": F.sum("a").over(upto), "b": F.sum("b").over(upto)})
+    sliced = running_sums(events, ["user_id"], ["ts", "event_id"], ["a", "b"], slices=16)
+    assert sliced.columns == events.columns
+    assert sorted(sliced.collect()) == sorted(plain.collect())
+
+
+def test_few_rows_are_one_slice(spark):
+    rows = running_sums(spark.range(200), [], ["id"], ["id"])
+    assert rows.rdd.getNumPartitions() <= 8
+    assert max(r.id for r in rows.collect()) == 199 * 100
+
+
 def test_no_slice_of_a_hot_key_is_large(spark, sf_dir):
     events = skewed(spark, sf_dir).select("user_id", "ts", "event_id")
     sizes = (
