@@ -20,7 +20,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
@@ -96,6 +96,8 @@ class PrefixCounter:
         self.older: dict[str, bytes] = {}
         self.apart: dict[tuple[str, str], bool] = {}
         self.spines: dict[str, tuple[list, list] | None] = {}
+        self.inside = _lengths(t for t in self.vocabulary if not (self.mark and t.endswith(self.mark)))
+        self.ending = _lengths(t.removesuffix(self.mark) for t in self.vocabulary if t.endswith(self.mark))
 
     def _spines(self, token: str) -> tuple[list, list] | None:
         """The symbols at the right and the left edge while a token is made, each with the rank of the
@@ -141,34 +143,31 @@ class PrefixCounter:
             self.apart[key] = known
         return known
 
+    def _last(self, line: str, end: int, lasts: list[str], lengths: tuple[int, ...], mark: str) -> tuple[int, str]:
+        """Where the last token of a prefix starts, and that token."""
+        vocabulary, apart = self.vocabulary, self.apart
+        for length in lengths:
+            start = end - length
+            if start >= 0:
+                token = line[start:end] + mark
+                if token in vocabulary:
+                    known = apart.get((lasts[start], token))
+                    if known or known is None and self._stays(lasts[start], token):
+                        return start, token
+        raise ValueError(f"the vocabulary lacks {line[end - 1] + mark!r}")
+
     def _word(self, word: str) -> list[int]:
         """The count at the end of each code point of a word, as if the word ended there."""
         line = "".join([self.symbols[byte] for byte in word.encode()])
         wanted = None if word.isascii() else set(accumulate(len(char.encode()) for char in word))
-        vocabulary, mark, apart, stays = self.vocabulary, self.mark, self.apart, self._stays
         lasts, counts, finals = [""], [0], []
         for end in range(1, len(line) + 1):
-            first = max(0, end - self.longest)
-            for start in range(first, end):
-                token = line[start:end]
-                if token in vocabulary:
-                    known = apart.get((lasts[start], token))
-                    if known or known is None and stays(lasts[start], token):
-                        break
-            else:
-                raise ValueError(f"the vocabulary lacks {line[end - 1]!r}")
+            tail = line[end - 3 : end] if end > 2 else line[:end]
+            start, token = self._last(line, end, lasts, self.inside.get(tail, (2, 1)), "")
+            if wanted is None or end in wanted:
+                finals.append(counts[self._last(line, end, lasts, self.ending.get(tail, (2, 1)), self.mark)[0]] + 1)
             lasts.append(token)
             counts.append(counts[start] + 1)
-            if wanted is None or end in wanted:
-                for start in range(first, end):
-                    token = line[start:end] + mark
-                    if token in vocabulary:
-                        known = apart.get((lasts[start], token))
-                        if known or known is None and stays(lasts[start], token):
-                            break
-                else:
-                    raise ValueError(f"the vocabulary lacks {line[end - 1] + mark!r}")
-                finals.append(counts[start] + 1)
         return finals
 
     def _counts(self, piece: str) -> list[int]:
@@ -272,6 +271,14 @@ def _changes(counts: list[int]) -> bytes:
     return bytes([(count - before) & 255 for before, count in zip([0, *counts], counts)])
 
 
+def _lengths(tokens: Iterable[str]) -> dict[str, tuple[int, ...]]:
+    """By the last three symbols of tokens how long such tokens are; the longest first, and any may be short."""
+    found: dict[str, set[int]] = {}
+    for token in tokens:
+        found.setdefault(token[-3:], {2, 1}).add(len(token))
+    return {tail: tuple(sorted(lengths, reverse=True)) for tail, lengths in found.items()}
+
+
 @lru_cache(2)
 def counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
