@@ -30,6 +30,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ from loadledger.work import cut_lineage
 
 #: Words whose tokens a task remembers; all are forgotten when there are more.
 REMEMBERED = 1 << 18
+#: Bytes of text that are aligned at once, about; these documents are a block.
+TOGETHER = 2 << 20
 #: Groups with more links than this list their distinct ids before these are paired.
 _LARGE = 256
 #: Ids of either side are below this.
@@ -256,7 +259,7 @@ def _blocks(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _side(a_path), _side(b_path)
         part = TaskContext.get().partitionId()
-        for number, batch in enumerate(batches):
+        for number, batch in enumerate(_pieces(batches)):
             aligned = Aligned(batch.column(1).to_pylist(), a, b)
             codes, times = aligned.links()
             holder, pair = np.divmod(codes, _IDS * _IDS)
@@ -278,6 +281,16 @@ def _blocks(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return rows.mapInArrow(work, shape)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of bounded text; a longer text is one of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        piece = np.cumsum(sizes, dtype=np.int64) // TOGETHER
+        starts = np.flatnonzero(np.diff(piece, prepend=-1)).tolist()
+        for begin, end in zip(starts, [*starts[1:], batch.num_rows]):
+            yield batch.slice(begin, end - begin)
+
+
 def pair_counts(blocks: DataFrame) -> DataFrame:
     """Every id pair that is linked anywhere: ``pair``, in how many documents, and if its A id has no better."""
     listed = blocks.select(F.explode(F.arrays_zip("pairs", "holders")).alias("_of"))
@@ -348,7 +361,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
     listed = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             made = Aligned(batch.column(1).to_pylist(), _side(a_path), _side(b_path)).groups()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, listed)], ["id", "groups"])
 

@@ -3,7 +3,7 @@
 Words stand between white space, in lower case and without punctuation at either end; what is only
 punctuation is no word. So case, line breaks and the marks around words do not matter. Scripts that are
 written without spaces give a word for each two characters that follow each other. A seed is any
-n-gram of a test item; where it occurs in a document it lays the item against the words around it.
+n-gram of a test item, all its words for an item of fewer; where it occurs in a document it lays the item against the words around it.
 The local alignment of the two gives a score, as a share of what the item scores against itself,
 which edited and paraphrased copies keep most of.
 
@@ -17,8 +17,8 @@ The items are the smaller side, but nothing bounds them: they come in blocks of
 pass. Documents are not moved at all, so common passages make no hot key, and all of a document's
 words are searched.
 
-Defined results: null texts have no words. An item of fewer words than a
-seed is never found. Repeated documents give repeated
+Defined results: null texts have no words, and an item without words is never found. An item of up to
+eight words is found only whole. Repeated documents give repeated
 rows, repeated item ids one row of the best score. Empty tables give none. Null ids are kept as
 they are. Other columns are not read.
 """
@@ -32,12 +32,12 @@ from functools import reduce
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.llm.registry import bound_batches, load, query
-from loadledger.llm.rows import digest, without_rows
 from loadledger.work import cut_lineage
 
 SEED_WORDS = 4
@@ -110,14 +110,7 @@ class Index:
         self.number = {word: place for place, word in enumerate(vocabulary)}
         self.ids = [item_id for item_id, _ in listed]
         self.items = [np.array([self.number[w] for w in words], np.int64) for _, words in listed]
-        grams = [self._grams(item) for item in self.items]
-        sizes = [len(g) for g in grams]
-        codes = np.concatenate([np.empty(0, np.uint64), *grams])
-        item_of = np.repeat(np.arange(len(grams)), sizes)
-        place_of = np.concatenate([np.empty(0, np.int64), *[np.arange(n) for n in sizes]])
-        order = np.argsort(codes, kind="stable")
-        self.codes = codes[order]
-        self.item_of, self.place_of = item_of[order], place_of[order]
+        self.seeds = {width: self._seeds(width) for width in sorted({min(len(i), SEED_WORDS) for i in self.items} - {0})}
         self.sizes = np.array([len(item) for item in self.items], np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.words = np.concatenate([np.empty(0, np.int64), *self.items])
@@ -126,15 +119,25 @@ class Index:
         # By the number of a word, and a last place for words of no item.
         self.present = np.zeros(len(vocabulary) + 1, bool)
 
+    def _seeds(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The codes of the seeds of a width in order, with the item and the place of each."""
+        chosen = [k for k, item in enumerate(self.items) if min(len(item), SEED_WORDS) == width]
+        grams = [self._grams(self.items[k], width) for k in chosen]
+        sizes = [len(g) for g in grams]
+        codes = np.concatenate(grams)
+        order = np.argsort(codes, kind="stable")
+        places = np.concatenate([np.arange(n) for n in sizes])
+        return codes[order], np.repeat(chosen, sizes)[order], places[order]
+
     @staticmethod
-    def _grams(numbers: np.ndarray) -> np.ndarray:
+    def _grams(numbers: np.ndarray, width: int) -> np.ndarray:
         """A code for each n-gram of numbered words; unknown words are below 0 and give code 0."""
-        count = len(numbers) - SEED_WORDS + 1
+        count = len(numbers) - width + 1
         if count <= 0:
             return np.empty(0, np.uint64)
         codes = np.zeros(count, np.uint64)
         known = np.ones(count, bool)
-        for shift in range(SEED_WORDS):
+        for shift in range(width):
             part = numbers[shift : shift + count]
             codes = codes * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64) + np.uint64(1)
             known &= part >= 0
@@ -160,36 +163,42 @@ class Index:
         gap = np.full(SEED_WORDS, _UNKNOWN, np.int64)
         line = np.concatenate([gap, *[part for _, numbers in group for part in (numbers, gap)]])
         starts = np.cumsum([SEED_WORDS, *[len(numbers) + SEED_WORDS for _, numbers in group]])
-        codes = self._grams(line)
+        laid: dict[tuple[int, int], set[int]] = {}
+        for width in self.seeds:
+            self._lay(width, group, line, starts, laid)
+        found: dict = {}
+        for (owner, which), places in laid.items():
+            got = self._best(which, group[owner][1], sorted(places))
+            key = (group[owner][0], self.ids[which])
+            if got is not None and (key not in found or got > found[key]):
+                found[key] = got
+        return iter([(*key, *got) for key, got in found.items()])
+
+    def _lay(self, width: int, group: list, line: np.ndarray, starts: np.ndarray, laid: dict) -> None:
+        """Adds where seeds of a width lay items against the texts of a group, by text and item."""
+        known, item_of, place_of = self.seeds[width]
+        codes = self._grams(line, width)
         at = np.flatnonzero(codes)
-        low = np.searchsorted(self.codes, codes[at], "left")
-        high = np.searchsorted(self.codes, codes[at], "right")
+        low = np.searchsorted(known, codes[at], "left")
+        high = np.searchsorted(known, codes[at], "right")
         hits = high > low
         at, low, high = at[hits], low[hits], high[hits]
         owners = np.searchsorted(starts, at, "right") - 1
-        laid: dict[tuple[int, int], set[int]] = {}
         firsts = np.flatnonzero(np.diff(owners, prepend=-1)).tolist()
         for begin, end in zip(firsts, [*firsts[1:], len(owners)]):
             owner = int(owners[begin])
-            fit = self._fit(group[owner][1], low[begin:end], high[begin:end])
+            fit = self._fit(group[owner][1], item_of, low[begin:end], high[begin:end])
             places = (at[begin:end] - starts[owner]).tolist()
             for place, a, b in zip(places, low[begin:end].tolist(), high[begin:end].tolist()):
-                ks = a + np.flatnonzero(fit[self.item_of[a:b]])
-                for which, shift in zip(self.item_of[ks].tolist(), self.place_of[ks].tolist()):
+                ks = a + np.flatnonzero(fit[item_of[a:b]])
+                for which, shift in zip(item_of[ks].tolist(), place_of[ks].tolist()):
                     laid.setdefault((owner, which), set()).add(place - shift)
-        found: dict = {}
-        for (owner, which), places in laid.items():
-            got = self._best(which, group[owner][1], sorted(places))
-            key = (group[owner][0], self.ids[which])
-            if got is not None and (key not in found or got > found[key]):
-                found[key] = got
-        return iter([(*key, *got) for key, got in found.items()])
 
-    def _fit(self, numbers: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    def _fit(self, numbers: np.ndarray, item_of: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """By item, whether a seed of the ranges is its own and enough of its words occur in the text."""
         fit = np.zeros(len(self.items), bool)
         for a, b in set(zip(low.tolist(), high.tolist())):
-            fit[self.item_of[a:b]] = True
+            fit[item_of[a:b]] = True
         which = np.flatnonzero(fit)
         sizes = self.sizes[which]
         ends = np.cumsum(sizes)
@@ -256,17 +265,10 @@ def contamination(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per document and item found in it: ``score``, and its words by place."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.lit("").alias("digest"))
-    return _contaminated(rows, items, item_col, item_text_col, block_bytes).select(
-        F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first", "after"
-    )
-
-
-def _contaminated(rows: DataFrame, items: DataFrame, item_col: str, item_text_col: str, block_bytes: int) -> DataFrame:
-    """The same for ``id``, ``text`` and ``digest`` of documents, with the digest."""
-    bound_batches(rows.sparkSession)
+    bound_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kinds = [rows.schema["id"].dataType, items.schema[item_col].dataType]
-    shape = f"id {kinds[0].simpleString()}, digest string, item {kinds[1].simpleString()}, score double, first long, after long"
+    shape = f"id {kinds[0].simpleString()}, item {kinds[1].simpleString()}, score double, first long, after long"
     context = rows.sparkSession.sparkContext
     found = []
     for block in blocks_of(items, item_col, item_text_col, block_bytes):
@@ -277,12 +279,14 @@ def _contaminated(rows: DataFrame, items: DataFrame, item_col: str, item_text_co
                 made = list(index.value.find(text.as_py() for text in batch.column(1)))
                 at = pa.array([m[0] for m in made], pa.int64())
                 columns = [pa.array([m[c] for m in made], t) for c, t in enumerate(types, 1)]
-                columns = [batch.column(0).take(at), batch.column(2).take(at), *columns]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "item", "score", "first", "after"])
+                columns = [batch.column(0).take(at), *columns]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "item", "score", "first", "after"])
 
         types = [_arrow_type(kinds[1]), pa.float64(), pa.int64(), pa.int64()]
         found.append(rows.mapInArrow(search, shape))
-    return reduce(DataFrame.unionByName, found)
+    return reduce(DataFrame.unionByName, found).select(
+        F.col("id").alias(id_col), F.col("item").alias(item_col), "score", "first", "after"
+    )
 
 
 def _arrow_type(kind) -> pa.DataType:
@@ -291,11 +295,30 @@ def _arrow_type(kind) -> pa.DataType:
     return to_arrow_type(kind)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without those in which a test item was found; other rows under their ids stay."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), digest(F.col(text_col)).alias("digest"))
-    found = _contaminated(rows, items, "item_id", "text", BLOCK_BYTES).select("id", "digest").distinct()
-    return without_rows(docs, id_col, digest(docs[text_col]), found.withColumn("again", F.lit(False)))
+def decontaminate(
+    docs: DataFrame, items: DataFrame, text_col: str = "text", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
+    """``docs`` without those in which a test item was found.
+
+    The verdict on a row is a condition on its text, one for each block of items. So no row moves.
+    """
+    bound_batches(docs.sparkSession)
+    context = docs.sparkSession.sparkContext
+    named = items.select(F.col(item_text_col).alias("text")).distinct()
+    for block in blocks_of(named.withColumn("id", F.xxhash64("text")), "id", "text", block_bytes):
+        docs = docs.where(_free_of(context.broadcast(Index(block)))(docs[text_col]))
+    return docs
+
+
+def _free_of(index):
+    """Whether a text has none of the items of a broadcast index."""
+
+    @F.pandas_udf("boolean")
+    def free(texts: pd.Series) -> pd.Series:
+        found = {place for place, *_ in index.value.find(texts)}
+        return pd.Series([place not in found for place in range(len(texts))], dtype=bool)
+
+    return free
 
 
 @query()

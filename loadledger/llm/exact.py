@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.llm.registry import load, query
-from loadledger.llm.rows import without_rows
+from loadledger.llm.rows import digest, orderable
 from loadledger.work import cut_lineage
 
 # White space other than a lone space, which its replacement would equal.
@@ -108,16 +108,32 @@ def _compare(texts: DataFrame, members: DataFrame) -> DataFrame:
     )
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each text, that of the smallest id; other rows under its id stay."""
-    groups = exact_groups(docs, id_col, text_col).select(
-        F.col(id_col).alias("id"), F.col("text_sha256").alias("digest"), "kept", "group_size"
+def exact_dedup(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    hashed: Callable[[Column], Column] = content_hash,
+) -> DataFrame:
+    """``docs`` with one row of each text, that of the smallest id; other rows under its id stay.
+
+    One aggregate on hash and text: rows meet by hash, and grouping compares bytes. Tasks fold their
+    own copies before the shuffle, and a row moves once, its text only as the key unless the two differ.
+    Of rows that repeat id and text the smallest by all columns that have an order stays.
+    """
+    raw = docs[text_col]
+    text = normalised(raw)
+    order = F.struct(
+        docs[id_col].isNull(), docs[id_col], digest(raw), *[docs[f.name] for f in docs.schema if f.name != text_col and orderable(f.dataType)]
     )
-    pairs = groups.where("group_size > 1").groupBy("id", "digest").agg(
-        F.first("kept").alias("again"), F.count(F.lit(1)).alias("_n")
+    names = {name: f"c{place}" for place, name in enumerate(docs.columns)}
+    others = [docs[name].alias(to) for name, to in names.items() if name != text_col]
+    same = raw.eqNullSafe(text)
+    row = F.struct(*others, same.alias("same"), F.when(~same, raw).alias("raw"))
+    kept = docs.groupBy(hashed(text).alias("hash"), text.alias("text")).agg(F.min_by(row, order).alias("row"))
+    back = F.when(F.col("row.same"), F.col("text")).otherwise(F.col("row.raw"))
+    return kept.select(
+        *[(back if name == text_col else F.col(f"row.{to}")).alias(name) for name, to in names.items()]
     )
-    fates = pairs.where("NOT again OR _n > 1")
-    return without_rows(docs, id_col, F.sha2(normalised(docs[text_col]), 256), fates)
 
 
 @query(

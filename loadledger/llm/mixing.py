@@ -10,10 +10,11 @@ undecided rows fly again together. Only the landing problem remains: a few docum
 most two of each size class, which are settled from the largest down so that the words come out
 nearest to the target.
 
-Everything random is a hash of the id, so reruns agree. Rows are moved without their texts.
+Everything random is a hash of the id, then of the text, so reruns agree. Rows are moved without their texts.
 
 Defined results: a null text has size 0; such documents need no draw. A null source is a source of
-its own and comes last. A null id is hashed like any other; repeated rows are drawn each for itself.
+its own and comes last. A null id is hashed like any other; repeated rows are drawn each for itself. In :func:`taken_rows`
+rows equal in id, source and text stand for each other.
 Sources without words have target 0. An empty table gives none. Other columns are not read.
 """
 
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadledger.llm.registry import load, query
+from loadledger.llm.rows import digest, orderable
 from loadledger.operators.running import number_rows
 from loadledger.work import cut_lineage
 
@@ -128,7 +130,7 @@ def land(sizes: list[int], chances: list[float]) -> list[float]:
 
 
 def _order(rows: pa.Table, key: Callable[[dict], tuple]) -> list[int]:
-    named = rows.select(["id", "size", "hash"]).to_pylist()
+    named = rows.select(["id", "size", "hash", "digest"]).to_pylist()
     return sorted(range(len(named)), key=lambda place: key(named[place]))
 
 
@@ -158,19 +160,20 @@ def mix(
     """One row per document: id, source, size, its source's size and target, ``copies``, ``taken``."""
     rows = cut_lineage(
         docs.select(
-            F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+            F.col(id_col).alias("id"),
+            F.col(source_col).alias("source"),
+            word_count(F.col(text_col)).alias("size"),
+            digest(F.col(text_col)).alias("digest"),
         )
     )
     strata = cut_lineage(
-        rows.groupBy("source", F.floor(F.log2("size")).alias("class")).agg(
-            F.sum("size").alias("words"), F.count(F.lit(1)).alias("rows")
-        )
+        rows.groupBy("source", F.floor(F.log2("size")).alias("class")).agg(F.sum("size").alias("words"))
     )
     aims = targets(strata.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     aims = aims.withColumnRenamed("source", "_source")
     known = cut_lineage(
         strata.join(aims, F.col("source").eqNullSafe(F.col("_source"))).select(
-            "_source", F.col("class").alias("_class"), "rows", "source_size", "target"
+            "_source", F.col("class").alias("_class"), "source_size", "target"
         )
     )
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -183,13 +186,13 @@ def mix(
             "id",
             "source",
             "size",
+            "digest",
             "source_size",
             "target",
             "class",
             F.floor(times + _NEAR).cast("long").alias("whole"),
             F.when((part > _NEAR) & (F.col("size") > 0), part).otherwise(F.lit(0.0)).alias("chance"),
             F.xxhash64("id").alias("hash"),
-            F.ceil(F.col("rows") / block).alias("blocks"),
         )
     )
     settled = [aimed.where(_decided())]
@@ -197,27 +200,25 @@ def mix(
     shape = aimed.schema
 
     def flown(key: tuple, rows: pa.Table) -> pa.Table:
-        order = _order(rows, lambda row: (row["hash"], row["size"], repr(row["id"])))
+        order = _order(rows, lambda row: (row["hash"], row["size"], repr(row["id"]), row["digest"]))
         draw = random.Random(zlib.crc32(repr([part.as_py() for part in key]).encode()))
         return _settled(rows, order, lambda sizes, chances: fly(sizes, chances, draw))
 
     def landed(rows: pa.Table) -> pa.Table:
-        order = _order(rows, lambda row: (-row["size"], row["hash"], repr(row["id"])))
+        order = _order(rows, lambda row: (-row["size"], row["hash"], repr(row["id"]), row["digest"]))
         return _settled(rows, order, land)
 
     while True:
-        dealt = flying.withColumn("_block", F.pmod(F.col("hash"), F.col("blocks")))
+        # Blocks are cut by number, as ids may be null or repeated, and are of even size.
+        numbered = number_rows(flying, ["source", "class"], ["hash", "size", "digest"], "_block")
+        dealt = cut_lineage(numbered.withColumn("_block", F.floor((F.col("_block") - 1) / block)))
+        last = not (dealt.agg(F.max("_block")).first()[0] or 0)
         flights = dealt.groupBy("source", "class", "_block").applyInArrow(flown, dealt.schema)
         after = cut_lineage(flights.drop("_block"))
         settled.append(after.where(_decided()))
         flying = after.where(~_decided())
-        if not (flying.agg(F.max("blocks")).first()[0] or 1) > 1:
+        if last:
             break
-        left = cut_lineage(flying.groupBy("source", "class").agg(F.count(F.lit(1)).alias("_n")))
-        left = left.select(F.col("source").alias("_source"), F.col("class").alias("_class"), "_n")
-        flying = flying.join(
-            left, F.col("source").eqNullSafe(F.col("_source")) & (F.col("class") == F.col("_class"))
-        ).select(*[c for c in shape.names if c != "blocks"], F.ceil(F.col("_n") / block).alias("blocks"))
     settled.append(cut_lineage(flying.groupBy("source").applyInArrow(landed, shape)))
     everything = settled[0]
     for part_of in settled[1:]:
@@ -231,7 +232,43 @@ def mix(
         "target",
         copies.alias("copies"),
         (copies * F.col("size")).alias("taken"),
+        F.col("digest").alias("text_sha256"),
+    )
+
+
+def taken_rows(docs: DataFrame, drawn: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that ``drawn``, its mix, takes, with ``copies``.
+
+    Rows are found by id, source and text. Where several are equal in these, they give way to the one
+    that is smallest by all columns that have an order, once for each time that one of them was drawn.
+    """
+    key = ["_id", "_source", "_digest"]
+    named = drawn.select(
+        F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.col("text_sha256").alias("_digest"), "copies"
+    )
+    counted = named.groupBy(*key, "copies").agg(F.count(F.lit(1)).alias("_times"))
+    alike = named.groupBy(*key).agg(F.count(F.lit(1)).alias("_alike"), F.max("copies").alias("copies"))
+    alike = cut_lineage(alike.where("copies > 0"))
+    same = (
+        docs[id_col].eqNullSafe(F.col("_id"))
+        & docs[source_col].eqNullSafe(F.col("_source"))
+        & (digest(docs[text_col]) == F.col("_digest"))
     )
+    columns = [docs[c] for c in docs.columns if c != "copies"]
+    # The same join at every size: below the broadcast threshold Spark would otherwise take another.
+    one = docs.join(alike.where("_alike = 1").hint("merge"), same).select(*columns, alike["copies"])
+    many = alike.where("_alike > 1").drop("copies")
+    if many.isEmpty():
+        return one
+    row = F.struct(*columns)
+    order = F.struct(*[docs[f.name] for f in docs.schema if f.name != "copies" and orderable(f.dataType)])
+    first = docs.join(many, same).groupBy(*key).agg(F.min_by(row, order).alias("_row"))
+    counted = counted.select(*[F.col(k).alias(f"{k}2") for k in key], "copies", "_times").where("copies > 0")
+    again = F.lit(True)
+    for k in key:
+        again = again & F.col(k).eqNullSafe(F.col(f"{k}2"))
+    repeated = first.join(counted, again).withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return one.unionByName(repeated.select("_row.*", "copies"))
 
 
 @query()

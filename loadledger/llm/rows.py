@@ -18,11 +18,12 @@ def digest(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
-def _orderable(kind: T.DataType) -> bool:
+def orderable(kind: T.DataType) -> bool:
+    """Whether values of a type can be compared."""
     if isinstance(kind, T.StructType):
-        return all(_orderable(field.dataType) for field in kind)
+        return all(orderable(field.dataType) for field in kind)
     if isinstance(kind, T.ArrayType):
-        return _orderable(kind.elementType)
+        return orderable(kind.elementType)
     return isinstance(kind, (T.AtomicType, T.NullType)) and not isinstance(kind, T.VariantType)
 
 
@@ -34,11 +35,12 @@ def without_rows(docs: DataFrame, id_col: str, text_digest: Column, fates: DataF
     """
     named = cut_lineage(fates.select(F.col("id").alias("_fate_id"), F.col("digest").alias("_fate_digest"), "again"))
     same = docs[id_col].eqNullSafe(F.col("_fate_id")) & (text_digest == F.col("_fate_digest"))
-    rest = docs.join(named.drop("again"), same, "left_anti")
+    # The same join at every size: below the broadcast threshold Spark would otherwise take another.
+    rest = docs.join(named.drop("again").hint("merge"), same, "left_anti")
     again = named.where("again").drop("again")
     if again.isEmpty():
         return rest
     row = F.struct(*[docs[c] for c in docs.columns])
-    order = F.struct(*[docs[f.name] for f in docs.schema if _orderable(f.dataType)])
+    order = F.struct(*[docs[f.name] for f in docs.schema if orderable(f.dataType)])
     one = docs.join(again, same).groupBy("_fate_id", "_fate_digest").agg(F.min_by(row, order).alias("_row"))
     return rest.unionByName(one.select("_row.*"))

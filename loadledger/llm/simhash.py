@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from loadledger.llm.graph import components
 from loadledger.llm.registry import bound_batches, load, query
-from loadledger.llm.rows import digest, without_rows
 from loadledger.work import cut_lineage
 
 SHINGLE = 3
@@ -60,19 +59,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id``, ``digest`` of the text and ``fingerprint``, as a signed long, of every document."""
+    """``id`` and ``fingerprint``, as a signed long, of every document."""
     bound_batches(docs.sparkSession)
-    text = F.col(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), digest(text).alias("digest"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-            columns = [batch.column(0), batch.column(2), pa.array(found.view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "digest", "fingerprint"])
+            columns = [batch.column(0), pa.array(found.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "fingerprint"])
 
-    return rows.mapInArrow(work, f"id {kind}, digest string, fingerprint long")
+    return rows.mapInArrow(work, f"id {kind}, fingerprint long")
 
 
 def covering_masks(radius: int = RADIUS) -> list[int]:
@@ -125,7 +123,7 @@ def _rooted(rows: DataFrame) -> DataFrame:
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``fingerprint`` in hexadecimal and ``component_id``."""
-    rows = cut_lineage(fingerprints(docs, id_col, text_col).drop("digest"))
+    rows = cut_lineage(fingerprints(docs, id_col, text_col))
     rooted = _rooted(rows)
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     known = cut_lineage(rooted.join(firsts, "root").select("fingerprint", "component_id"))
@@ -136,23 +134,6 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near copies, that of the smallest id, then digest.
-
-    Rows are told apart by id and text, so other rows under the id of one that goes stay.
-    """
-    rows = cut_lineage(fingerprints(docs, id_col, text_col))
-    pairs = rows.groupBy("fingerprint", "id", "digest").agg(F.count(F.lit(1)).alias("_n"))
-    # A null id sorts last: the first field says whether there is none.
-    me = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
-    rooted = _rooted(rows).select("fingerprint", "root")
-    members = cut_lineage(pairs.join(rooted, "fingerprint").select("root", me.alias("_me"), "_n"))
-    firsts = members.groupBy("root").agg(F.min("_me").alias("_first"), F.sum("_n").alias("_all")).where("_all > 1")
-    again = F.col("_me.id").eqNullSafe(F.col("_first.id")) & (F.col("_me.digest") == F.col("_first.digest"))
-    fates = members.join(cut_lineage(firsts), "root").select("_me.id", "_me.digest", again.alias("again"), "_n")
-    return without_rows(docs, id_col, digest(docs[text_col]), fates.where("NOT again OR _n > 1"))
-
-
 @query()
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(load(spark, sf_dir, "documents", "doc_id", "text"))

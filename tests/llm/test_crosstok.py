@@ -86,7 +86,8 @@ def hard():
                    (403, "<unk>"), (404, "ab" * 3000), (405, "a" * 5000), (406, "word " * 30_000)]
 
 
-def test_hard_rows(spark, libraries):
+def test_hard_rows(spark, libraries, monkeypatch):
+    monkeypatch.setattr(crosstok, "TOGETHER", 4000)
     rows = hard()
     docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, block int, id string")
     assert got(alignment(docs, A, B)) == brute(rows, libraries)

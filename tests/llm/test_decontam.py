@@ -146,3 +146,19 @@ def test_scripts_without_spaces_are_cut_into_words():
     texts = [f"前文。{items[0]}？后文", f"Q: {items[1]}!", f"ถาม {items[2]} ตอบ", "上海是一座很大的城市。", None, "no such words"]
     assert [(row[:2], row[2]) for row in index.find(texts)] == [((k, k), 1.0) for k in range(3)]
     assert words_of("Der Name 東京都,x y") == ["der", "name", "東京", "京都", "x", "y"]
+
+
+def test_short_items_are_found_whole(spark):
+    docs = spark.createDataFrame([(1, "what is zeolite made of indeed"), (2, "zeolite is made of"), (3, "One, word!"), (4, None)], DOCS)
+    items = spark.createDataFrame([(1, "zeolite made of"), (2, "word"), (3, ""), (4, "is made of")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.score) for r in contamination(docs, items).collect()}
+    assert got == {(1, 1, 1.0), (2, 4, 1.0), (3, 2, 1.0)}
+    assert [r.doc_id for r in decontaminate(docs, items).collect()] == [4]
+
+
+def test_blocks_of_items_are_conditions_one_after_the_other(spark):
+    docs = spark.createDataFrame([(i, f"some text of its own number w{i} and v{i} and u{i} end") for i in range(40)], DOCS)
+    items = spark.createDataFrame([(i, f"number w{i} and v{i} and u{i} end") for i in range(0, 40, 3)], "item_id long, text string")
+    kept = decontaminate(docs, items, block_bytes=60)
+    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(40) if i % 3]

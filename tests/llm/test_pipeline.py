@@ -1,3 +1,6 @@
+import hashlib
+from collections import Counter
+
 import corpus_pipeline
 from __spark_entry__ import oracle_sql, queries
 from loadledger.llm.langid import fit, learnable
@@ -5,7 +8,7 @@ from loadledger.llm.mixing import mix
 
 from test_decontam import brute as leaks
 from test_langid import brute_predict
-from test_simhash import expected
+from test_similar import brute_groups
 
 
 def brute(spark, docs, sf_dir):
@@ -25,7 +28,7 @@ def brute(spark, docs, sf_dir):
         first.setdefault(" ".join((rows[i].text or "").split()) if (rows[i].text or "").split() else rows[i].text, i)
     rows = {i: rows[i] for i in first.values()}
     kept.append(set(rows))
-    rows = {i: rows[i] for i, (_, c) in expected([(i, r.text) for i, r in rows.items()]).items() if c == i}
+    rows = {i: rows[i] for i, least in brute_groups([(i, r.text) for i, r in rows.items()]).items() if i == least}
     kept.append(set(rows))
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
     found = {i for i, _ in leaks([(i, r.text) for i, r in rows.items()], items)}
@@ -52,7 +55,8 @@ def test_stages_agree_with_brute_force(spark, sf_dir):
 
 def test_hard_rows(spark, tables):
     text = "the thing that was here and the other thing with them"
-    rows = [(i, f"{text} number {'x' * i} of many more words {i} to tell", "en", f"s{i % 3}", 1) for i in range(40)]
+    rows = [(i, f"{text} number {'x' * i} of many more words {i} to tell them " + " ".join(f"of{i}the{k}" for k in range(20)),
+             "en", f"s{i % 3}", 1) for i in range(40)]
     rows += [(100, None, "en", None, None), (101, "", None, "s1", 0), (None, text + " nobody", None, None, None),
              (102, rows[0][1], "en", "s1", 1), (102, rows[0][1], "en", "s1", 1), (103, text + " q" * 50_000, None, "s2", 1)]
     shape = "doc_id long, text string, lang string, source string, n_chars long"
@@ -71,4 +75,23 @@ def test_empty_table(spark, tables):
 def test_registration():
     assert queries()["pipeline"] is corpus_pipeline.run
     assert "pipeline" not in oracle_sql() and corpus_pipeline.ORACLE_SQL is None
-    assert sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries() if n.startswith("op")) == list(range(1, 14))
+
+
+def test_the_mix_takes_the_rows_it_drew(spark):
+    shape = "doc_id long, text string, source string, lang string"
+    rows = [(None if i % 3 else i, f"the words of {'more ' * (i % 40)} and {i}", f"s{i % 2}", "en") for i in range(300)]
+    rows += [(7, "four words and equal", "s1", lang) for lang in ("de", "en", "en", None)] * 5 + [(None, None, None, None)] * 4
+    docs = spark.createDataFrame(rows, shape).repartition(3).cache()
+    drawn, taken = mix(docs).collect(), corpus_pipeline.mixed(spark, docs, "").collect()
+
+    def words(text):
+        return len((text or "").split())
+
+    want, got = Counter(), Counter()
+    for r in drawn:
+        want[r.doc_id, r.source, r.text_sha256, r.copies] += bool(r.copies)
+    for r in taken:
+        got[r.doc_id, r.source, hashlib.sha256((r.text or "").encode()).hexdigest(), r.copies] += 1
+    assert +want == got
+    assert sum(r.taken for r in drawn) == sum(r.copies * words(r.text) for r in taken)

@@ -2,7 +2,7 @@
 
 from loadledger.llm.decontam import decontaminate
 from loadledger.llm.exact import exact_dedup
-from loadledger.llm.simhash import near_dedup
+from loadledger.llm.similar import near_dedup
 
 DOCS = "doc_id long, text string, source string"
 NEAR = "one two three four five six seven eight nine ten " * 20

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loadledger.llm import QUERIES
 from loadledger.llm.graph import components
-from loadledger.llm.simhash import covering_masks, fingerprint, links, near_dedup, near_groups
+from loadledger.llm.simhash import covering_masks, fingerprint, links, near_groups
 import re
 
 
@@ -58,9 +58,6 @@ def test_hard_rows(spark):
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in near_groups(docs).collect()}
     assert got == expected(rows)
     assert got[5] == ("0" * 16, 2) and got[9] == got[8]
-    kept = near_dedup(docs)
-    assert kept.columns == docs.columns
-    assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in got.items() if i == c}
 
 
 def test_repeated_and_null_ids_and_empty_table(spark):
