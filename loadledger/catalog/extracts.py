@@ -16,6 +16,7 @@ from loadledger.operators.progress import all_days
 from loadledger.plans.extract import Extractor
 from loadledger.plans.spec import TableSpec, read_spec
 from loadledger.sinks.ledger import Ledger
+from loadledger.sinks.runlog import RunLog
 from loadledger.sinks.runs import output_files, write_batches, write_run
 from loadledger.sources.asof import as_of
 from loadledger.sources.lake import LakeSource
@@ -393,3 +394,50 @@ def record_counts_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = load(spark, sf_dir, "lineitem")
     day = F.to_date("l_shipdate").alias("business_date")
     return lineitem.groupBy(day).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """
+    SELECT o_orderkey AS order_key, CAST(o_custkey AS VARCHAR) AS customer, 'i' AS version, NULL AS status FROM orders
+    UNION ALL
+    SELECT o_orderkey, CAST(o_custkey + 10000000000 AS VARCHAR), 'l', NULL FROM orders
+    UNION ALL
+    SELECT o_orderkey, concat('c', o_custkey), 't', o_orderstatus FROM orders
+    """
+)
+def evolved_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One table whose column went from int to bigint to text, was spelt anew and got a neighbour, read whole."""
+    ledger = Ledger(spark, new_dir(spark, "ledger"))
+    extractor = Extractor(LakeSource(spark, sf_dir), new_dir(spark, "runs"), ledger, allow_type_changes=True)
+    texts = [
+        "SELECT o_orderkey AS order_key, CAST(o_custkey AS INT) AS customer, 'i' AS version FROM orders",
+        "SELECT o_orderkey AS order_key, o_custkey + 10000000000 AS CUSTOMER, 'l' AS version FROM orders",
+        "SELECT o_orderkey AS order_key, concat('c', o_custkey) AS customer, 't' AS version, o_orderstatus AS status FROM orders",
+    ]
+    days = [DAY + timedelta(days=k) for k in range(len(texts))]
+    extractor.extract_many(
+        [TableSpec("db", "sales", custom_query=t, query_tables=("orders",), extraction_date=d) for t, d in zip(texts, days)]
+    )
+    return ledger.read("db.sales", days)
+
+
+@query(
+    """
+    SELECT 'db.supplier' AS table_key, 'completed' AS status, count(*) AS n, NULL AS error, 'PARTIAL' AS run_status FROM supplier
+    UNION ALL SELECT 'db.part', 'completed', count(*), NULL, 'PARTIAL' FROM part
+    UNION ALL SELECT 'db.pairs', 'failed', NULL, 'cancelled: over the limit of 3 seconds', 'PARTIAL'
+    """
+)
+def bounded_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table past its limit is cancelled alone, and the run says that it is partial."""
+    ledger, log = Ledger(spark, new_dir(spark, "ledger")), RunLog(spark, new_dir(spark, "log"))
+    extractor = Extractor(LakeSource(spark, sf_dir), new_dir(spark, "runs"), ledger, run_log=log, scheduler_pool="extracts")
+    endless = "SELECT /*+ COALESCE(1) */ r_name FROM region LATERAL VIEW explode(sequence(1, 20000000)) AS a " \
+        "LATERAL VIEW explode(sequence(1, 20000000)) AS b WHERE a + b < 0"
+    specs = [TableSpec("db", table, is_full_extract=True, extraction_date=DAY) for table in ("supplier", "part")]
+    specs.append(TableSpec("db", "pairs", custom_query=endless, query_tables=("region",), extraction_date=DAY, limit_seconds=3))
+    extractor.extract_many(specs, run_id="r1")
+    runs = log.runs([DAY]).select("run_id", "run_status")
+    return ledger.current([DAY]).join(runs, "run_id").select(
+        "table_key", "status", F.col("record_count").alias("n"), F.col("error_message").alias("error"), "run_status"
+    )

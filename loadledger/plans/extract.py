@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import re
+import threading
 import time
 import uuid
 from collections.abc import Sequence
@@ -25,10 +27,12 @@ from loadledger.sinks.ledger import IDENTITY, Ledger
 from loadledger.sinks.runlog import RunLog
 from loadledger.sinks.runs import write_run
 from loadledger.sources.runs import ATTEMPT, list_files
-from loadledger.work import cut_lineage, exists, paths, small_frame
+from loadledger.work import cut_lineage, exists, folder_bytes, paths, small_frame
 
 # A run within any path: source/table/yyyyMM/dd/run~attempt.parquet.
 RUN = r"[^/]+/[^/]+/\d{6}/\d{2}/[^/]+\.parquet"
+#: Seconds between looks at running tables.
+_LOOK = 0.5
 OUTCOME_COLUMNS = "table_key STRING, success BOOLEAN, skipped BOOLEAN, record_count BIGINT, error STRING"
 
 
@@ -44,6 +48,12 @@ class Outcome:
         return (self.table_key, self.success, self.skipped, self.record_count, self.error)
 
 
+def plain_name(name: str) -> str:
+    """A name as one of a folder: marks that mean something in a path or a pattern become ``+`` and two
+    hexadecimal digits for each byte."""
+    return re.sub(r"[^\w.\- ]", lambda found: "".join(f"+{byte:02X}" for byte in found[0].encode()), name)
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -67,8 +77,15 @@ class Extractor:
         check_content: bool = False,
         run_log: RunLog | None = None,
         name: str = "extract",
+        scheduler_pool: str | None = None,
+        table_limit: float | None = None,
     ):
-        """``check_content`` has stored rows read and compared before a table is skipped."""
+        """``check_content`` has stored rows read and compared before a table is skipped.
+
+        Tables that took longest last time start first, and those never read before them. Their jobs
+        run in ``scheduler_pool``, where a session with the FAIR mode gives each pool its share. After
+        ``table_limit`` seconds a table's jobs are cancelled: it fails, and the others go on.
+        """
         self.source = source
         self.root = root.rstrip("/")
         self.ledger = ledger
@@ -79,6 +96,16 @@ class Extractor:
         self.check_content = check_content
         self.run_log = run_log
         self.name = name
+        self.scheduler_pool = scheduler_pool
+        self.table_limit = table_limit
+        self._stopped = threading.Event()
+
+    def cancel(self) -> None:
+        """End the call that is under way: running tables are cancelled, waiting ones not begun.
+
+        What had ended by then stays done; a later call does the rest.
+        """
+        self._stopped.set()
 
     def extract(self, spec: TableSpec, force: bool = False) -> Outcome:
         return self._run([spec], force, None)[0]
@@ -99,6 +126,8 @@ class Extractor:
         rows = [outcome.row() for outcome in self._run(specs, force, run_id)]
         for day in days if self.run_log else []:
             self.run_log.finish(run_id, day, self.ledger)
+            if self._stopped.is_set():
+                self.run_log.update(run_id, day, "CANCELLED")
         return small_frame(self.spark, rows, OUTCOME_COLUMNS)
 
     def decisions(self, specs: Sequence[TableSpec], force: bool = False) -> DataFrame:
@@ -120,6 +149,7 @@ class Extractor:
             .withColumn("status", F.when(is_running(status), "pending").otherwise(status))
         )
         succeeded = self.ledger.succeeded_tables(requested).withColumn("succeeded", F.lit(True))
+        succeeded = succeeded.withColumnRenamed("duration_seconds", "last_seconds")
         rows = known.join(self._stored_sizes(specs, known), "run", "left").join(succeeded, "table_key", "left")
         hashes: tuple = ()
         if self.check_content:
@@ -147,6 +177,7 @@ class Extractor:
             "next_status",
             F.col("succeeded").isNull().alias("first"),
             "schema_json",
+            F.col("last_seconds"),
             F.coalesce("record_count", F.lit(0)).alias("record_count"),
             F.coalesce(F.when(F.col("forced"), 0).otherwise(F.col("attempts")), F.lit(0)).alias("attempts"),
             "known",
@@ -156,10 +187,10 @@ class Extractor:
         """Bytes per run, from one listing of the folders of the tables and dates asked for."""
 
         def one_of(names) -> str:
-            return "{" + ",".join(sorted({name.replace(",", "?") for name in names})) + "}"
+            return "{" + ",".join(sorted(set(names))) + "}"
 
         days = one_of(spec.day.strftime("%Y%m/%d") for spec in specs)
-        sources, tables = one_of(s.source_name for s in specs), one_of(self._folder(s) for s in specs)
+        sources, tables = one_of(plain_name(s.source_name) for s in specs), one_of(self._folder(s) for s in specs)
         folders = paths(self.spark, f"{self.root}/{sources}/{tables}/{days}")
         # Runs taken over from elsewhere keep their place: at most one per spec asked for.
         elsewhere = known.where(~F.col("output_path").startswith(self.root)).select("output_path").collect()
@@ -197,6 +228,7 @@ class Extractor:
     def _run(
         self, specs: Sequence[TableSpec], force: bool, run_id: str | None
     ) -> list[Outcome]:
+        self._stopped.clear()
         specs = [spec.dated() for spec in specs]
         if len({(spec.key, spec.window) for spec in specs}) < len(specs):
             raise ValueError("a table and window may be requested once per call")
@@ -228,12 +260,27 @@ class Extractor:
                 ok = row.reason == "up_to_date"
                 count = row.record_count if ok else None
                 done[i] = Outcome(row.table_key, ok, True, count, None if ok else row.reason)
+        # The longest first, so that none is left running alone at the end.
+        seconds = {i: plan[i].last_seconds for i in work}
+        work.sort(key=lambda i: (seconds[i] is not None, -(seconds[i] or 0.0), i))
+        began: dict[int, float] = {}
+        tags = {i: f"extract-{uuid.uuid4().hex}" for i in work}
         with ThreadPoolExecutor(max_workers=self.concurrent_tables) as pool:
-            attempt = inheritable_thread_target(self.spark)(self._attempt)
+            attempt = inheritable_thread_target(self.spark)(self._tagged)
             futures = {
-                pool.submit(attempt, specs[i], run_ids[i], i in whole, plan[i].schema_json, attempts[i]): i
+                pool.submit(
+                    attempt, began, i, tags[i], specs[i], run_ids[i], i in whole, plan[i].schema_json, attempts[i]
+                ): i
                 for i in work
             }
+            ended_all = threading.Event()
+            watch = inheritable_thread_target(self.spark)(self._watch)
+            # Apart from this thread, whose own jobs may wait for the cores of a table that is over.
+            limits = {i: self._limit(specs[i]) for i in work}
+            watcher = threading.Thread(
+                target=watch, args=(began, limits, tags, {i: f for f, i in futures.items()}, ended_all)
+            )
+            watcher.start()
             waiting = set(futures)
             while waiting:
                 # What has ended by now goes into one append.
@@ -241,8 +288,36 @@ class Extractor:
                 found = {futures[future]: future.result() for future in ended}
                 self._record([row for _, row in found.values()])
                 done.update({i: outcome for i, (outcome, _) in found.items()})
+            ended_all.set()
+            watcher.join()
         return [done[i] for i in range(len(specs))]
 
+    def _limit(self, spec: TableSpec) -> float | None:
+        return self.table_limit if spec.limit_seconds is None else spec.limit_seconds
+
+    def _is_over(self, began: float, limit: float | None) -> bool:
+        return self._stopped.is_set() or limit is not None and time.monotonic() - began > limit
+
+    def _watch(
+        self, began: dict[int, float], limits: dict, tags: dict[int, str], futures: dict, ended: threading.Event
+    ) -> None:
+        """Cancels the jobs of tables that are over, again at each look: one may be between two of its jobs."""
+        while not ended.wait(_LOOK):
+            for i, since in list(began.items()):
+                if not futures[i].done() and self._is_over(since, limits[i]):
+                    self.spark.sparkContext.cancelJobsWithTag(tags[i])
+
+    def _tagged(self, began: dict[int, float], i: int, tag: str, spec: TableSpec, *facts) -> tuple[Outcome, dict]:
+        """One attempt, its jobs in the pool and under a tag of their own."""
+        context = self.spark.sparkContext
+        context.setLocalProperty("spark.scheduler.pool", self.scheduler_pool)
+        context.addJobTag(tag)
+        began[i] = time.monotonic()
+        try:
+            return self._attempt(spec, *facts)
+        finally:
+            context.removeJobTag(tag)
+
     @staticmethod
     def _bootstrapping(specs: Sequence[TableSpec], first: list[int]) -> set[int]:
         """Of the specs of a table that never succeeded, the earliest window takes all of it."""
@@ -258,6 +333,8 @@ class Extractor:
         """One attempt at one table: how it ended, and the transition to record."""
         began = time.monotonic()
         try:
+            if self._stopped.is_set():
+                raise InterruptedError("cancelled before it began")
             path = self.path_of(spec, run_id)
             rows = read_spec(self.source, spec, bootstrap)
             if last_schema and not self.allow_type_changes:
@@ -265,18 +342,21 @@ class Extractor:
                 if changes:
                     raise ValueError("; ".join(changes))
             written = write_run(rows, path, pack=spec.is_windowed and not bootstrap)
-            size = list_files(self.spark, path, "*.parquet").agg(F.sum("length")).first()[0]
             facts = {
                 "record_count": written.records,
                 "fingerprint": written.fingerprint,
                 "schema_hash": schema_hash(rows.schema),
                 "schema_json": rows.schema.json(),
-                "file_size_bytes": size or 0,
+                "file_size_bytes": folder_bytes(self.spark, path),
                 "output_path": path if written.records else None,
             }
         except Exception as problem:  # noqa: BLE001 - whatever went wrong belongs to this table only
             text = str(problem).strip() or type(problem).__name__
             spent = time.monotonic() - began
+            if self._stopped.is_set():
+                text = "cancelled by request"
+            elif self._is_over(began, self._limit(spec)):
+                text = f"cancelled: over the limit of {self._limit(spec):g} seconds"
             row = self._transition(
                 spec, "failed", run_id, attempt=attempt, duration_seconds=spent, error_message=text
             )
@@ -308,13 +388,13 @@ class Extractor:
 
     @staticmethod
     def _folder(spec: TableSpec) -> str:
-        return f"{spec.schema_name}.{spec.table_name}" if spec.schema_name else spec.table_name
+        return plain_name(f"{spec.schema_name}.{spec.table_name}" if spec.schema_name else spec.table_name)
 
     def path_of(self, spec: TableSpec, run_id: str) -> str:
         """A new folder for an attempt; a path that was once recorded is never given out again."""
         day = spec.day.strftime("%Y%m/%d")
         attempt = uuid.uuid4().hex[:12]
-        return f"{self.root}/{spec.source_name}/{self._folder(spec)}/{day}/{run_id}{ATTEMPT}{attempt}.parquet"
+        return f"{self.root}/{plain_name(spec.source_name)}/{self._folder(spec)}/{day}/{run_id}{ATTEMPT}{attempt}.parquet"
 
     def _record(self, rows: list[dict]) -> None:
         self.ledger.append_rows(rows)

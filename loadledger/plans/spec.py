@@ -20,7 +20,7 @@ class TableSpec:
 
     Without ``extraction_date`` the window is yesterday. ``split_on`` names an integer column for a
     parallel read of a big database table. Clear ``bootstrap`` when windows are filled in one by one
-    and the first of them must not take the whole table.
+    and the first of them must not take the whole table. ``limit_seconds`` stands before the extractor's own.
     """
 
     source_name: str
@@ -36,6 +36,7 @@ class TableSpec:
     window_hours: int = 24
     split_on: str | None = None
     bootstrap: bool = True
+    limit_seconds: float | None = None
 
     @property
     def key(self) -> str:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loadledger.functions.common import read_versions
 from loadledger.operators.latest import latest
 from loadledger.operators.state import ORDER, fold, is_retained
 from loadledger.work import delete, exists, paths, small_frame
@@ -58,15 +59,6 @@ DATED = (*IDENTITY, "business_date")
 _FIGURES = ("record_count", "file_size_bytes", "output_path", "fingerprint", "schema_json", "error_message")
 
 
-def union_schema(schemas: Sequence[str]) -> T.StructType:
-    """All columns of several stored schemas, oldest first; of two types the newer one counts."""
-    fields: dict[str, T.StructField] = {}
-    for text in schemas:
-        for field in T.StructType.fromJson(json.loads(text)):
-            fields[field.name] = T.StructField(field.name, field.dataType, True)
-    return T.StructType(list(fields.values()))
-
-
 class Ledger:
     """Every append fills folders of its own, so concurrent writers never share a commit.
 
@@ -148,15 +140,15 @@ class Ledger:
         return folded.withColumnRenamed("attempt", "attempts")
 
     def succeeded_tables(self, tables: DataFrame | None = None) -> DataFrame:
-        """Tables that completed at least once, for whatever window, with the schema of last time.
+        """Tables that completed at least once, for whatever window: schema and seconds of last time.
 
         ``tables`` (``table_key``) says which are asked for; the others' history is dropped first.
         """
         done = self._successes()
         if tables is not None:
             done = done.join(tables.select("table_key").distinct(), "table_key", "left_semi")
-        schema = F.max_by("schema_json", F.struct(*ORDER)).alias("schema_json")
-        return done.groupBy("table_key").agg(schema)
+        last = [F.max_by(name, F.struct(*ORDER)).alias(name) for name in ("schema_json", "duration_seconds")]
+        return done.groupBy("table_key").agg(*last)
 
     def _successes(self) -> DataFrame:
         """Completed transitions: all of open dates, and the last of each table for compacted ones."""
@@ -218,17 +210,24 @@ class Ledger:
     def read(self, table_key: str, days: date | Sequence[date], moment: datetime | None = None) -> DataFrame:
         """The rows of one table for some business dates, from exactly the runs that count.
 
-        Columns are those of all these runs; where a run lacks one it is NULL.
+        Columns are those of all these runs, whatever the case of their letters; where a run lacks one
+        it is NULL. A column whose type changed has the least type that holds all its values.
         """
         days = [days] if isinstance(days, date) else list(days)
         runs = self.complete_dataset(days, moment).where(F.col("table_key") == table_key)
         stored = runs.where("output_path IS NOT NULL").orderBy(*ORDER).collect()
         if not stored:
             raise LookupError(f"no stored run of {table_key} for {', '.join(map(str, days))}")
-        schemas = [row.schema_json for row in stored if row.schema_json]
-        reader = self.spark.read
-        reader = reader.schema(union_schema(schemas)) if schemas else reader.option("mergeSchema", True)
-        return reader.parquet(*[row.output_path for row in stored])
+        by_schema: dict[str | None, list[str]] = {}
+        for row in stored:
+            by_schema.setdefault(row.schema_json, []).append(row.output_path)
+        return read_versions(self.spark, [(self._schema(text, found), found) for text, found in by_schema.items()])
+
+    def _schema(self, text: str | None, folders: Sequence[str]) -> T.StructType:
+        """A schema as it was recorded, or as the files have it where none was."""
+        if text:
+            return T.StructType.fromJson(json.loads(text))
+        return self.spark.read.option("mergeSchema", True).parquet(*folders).schema
 
     def reopen(self, chosen: DataFrame) -> str:
         """Make states pending again, by further transitions: forced tables, or failures to retry.

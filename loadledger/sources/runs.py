@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from loadledger.functions.columns import parse_day, parse_iso, table_key
+from loadledger.functions.common import common_schema, conforming
 from loadledger.functions.windows import window_end, window_start
 
 
@@ -14,16 +18,33 @@ from loadledger.functions.windows import window_end, window_start
 ATTEMPT = "~"
 
 
-def read_runs(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
+def read_runs(
+    spark: SparkSession, root: str, schema: StructType | None = None, runs: DataFrame | None = None
+) -> DataFrame:
     """Every row of every run below ``root``, with source, table, business date and run id.
 
     They are taken from the path, which functions.columns.run_path lays out as
     source/table/yyyyMM/dd/run.parquet/file. Give ``schema`` where it is known; else it is put
-    together from those of all files, so that a column some runs lack is there. Every attempt that
-    was stored is read; :meth:`Ledger.read` takes only those that count.
+    together from those of all files, so that a column some runs lack is there. Where types or the
+    case of names changed from run to run, give ``runs`` (``output_path``, ``schema_json``), such as
+    transitions of the ledger: those below ``root`` are read, a scan for each schema, with common types.
+    Every attempt that was stored is read; :meth:`Ledger.read` takes only those that count.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
-    rows = (reader.schema(schema) if schema else reader.option("mergeSchema", True)).parquet(root)
+    if runs is None:
+        reader = spark.read.option("recursiveFileLookup", True)
+        return _placed((reader.schema(schema) if schema else reader.option("mergeSchema", True)).parquet(root), None)
+    known = runs.where(F.col("output_path").startswith(root.rstrip("/") + "/") & F.col("schema_json").isNotNull())
+    rows = known.groupBy("schema_json").agg(F.collect_set("output_path").alias("found"), F.min("output_path").alias("first"))
+    stored = [(StructType.fromJson(json.loads(row.schema_json)), sorted(row.found)) for row in rows.orderBy("first").collect()]
+    if not stored:
+        raise LookupError(f"no stored run below {root}")
+    wanted = common_schema([kind for kind, _ in stored])
+    scans = [_placed(spark.read.schema(kind).parquet(*found), wanted) for kind, found in stored]
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _placed(rows: DataFrame, wanted: StructType | None) -> DataFrame:
+    """Rows of stored runs, in a common schema if one is given, with what their paths say."""
     parts = F.split("_metadata.file_path", "/")
 
     def part(from_end: int) -> Column:
@@ -32,7 +53,7 @@ def read_runs(spark: SparkSession, root: str, schema: StructType | None = None)
     month = part(4)
     day = F.concat_ws("-", F.substring(month, 1, 4), F.substring(month, 5, 2), part(3))
     return rows.select(
-        "*",
+        *(conforming(rows, wanted) if wanted else ["*"]),
         part(6).alias("run_source"),
         part(5).alias("run_table"),
         day.try_cast("date").alias("business_date"),

@@ -81,6 +81,13 @@ def paths(spark: SparkSession, pattern: str) -> list[str]:
     return [] if found is None else [status.getPath().toString() for status in found]
 
 
+def folder_bytes(spark: SparkSession, folder: str, suffix: str = ".parquet") -> int:
+    """What the files of a folder with a suffix hold, from one listing of it; no mark in its path counts."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return sum(s.getLen() for s in files.listStatus(path) if s.getPath().getName().endswith(suffix))
+
+
 def exists(spark: SparkSession, pattern: str) -> bool:
     """Whether anything is stored at a path or below a pattern."""
     return bool(paths(spark, pattern))
