@@ -5,9 +5,10 @@ In a rendering the chosen speaker's messages stand under ``assistant``, all othe
 model is trained on: the assistant's contents, each with its end mark.
 
 A dialogue is rendered in numbered parts of at most ``per_part`` messages, so that one with a third
-of all rows becomes many rows of bounded size; nothing is left out. A part is rendered for those who
-speak in it, as it would have an empty mask for all others. Messages are numbered by
-``number_rows``, which spreads one large dialogue over many tasks.
+of all rows becomes many rows of bounded size; nothing is left out. Every part is rendered for all who
+speak anywhere in the dialogue; where one is silent, the mask is empty. So the output is the dialogue
+times its speakers. Messages are numbered by ``number_rows``, which spreads one large dialogue over
+many tasks.
 
 Defined results: messages go by turn (null first), then role and text; repeated rows are repeated
 messages. A null text is empty, a null or empty role the speaker ``unknown``. White space, control
@@ -50,8 +51,9 @@ def rotate(
     parts = numbered.groupBy("conv", F.floor((F.col("place") - 1) / per_part).alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("place", "speaker", "text"))).alias("messages")
     )
-    speakers = F.filter(F.array_distinct("messages.speaker"), lambda name: name != SYSTEM)
-    views = parts.withColumn("perspective", F.explode(speakers))
+    # Whoever speaks anywhere in a dialogue sees every part of it, also those of the others alone.
+    speakers = rows.where(F.col("speaker") != SYSTEM).select(F.col("conv").alias("_of"), F.col("speaker").alias("perspective"))
+    views = parts.join(speakers.distinct(), F.col("conv").eqNullSafe(F.col("_of"))).drop("_of")
     own = F.col("perspective")
 
     def head(speaker):
@@ -107,14 +109,14 @@ n AS (
   FROM t
 ),
 p AS (SELECT *, (place - 1) // {PER_PART} AS part FROM n),
-v AS (SELECT DISTINCT conv_id, part, speaker AS perspective FROM p WHERE speaker <> '{SYSTEM}'),
+v AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> '{SYSTEM}'),
 s AS (
   SELECT p.conv_id, p.part, v.perspective, p.place, p.speaker = v.perspective AS own,
          '{START}' || CASE WHEN p.speaker = '{SYSTEM}' THEN '{SYSTEM}'
                            WHEN p.speaker = v.perspective THEN 'assistant'
                            ELSE 'user name=' || p.speaker END || chr(10) AS head,
          body || '{END}' AS content
-  FROM p JOIN v ON p.conv_id IS NOT DISTINCT FROM v.conv_id AND p.part = v.part
+  FROM p JOIN v ON p.conv_id IS NOT DISTINCT FROM v.conv_id
 ),
 o AS (
   SELECT *, sum(length(head) + length(content) + 1) OVER (
@@ -123,9 +125,9 @@ o AS (
 )
 SELECT conv_id, part, perspective, CAST(count(*) AS INTEGER) AS n_messages,
        string_agg(head || content || chr(10), '' ORDER BY place) AS text,
-       string_agg(CAST(b - length(content) AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY place)
-         FILTER (own) AS mask_spans,
-       CAST(sum(length(content)) FILTER (own) AS BIGINT) AS n_masked
+       coalesce(string_agg(CAST(b - length(content) AS BIGINT) || ':' || CAST(b AS BIGINT), ',' ORDER BY place)
+         FILTER (own), '') AS mask_spans,
+       CAST(coalesce(sum(length(content)) FILTER (own), 0) AS BIGINT) AS n_masked
 FROM o GROUP BY conv_id, part, perspective
 """
 )

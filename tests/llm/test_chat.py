@@ -53,6 +53,16 @@ def test_parts_hold_every_message_once(spark):
     assert sorted(masked) == sorted(f"{i}{END}" for i in range(1000))
 
 
+def test_the_silent_see_every_part(spark, tables, agrees):
+    rows = [(1, t, "ann" if t in (0, 199) else "bob", f"m{t}") for t in range(200)] + [(None, t, f"s{t % 3}", "x") for t in range(150)]
+    folder = tables(conversations=(rows, TURNS))
+    result = QUERIES["op4_chat_perspectives"](spark, folder)
+    agrees("op4_chat_perspectives", result, folder)
+    ann = {r.part: (r.n_masked, r.mask_spans) for r in result.where("perspective = 'ann'").collect()}
+    assert sorted(ann) == [0, 1, 2, 3] and ann[1] == ann[2] == (0, "") and ann[0][0] > 0 < ann[3][0]
+    assert result.where("conv_id IS NULL").count() == 9
+
+
 def test_empty_table_and_clashing_columns(spark):
     shape = TURNS + ", part long, place string, speaker int"
     assert rotate(spark.createDataFrame([], shape)).collect() == []
