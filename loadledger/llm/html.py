@@ -38,13 +38,15 @@ SAMPLE_ROWS, LABELLED_PAGES = 200, 600
 SEED = 11
 
 # Elements of HTML by how they divide text.
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+_VOID = frozenset("area base br col embed hr iframe img input link meta param source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp"
-    " small span strike strong sub sup time tt u var wbr".split()
+    " small span strike strong sub sup time tt u var wbr"
+    " math merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle"
+    " msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 _SILENT = frozenset(
-    "script style template noscript title textarea select option button svg math iframe object audio video canvas".split()
+    "script style template title textarea select option button svg annotation annotation-xml audio video canvas".split()
 )
 _CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -68,8 +70,9 @@ class Block:
 class _Open:
     tag: str
     features: frozenset[str]
-    silent: bool
     own: frozenset[str] = frozenset()
+    #: The nearest element that is no inline one, if that is another.
+    block: _Open | None = None
 
 
 class _Reader(HTMLParser):
@@ -78,7 +81,10 @@ class _Reader(HTMLParser):
     def __init__(self, known: Container[str] | None = None):
         super().__init__(convert_charrefs=True)
         self.known = known
-        self.stack = [_Open("", frozenset(), False)]
+        self.stack = [_Open("", frozenset())]
+        # Open elements from one whose text does not show on, which open and close none outside.
+        self.muted: list[str] = []
+        self.mutes: Counter[str] = Counter()
         self.counts: Counter[str] = Counter()
         self.parts: list[str] = []
         self.linked = 0
@@ -103,57 +109,74 @@ class _Reader(HTMLParser):
             if self.stack[depth].tag in scope:
                 return None
 
+    def _mute(self, tag: str) -> None:
+        self.muted.append(tag)
+        self.mutes[tag] += 1
+
+    def _unmute(self, tag: str) -> None:
+        while self.muted:
+            gone = self.muted.pop()
+            self.mutes[gone] -= 1
+            if gone == tag:
+                break
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in _INLINE and tag not in _SILENT:
+        if self.muted or tag in _SILENT:
+            if tag not in _VOID:
+                self._mute(tag)
+            return
+        if tag in _INLINE:
             if tag in ("br", "wbr", "img"):
                 self.parts.append("" if tag == "wbr" else " ")
                 return
         else:
             self._end_block()
-            if tag == "body" or (tag == "p" or tag not in _SILENT) and self.counts["p"]:
-                self._pop_tag({"head"} if tag == "body" else {"p"})
+            if self.counts["p"]:
+                self._pop_tag({"p"})
+            if tag == "body":
+                self._pop_tag({"head"})
             if tag in _CLOSES:
                 self._pop_tag(*_CLOSES[tag])
         if tag in _VOID:
             return
         above = self.stack[-1]
         own = {f"in:{tag}"}
-        silent = above.silent or tag in _SILENT
         for name, value in attrs:
             if name in ("class", "id", "role"):
                 own.update(f"at:{part}" for part in _PART.findall((value or "").lower()))
             elif name == "hidden":
-                silent = True
+                return self._mute(tag)
         if self.known is not None:
             own = {feature for feature in own if feature in self.known}
         features = above.features if own <= above.features else above.features | own
         named = frozenset(feature for feature in own if feature.startswith("at:"))
+        block = (above.block or above) if tag in _INLINE else None
         # An element without names stands for the one around it.
-        self.stack.append(_Open(tag, features, silent, named or above.own))
+        self.stack.append(_Open(tag, features, named or above.own, block))
         self.counts[tag] += 1
 
     def handle_endtag(self, tag: str) -> None:
+        if self.muted:
+            if self.mutes[tag]:
+                return self._unmute(tag)
+            if tag in _INLINE or not self.counts[tag]:
+                return
+            # What holds the silent element ends, and so does that.
+            self._unmute("")
         if tag not in _INLINE:
             self._end_block()
         if self.counts[tag]:
             self._pop_tag({tag})
 
     def handle_data(self, data: str) -> None:
-        top = self.stack[-1]
-        if top.silent:
+        if self.muted:
             return
         if self.here is None and not data.isspace():
-            self.here = self._container()
+            self.here = self.stack[-1].block or self.stack[-1]
         if self.counts["a"]:
             self.linked += len(data.strip())
         self.parts.append(data)
 
-    def _container(self) -> _Open:
-        for entry in reversed(self.stack):
-            if entry.tag not in _INLINE:
-                return entry
-        return self.stack[0]
-
 
 def _bin(number: float) -> int:
     return sum(number >= limit for limit in _BINS)

@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 import random
 
 import numpy as np
@@ -116,3 +117,24 @@ def test_null_and_repeated_rows_and_empty_table(spark, field):
     got = sorted((tuple(r) for r in extract(docs, field).collect()), key=repr)
     assert got == sorted([(1, None, "", 0), (2, "u", "", 0), (2, "u", "", 0), (None, "v", "Some text of it.", 16)], key=repr)
     assert extract(docs.limit(0), fit([])).collect() == []
+
+
+def texts_of(page):
+    return [block.text for block in blocks_of(page)]
+
+
+def test_what_does_not_show_neither_leaks_nor_cuts():
+    assert texts_of("<p>Pick <button><div>Click me</div></button> one</p>") == ["Pick one"]
+    assert texts_of("<p>Text <svg><g><text>chart <p>label</text></g></svg>goes on</p>") == ["Text goes on"]
+    assert texts_of("<p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi><annotation>TeX</annotation></math> is</p>") == ["Energy E=m is"]
+    assert texts_of("<p>a</p><noscript><p>b</p></noscript><object><p>c</p></object><p>d</p>") == ["a", "b", "c", "d"]
+    assert texts_of("<div><svg><path>x</div><p>after</p><iframe src=x><p>more</p>") == ["after", "more"]
+    assert texts_of("<p>one<script>two<p></script> three</p><div hidden>four<div>five</div>six</div><p>seven") == ["one three", "seven"]
+    assert texts_of("<ul><li>a<li>b <b>c<li>d</ul>e") == ["a", "b c", "d", "e"]
+
+
+def test_unclosed_tags_take_linear_time():
+    for piece in ("<font>x<hr>", "<b>x<p>", "<svg>x</i>", "<div><b>x", "<li><font>x"):
+        began = time.process_time()
+        assert blocks_of(piece * (1_000_000 // len(piece))) is not None
+        assert time.process_time() - began < 20
