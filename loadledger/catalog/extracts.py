@@ -441,3 +441,26 @@ def bounded_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.current([DAY]).join(runs, "run_id").select(
         "table_key", "status", F.col("record_count").alias("n"), F.col("error_message").alias("error"), "run_status"
     )
+
+
+@query(
+    """
+    SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_orderkey) AS orders, count(DISTINCT l_suppkey) AS suppliers,
+           min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+    FROM lineitem GROUP BY 1, 2
+    """
+)
+def even_range_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items read range by range of orders, each range a run of its own, then added up."""
+    reads = LakeSource(spark, sf_dir).in_ranges("lineitem", "l_orderkey", 6)
+    folders = [new_dir(spark, "range") for _ in reads]
+    for rows, folder in zip(reads, folders):
+        write_run(rows, folder, pack=True)
+    stored = spark.read.schema(reads[0].schema).parquet(*folders)
+    return stored.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("l_orderkey").alias("orders"),
+        F.count_distinct("l_suppkey").alias("suppliers"),
+        F.min("l_shipdate").alias("first_ship"),
+        F.max("l_shipdate").alias("last_ship"),
+    )

@@ -7,6 +7,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loadledger.sources.ranges import even_cuts, predicates_at
+
 
 @dataclass(frozen=True)
 class LakeSource:
@@ -27,6 +29,14 @@ class LakeSource:
         folder = f"{self.root.rstrip('/')}/{schema}" if schema else self.root.rstrip("/")
         return self.spark.read.parquet(f"{folder}/{name}.parquet")
 
+    def in_ranges(self, name: str, column: str, parts: int, schema: str | None = None) -> list[DataFrame]:
+        """A table as about ``parts`` reads with equal numbers of rows, by an integer column.
+
+        Each is a filter that reaches the files, so it can be run, retried and sent elsewhere for itself.
+        """
+        rows = self.table(name, schema)
+        return [rows.where(text) for text in predicates_at(column, even_cuts(rows, column, parts))]
+
     def query(self, sql: str, tables: tuple[str, ...] = ()) -> DataFrame:
         """The caller's own SQL over ``tables``, which are views of a session of this query alone."""
         own = self.spark.newSession()
