@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from loadledger.catalog.registry import query
 from loadledger.catalog.tables import load
 from loadledger.operators import quality
+from loadledger.operators.differences import differing_keys
 from loadledger.plans.extract import Extractor
 from loadledger.plans.spec import TableSpec
 from loadledger.sinks.ledger import Ledger
-from loadledger.sinks.runs import write_batches
+from loadledger.sinks.runs import write_batches, write_run
 from loadledger.sources.lake import LakeSource
 from loadledger.work import cut_lineage, new_dir
 
@@ -272,3 +273,31 @@ def unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(
         broken.agg(F.count(F.lit(1)).cast("int").alias("found")), "batch_date", "left"
     ).select("batch_date", "n", F.coalesce("found", F.lit(0)).alias("n_unreadable"))
+
+
+@query(
+    """
+    WITH after AS (
+      SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_custkey + 1 ELSE o_custkey END AS o_custkey FROM orders WHERE o_orderpriority <> '1-URGENT' OR o_orderstatus <> 'F'
+      UNION ALL SELECT -o_orderkey, o_custkey FROM orders
+      WHERE o_orderdate >= TIMESTAMP '1998-07-01 00:00:00')
+    SELECT coalesce(o.o_orderkey, a.o_orderkey) AS o_orderkey,
+           CASE WHEN o.o_orderkey IS NULL THEN 'added' WHEN a.o_orderkey IS NULL THEN 'missing' ELSE 'changed' END AS change
+    FROM orders AS o FULL JOIN after AS a ON o.o_orderkey = a.o_orderkey
+    WHERE o.o_orderkey IS NULL OR a.o_orderkey IS NULL OR o.o_custkey <> a.o_custkey
+    """
+)
+def run_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of two runs, of which the second lost, gained and changed some."""
+    columns = ("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    orders = load(spark, sf_dir, "orders")
+    customer = F.col("o_custkey")
+    changed = orders.where("o_orderpriority <> '1-URGENT' OR o_orderstatus <> 'F'").withColumn(
+        "o_custkey", F.when(F.col("o_orderstatus") == "P", customer + 1).otherwise(customer)
+    )
+    late = orders.where("o_orderdate >= TIMESTAMP_NTZ '1998-07-01 00:00:00'").withColumn("o_orderkey", -F.col("o_orderkey"))
+    runs = [new_dir(spark, "run") for _ in range(2)]
+    write_run(orders.select(*columns), runs[0])
+    write_run(changed.select(*columns).unionByName(late.select(*columns)), runs[1])
+    before, after = (spark.read.parquet(path) for path in runs)
+    return differing_keys(before, after, ["o_orderkey"])
