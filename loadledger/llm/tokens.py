@@ -23,6 +23,7 @@ import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from itertools import accumulate
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,7 @@ class PrefixCounter:
         self.older: dict[str, bytes] = {}
         self.apart: dict[tuple[str, str], bool] = {}
         self.spines: dict[str, tuple[list, list] | None] = {}
+        self.line, self.lasts, self.counts, self.finals = "", [""], [0], []
         self.inside = _lengths(t for t in self.vocabulary if not (self.mark and t.endswith(self.mark)))
         self.ending = _lengths(t.removesuffix(self.mark) for t in self.vocabulary if t.endswith(self.mark))
 
@@ -157,18 +159,26 @@ class PrefixCounter:
         raise ValueError(f"the vocabulary lacks {line[end - 1] + mark!r}")
 
     def _word(self, word: str) -> list[int]:
-        """The count at the end of each code point of a word, as if the word ended there."""
+        """The count at the end of each code point of a word, as if the word ended there.
+
+        What the word shares with the start of the one before it is taken over from that.
+        """
         line = "".join([self.symbols[byte] for byte in word.encode()])
         wanted = None if word.isascii() else set(accumulate(len(char.encode()) for char in word))
-        lasts, counts, finals = [""], [0], []
-        for end in range(1, len(line) + 1):
+        shared = 0 if wanted else len(commonprefix((line, self.line)))
+        lasts, counts, finals = self.lasts[: shared + 1], self.counts[: shared + 1], self.finals[:shared]
+        self.line = ""
+        inside, ending, mark, last = self.inside, self.ending, self.mark, self._last
+        for end in range(shared + 1, len(line) + 1):
             tail = line[end - 3 : end] if end > 2 else line[:end]
-            start, token = self._last(line, end, lasts, self.inside.get(tail, (2, 1)), "")
+            start, token = last(line, end, lasts, inside.get(tail, (2, 1)), "")
             if wanted is None or end in wanted:
-                finals.append(counts[self._last(line, end, lasts, self.ending.get(tail, (2, 1)), self.mark)[0]] + 1)
+                finals.append(counts[last(line, end, lasts, ending.get(tail, (2, 1)), mark)[0]] + 1)
             lasts.append(token)
             counts.append(counts[start] + 1)
-        return finals
+        if wanted is None:
+            self.line, self.lasts, self.counts, self.finals = line, lasts, counts, finals
+        return finals[:]
 
     def _counts(self, piece: str) -> list[int]:
         """The counts at the prefixes of one lower-cased piece; a contraction is two words until it is whole."""
@@ -253,6 +263,20 @@ class PrefixCounter:
                 out.append(self._kept(part, self._unit))
         return b"".join(out)
 
+    def tables_of(self, texts: list[str]) -> list[bytes]:
+        """The tables of several texts. New words are worked out in order of the alphabet."""
+        pieces = [
+            _PIECES.findall(text) if PLAIN.fullmatch(text) and not self.special.search(text) else None for text in texts
+        ]
+        listed = set().union(*[found for found in pieces if found])
+        for piece in sorted(piece for piece in listed if piece not in self.tables):
+            self._piece(piece)
+        tables = self.tables
+        return [
+            self.table(text) if found is None else b"".join([tables[p] if p in tables else self._piece(p) for p in found])
+            for text, found in zip(texts, pieces)
+        ]
+
     def table(self, text: str | None) -> bytes:
         """For each code point of a text, by how much the count changes at its end, as a signed byte."""
         text = text or ""
@@ -297,7 +321,7 @@ def prefix_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
         made = counter(path)
         for batch in batches:
             texts = [text or "" for text in batch.column(1).to_pylist()]
-            tables = [made.table(text) for text in texts]
+            tables = made.tables_of(texts)
             tokens = [int(np.frombuffer(table, np.int8).sum(dtype=np.int64)) for table in tables]
             sizes = [len(text.encode()) for text in texts]
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(tokens, pa.int64()), pa.array(tables, pa.binary())]
