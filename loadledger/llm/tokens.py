@@ -92,6 +92,7 @@ class PrefixCounter:
             raise ValueError("the counts of neighbouring prefixes may differ by more than a signed byte holds")
         self.symbols = byte_symbols()
         specials = sorted((t["content"] for t in named["added_tokens"]), key=len, reverse=True)
+        self.specials = specials
         self.special = re.compile("|".join(map(re.escape, specials)) or "(?!)")
         self.tables: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -266,7 +267,8 @@ class PrefixCounter:
     def tables_of(self, texts: list[str]) -> list[bytes]:
         """The tables of several texts. New words are worked out in order of the alphabet."""
         pieces = [
-            _PIECES.findall(text) if PLAIN.fullmatch(text) and not self.special.search(text) else None for text in texts
+            _PIECES.findall(text) if PLAIN.fullmatch(text) and not any(s in text for s in self.specials) else None
+            for text in texts
         ]
         listed = set().union(*[found for found in pieces if found])
         for piece in sorted(piece for piece in listed if piece not in self.tables):
