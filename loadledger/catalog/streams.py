@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from loadledger.catalog.registry import query
 from loadledger.catalog.tables import ORDER, WITH_X, as_log, load, named
-from loadledger.streaming import daily, ingest, live
+from loadledger.streaming import arrivals, daily, ingest, live
+from loadledger.streaming.attempts import attempts
 from loadledger.work import new_dir
 
 
@@ -58,3 +59,50 @@ def stream_live_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = as_log(_events(spark, sf_dir)).select("user_id", *ORDER, "status")
     live.follow_states(rows, ["user_id"], list(ORDER), root, checkpoint).awaitTermination()
     return named(live.live_states(spark, root, ["user_id"])).select("table_key", "seq", "status")
+
+
+@query(
+    """
+    WITH e AS (SELECT user_id, ts, CASE event_type WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' END
+                 AS ended FROM events WHERE event_type <> 'signup'),
+    seen AS (SELECT least(max(ts) FILTER (WHERE ended IS NULL), max(ts) FILTER (WHERE ended IS NOT NULL)) AS upto FROM e),
+    starts AS (SELECT DISTINCT user_id, ts FROM e, seen WHERE ended IS NULL AND ts <= upto - INTERVAL 7 HOUR),
+    found AS (
+      SELECT s.user_id, s.ts, x.ts AS end_ts, x.ended,
+             row_number() OVER (PARTITION BY s.user_id, s.ts ORDER BY x.ts, x.ended) AS place
+      FROM starts AS s
+      LEFT JOIN e AS x ON x.user_id = s.user_id AND x.ended IS NOT NULL
+        AND x.ts > s.ts AND x.ts <= s.ts + INTERVAL 6 HOUR)
+    SELECT concat('src', user_id % 5, '.tbl', user_id) AS table_key, ts AS start_ts, end_ts, ended AS end_status,
+           end_ts IS NULL AS is_abandoned
+    FROM found WHERE place = 1
+    """
+)
+def stream_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts with their ends, or abandoned after six hours; the last seven hours are still open."""
+    root, checkpoint = new_dir(spark, "attempts"), new_dir(spark, "progress")
+    found = attempts(as_log(_events(spark, sf_dir)), ["user_id"], limit="6 hours", lateness="1 hour")
+    daily.store_closed(found, root, checkpoint).awaitTermination()
+    return named(spark.read.schema(found.schema).parquet(root))
+
+
+@query(
+    """
+    WITH seen AS (SELECT max(ts) - INTERVAL 1 HOUR AS closed FROM events WHERE event_type <> 'error'),
+    days AS (SELECT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS window_start, event_type = 'error' AS is_second FROM events)
+    SELECT window_start, window_start + INTERVAL 1 DAY AS window_end,
+           count(*) FILTER (WHERE NOT (is_second AND window_start + INTERVAL 1 DAY <= closed)) AS n,
+           count(*) FILTER (WHERE is_second AND window_start + INTERVAL 1 DAY <= closed) AS n_late
+    FROM days, seen GROUP BY window_start
+    """
+)
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failures are delivered after all the rest, together with the rest once more under other names."""
+    events = load(spark, sf_dir, "events")
+    inbox, root, checkpoint = (new_dir(spark, name) for name in ("inbox", "arrivals", "progress"))
+    failed = F.col("event_type") == "error"
+    for delivery, rows in enumerate((events.where(~failed), events)):
+        rows.write.parquet(f"{inbox}/{delivery}")
+        arrived = arrivals.once(ingest.file_stream(spark, f"{inbox}/*", events.schema), ["event_id"])
+        arrivals.count_arrivals(arrived, "ts", root, checkpoint).awaitTermination()
+    return arrivals.arrival_counts(spark, root)

@@ -4,7 +4,8 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from loadledger.streaming import daily, ingest, live
+from loadledger.streaming import arrivals, daily, ingest, live
+from loadledger.streaming.attempts import attempts
 from loadledger.work import new_dir
 
 SCHEMA = "table_key string, seq bigint, event_ts timestamp_ntz, status string"
@@ -80,3 +81,56 @@ def test_stored_states_stay_few(spark):
         assert len(folders) <= 5
         found = {r.table_key: r.status for r in live.live_states(spark, root, ["table_key"]).collect()}
         assert found == {"a": f"s{batch}"} | {f"k{n}": "x" for n in range(batch + 1)}
+
+
+def test_starts_come_out_with_their_first_end_or_abandoned(spark):
+    inbox, root, checkpoint = (new_dir(spark, p) for p in ("inbox", "attempts", "progress"))
+    kept = []
+
+    def at(hour):
+        return T0.replace(hour=0) + timedelta(hours=hour)
+
+    def run(*rows):
+        add(spark, inbox, rows)
+        found = attempts(stream(spark, inbox), ["table_key"], limit="2 hours", lateness="1 hour")
+        query = daily.store_closed(found, root, checkpoint)
+        query.awaitTermination()
+        kept.append(sum(state["numRowsTotal"] for state in query.lastProgress["stateOperators"]))
+        stored = spark.read.schema(found.schema).parquet(root).collect()
+        assert all(r.is_abandoned == (r.end_ts is None) for r in stored)
+        return sorted((r.table_key or "", r.start_ts.hour, r.end_ts and r.end_ts.hour, r.end_status) for r in stored)
+
+    run(
+        ("a", 1, at(1), "running"), ("a", 1, at(1), "running"), ("a", 2, at(2), "retrying"),
+        ("a", 3, at(3), "failed"), ("a", 4, at(3) + timedelta(minutes=1), "completed"),
+        ("b", 5, at(1), "running"), ("b", 6, at(4), "completed"),
+        (None, 7, at(1), "running"), (None, 8, at(2), "completed"), ("c", 9, None, "running"),
+    )
+    for hour in range(12, 72, 12):
+        rows = run(("z", 0, at(hour), "running"), ("z", 0, at(hour) + timedelta(minutes=1), "completed"))
+        assert [row for row in rows if row[0] != "z"] == [
+            ("", 1, None, None), ("a", 1, 3, "failed"), ("a", 2, 3, "failed"), ("b", 1, None, None),
+        ]
+    assert kept[-1] <= 4
+
+
+def test_a_file_delivered_twice_changes_nothing_and_late_rows_are_kept_apart(spark):
+    inbox, root, checkpoint = (new_dir(spark, p) for p in ("inbox", "arrivals", "progress"))
+
+    def run():
+        rows = arrivals.once(stream(spark, inbox), ["seq"])
+        arrivals.count_arrivals(rows, "event_ts", root, checkpoint).awaitTermination()
+        return {
+            (r.window_start and r.window_start.day): (r.n, r.n_late)
+            for r in arrivals.arrival_counts(spark, root).collect()
+        }
+
+    first = [("a", 1, T0, "x"), ("a", 2, T0, "x"), ("a", 3, T0 + timedelta(days=2), "x"), ("a", 9, None, "x")]
+    add(spark, inbox, first)
+    once = run()
+    assert once == {1: (2, 0), 3: (1, 0), None: (1, 0)}
+    add(spark, inbox, first)
+    assert run() == once
+    assert run() == once
+    add(spark, inbox, [("a", 4, T0, "x"), ("a", 4, T0, "x"), ("a", 5, T0 + timedelta(days=2), "x"), ("a", 2, T0, "x")])
+    assert run() == {1: (2, 1), 3: (2, 0), None: (1, 0)}
