@@ -266,10 +266,11 @@ class Extractor:
         began: dict[int, float] = {}
         tags = {i: f"extract-{uuid.uuid4().hex}" for i in work}
         with ThreadPoolExecutor(max_workers=self.concurrent_tables) as pool:
-            attempt = inheritable_thread_target(self.spark)(self._tagged)
+            # Wrapped for each table, as all calls of one wrapper share its properties, and so their tags.
             futures = {
                 pool.submit(
-                    attempt, began, i, tags[i], specs[i], run_ids[i], i in whole, plan[i].schema_json, attempts[i]
+                    inheritable_thread_target(self.spark)(self._tagged),
+                    began, i, tags[i], specs[i], run_ids[i], i in whole, plan[i].schema_json, attempts[i],
                 ): i
                 for i in work
             }

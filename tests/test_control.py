@@ -42,6 +42,15 @@ def test_a_table_over_its_limit_is_cancelled_alone(spark, sf_dir):
     assert again["db.nation"].skipped and again["db.part"].success
 
 
+def test_a_limit_does_not_reach_tables_that_run_at_the_same_time(spark, sf_dir):
+    extractor = extractor_of(spark, sf_dir, concurrent_tables=2)
+    slow = "SELECT id, reflect('java.lang.Thread', 'sleep', 12000L) AS slept FROM range(0, 1, 1, 1)"
+    specs = [full("endless", custom_query=ENDLESS, limit_seconds=3), full("slow", custom_query=slow)]
+    got = {r.table_key: r for r in extractor.extract_many(specs).collect()}
+    assert got["db.endless"].error == "cancelled: over the limit of 3 seconds"
+    assert got["db.slow"].success and got["db.slow"].record_count == 1
+
+
 def cancel_after(extractor, table):
     """Cancel once a table has completed."""
     while not any(r.table_key == table and r.status == "completed" for r in extractor.ledger.transitions([DAY]).collect()):
