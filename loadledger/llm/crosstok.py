@@ -137,9 +137,12 @@ class Aligned:
                     found.append((place, ours, theirs))
         self.a, a_frame = _frame(found, 1, a, "a")
         self.b, b_frame = _frame(found, 2, b, "b")
-        # Each start finds the token that covers it; of two equal starts either covers the other.
-        ahead = pd.merge_asof(a_frame, b_frame, on="start", by="doc")
-        back = pd.merge_asof(b_frame, a_frame, on="start", by="doc")
+        # Each start finds the token that covers it; of two equal starts either covers the other. Documents
+        # lie end to end on both sides, so only a token without bytes could find one of the next document.
+        empty = any((frame["start"] == frame["end"]).any() for frame in (a_frame, b_frame))
+        by = "doc" if empty else None
+        ahead = pd.merge_asof(a_frame, b_frame, on="start", by=by)
+        back = pd.merge_asof(b_frame, a_frame, on="start", by=by)
         i = np.concatenate([ahead["a"].to_numpy(np.int64), back["a"].to_numpy(np.int64)])
         j = np.concatenate([ahead["b"].to_numpy(np.int64), back["b"].to_numpy(np.int64)])
         a_ends, b_ends = a_frame["end"].to_numpy(), b_frame["end"].to_numpy()

@@ -126,3 +126,23 @@ def test_empty_tables(spark):
     assert alignment(docs, A, B).collect() == []
     blank = spark.createDataFrame([(1, ""), (2, None)], "doc_id long, text string").withColumn("n_a", F.lit(3))
     assert got(alignment(blank, A, B)) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
+
+
+class Fixed:
+    """A side that gives out ids it was given."""
+
+    def __init__(self, made):
+        self.bytes, self.made = [b" ", b"a", b"b", b""], made
+
+    def encode(self, texts):
+        return self.made
+
+
+@pytest.mark.parametrize("last, by", [([], None), ([3], "doc")])
+def test_documents_are_told_apart_by_place_unless_tokens_are_empty(monkeypatch, last, by):
+    asked, merge = [], crosstok.pd.merge_asof
+    monkeypatch.setattr(crosstok.pd, "merge_asof", lambda *a, **k: asked.append(k.get("by")) or merge(*a, **k))
+    made = crosstok.Aligned(["a", "b"], Fixed([[0, 1, *last], [0, 2]]), Fixed([[0, 1], [0, 2]]))
+    assert asked == [by, by]
+    assert made.figures()["n_groups"].tolist()[len(last):] == [2, 2][len(last):]
+    assert made.figures()["n_a"].tolist() == [2 + len(last), 2]
