@@ -23,6 +23,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -55,10 +56,52 @@ _WORDS = re.compile(
 )
 
 
-class ByteSide:
+class _Side:
+    """Encodes texts by words where these do not depend on each other. Words recur, so the library sees each
+    once, and what is remembered of it is bytes, which Python's garbage collector need not visit."""
+
+    bytes: list[bytes]
+
+    def __init__(self) -> None:
+        self.known: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text behind a space; none for a text that they do not give back byte for byte."""
+        split = [self._words(text) for text in texts]
+        words = list(chain.from_iterable(filter(None, split)))
+        parts = list(map(self.known.get, words))
+        new = list({word for word, part in zip(words, parts) if part is None})
+        # A word that is not given back is empty, and its text is looked at as a whole.
+        fresh = {
+            word: array("H", ids).tobytes() if self._gives(ids, self._whole(word)) else b""
+            for word, ids in zip(new, self._batch(new))
+        }
+        parts = [fresh[word] if part is None else part for word, part in zip(words, parts)]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {}
+        self.known.update(fresh)
+        out: list[np.ndarray | None] = [None] * len(texts)
+        others, end = [], 0
+        for place, found in enumerate(split):
+            begin, end = end, end + len(found or ())
+            if found is None or b"" in parts[begin:end]:
+                others.append(place)
+            else:
+                out[place] = np.frombuffer(b"".join(parts[begin:end]), np.uint16)
+        for place, ids in zip(others, self._texts([texts[place] for place in others])):
+            if self._gives(ids, b" " + texts[place].encode()):
+                out[place] = np.array(ids, np.uint16)
+        return out
+
+    def _gives(self, ids: list[int], whole: bytes) -> bool:
+        return b"".join(map(self.bytes.__getitem__, ids)) == whole
+
+
+class ByteSide(_Side):
     """A byte-level tokenizer file of the tokenizers library."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tokenizers
 
@@ -70,46 +113,60 @@ class ByteSide:
         self.bytes = [b""] * self.library.get_vocab_size(with_added_tokens=True)
         for token, number in named["model"]["vocab"].items():
             self.bytes[number] = bytes(byte_of[symbol] for symbol in token)
-        self.known: dict[str, list[int]] = {}
 
-    def _batch(self, texts: list[str]) -> list[list[int]]:
-        return [made.ids for made in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _batch(self, words: list[str]) -> list[list[int]]:
+        return [made.ids for made in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text behind a space. Words recur, so the library sees each word of plain text once."""
-        out: list[list[int] | None] = [None] * len(texts)
-        others = []
-        for place, text in enumerate(texts):
-            if not PLAIN.fullmatch(text):
-                others.append(place)
-                continue
-            words = _WORDS.findall(" " + text)
-            new = list({word for word in words if word not in self.known})
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known = {}
-                new = list(set(words))
-            self.known.update(zip(new, self._batch(new)))
-            out[place] = list(chain.from_iterable(map(self.known.__getitem__, words)))
-        for place, ids in zip(others, self._batch([" " + texts[place] for place in others])):
-            out[place] = ids
-        return out
+    def _texts(self, texts: list[str]) -> list[list[int]]:
+        return self._batch([" " + text for text in texts])
 
+    def _words(self, text: str) -> list[str] | None:
+        return _WORDS.findall(" " + text) if PLAIN.fullmatch(text) else None
 
-class PieceSide:
+    @staticmethod
+    def _whole(word: str) -> bytes:
+        return word.encode()
+
+
+class PieceSide(_Side):
     """A model file of the sentencepiece library, which adds the space itself."""
 
     def __init__(self, path: str):
+        super().__init__()
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        pieces = range(self.library.vocab_size())
+        names = [self.library.id_to_piece(number) for number in range(self.library.vocab_size())]
         self.bytes = [
             bytes([int(piece[3:5], 16)]) if self.library.is_byte(number) else piece.replace("▁", " ").encode()
-            for number, piece in ((n, self.library.id_to_piece(n)) for n in pieces)
+            for number, piece in enumerate(names)
         ]
+        self.apart = self._merges() and all("▁" not in piece[1:] or not piece.strip("▁") for piece in names)
+
+    def _merges(self) -> bool:
+        """Whether the model merges pairs of the text as it is, so that what no piece spans is encoded apart."""
+        from sentencepiece import sentencepiece_model_pb2
+
+        model = sentencepiece_model_pb2.ModelProto.FromString(self.library.serialized_model_proto())
+        trained, normal = model.trainer_spec, model.normalizer_spec
+        plain = all(piece.type not in (piece.USER_DEFINED, piece.UNUSED) for piece in model.pieces)
+        as_it_is = not normal.precompiled_charsmap and not normal.remove_extra_whitespaces
+        in_front = normal.add_dummy_prefix and normal.escape_whitespaces and not trained.treat_whitespace_as_suffix
+        return trained.model_type == trained.BPE and plain and as_it_is and in_front
+
+    def _batch(self, words: list[str]) -> list[list[int]]:
+        return self.library.encode(words, num_threads=1)
+
+    _texts = _batch
+
+    def _words(self, text: str) -> list[str] | None:
+        """What single spaces part: only runs of spaces are pieces that go on behind one."""
+        single = self.apart and text and "  " not in text and " " not in (text[0], text[-1])
+        return text.split(" ") if single and PLAIN.fullmatch(text) else None
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+    @staticmethod
+    def _whole(word: str) -> bytes:
+        return b" " + word.encode()
 
 
 @lru_cache(2)
@@ -129,12 +186,8 @@ class Aligned:
     def __init__(self, texts: list[str | None], a: ByteSide | PieceSide, b: ByteSide | PieceSide):
         made = [text or "" for text in texts]
         self.docs = len(made)
-        found: list[tuple[int, list[int], list[int]]] = []
-        for place, (text, ours, theirs) in enumerate(zip(made, a.encode(made), b.encode(made))):
-            if text:
-                whole = b" " + text.encode()
-                if all(b"".join(map(s.bytes.__getitem__, ids)) == whole for s, ids in ((a, ours), (b, theirs))):
-                    found.append((place, ours, theirs))
+        both = enumerate(zip(a.encode(made), b.encode(made)))
+        found = [(p, *ids) for p, ids in both if made[p] and all(side is not None for side in ids)]
         self.a, a_frame = _frame(found, 1, a, "a")
         self.b, b_frame = _frame(found, 2, b, "b")
         # Each start finds the token that covers it; of two equal starts either covers the other. Documents
@@ -227,7 +280,7 @@ class Aligned:
 
 def _frame(found: list[tuple], which: int, side: ByteSide | PieceSide, name: str) -> tuple[np.ndarray, pd.DataFrame]:
     """The ids of one side, and its tokens by number, document, start and end; documents lie end to end."""
-    ids = np.fromiter(chain.from_iterable(row[which] for row in found), np.int64)
+    ids = np.concatenate([np.empty(0, np.int64), *[row[which] for row in found]]).astype(np.int64)
     counts = np.array([len(row[which]) for row in found], np.int64)
     ends = np.cumsum(np.array([len(token) for token in side.bytes], np.int64)[ids])
     starts = np.concatenate([[0], ends[:-1]])[: len(ends)].astype(np.int64)

@@ -146,3 +146,23 @@ def test_documents_are_told_apart_by_place_unless_tokens_are_empty(monkeypatch,
     assert asked == [by, by]
     assert made.figures()["n_groups"].tolist()[len(last):] == [2, 2][len(last):]
     assert made.figures()["n_a"].tolist() == [2 + len(last), 2]
+
+
+def test_words_recur_between_texts_and_are_encoded_once(libraries):
+    texts = ["one two three\nfour two", "two  one", " two", "two ", "\x00 two", "x", "éé two  ", "</s> two <0x41>"]
+    for side, whole in ((crosstok.ByteSide(A), lambda t: libraries[0].encode(" " + t, add_special_tokens=False).ids),
+                        (crosstok.PieceSide(B), libraries[1].encode)):
+        asked, batch = [], side._batch
+        side._batch = lambda words: asked.extend(words) or batch(words)
+        for some in (texts, texts, texts[:1]):
+            assert [ids.tolist() for ids in side.encode(some)] == [whole(t) for t in some]
+        assert len(asked) == len(set(asked)) and sum(word.strip() == "two" for word in asked) == 1
+    assert side.encode(["a▁b two", ""]) == [None, None]
+
+
+def test_a_word_that_is_not_given_back_leaves_its_text_to_the_library():
+    side = crosstok.PieceSide(B)
+    assert side.apart
+    lost = side.library.encode("two")[0]
+    side.bytes[lost] += b"?"
+    assert [ids is None for ids in side.encode(["one", "one two", "three"])] == [False, True, False]
