@@ -6,6 +6,11 @@ it. Two tokens overlap just if one covers the other's start, so the union of bot
 overlaps; of these, the ones whose ends are equal close a group. Groups are the smallest stretches
 that both sides cut out whole, and two tokens of different sides are linked if they share a group.
 
+Neither side's tokens span the start of a space that follows something else, so texts are cut there into
+words that are aligned apart. A task lays the words it has not met end to end, aligns these as above, and
+remembers what each came to; documents are put together from that. A text with a word that a side cannot
+give back, or with a mark that stands for a space, is aligned whole.
+
 How many documents hold an id pair linked is counted over all documents. A batch of documents is a
 block: it lists its distinct pairs once, with how many of its documents hold each, and its documents
 refer to that list. Only these lists are shuffled, out to be summed by pair and back to their block, so
@@ -26,7 +31,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -41,7 +46,7 @@ from loadledger.llm.registry import bound_batches, load, query
 from loadledger.llm.tokens import LETTERS, NUMBERS, PLAIN, SPACES, byte_symbols
 from loadledger.work import cut_lineage
 
-#: Words whose tokens a task remembers; all are forgotten when there are more.
+#: Words whose tokens a task remembers, and an eighth of their tokens; all are forgotten when there are more.
 REMEMBERED = 1 << 18
 #: Bytes of text that are aligned at once, about; these documents are a block.
 TOGETHER = 2 << 20
@@ -49,11 +54,22 @@ TOGETHER = 2 << 20
 _LARGE = 256
 #: Ids of either side are below this.
 _IDS = 1 << 16
+#: New words that are encoded as one line.
+_ABREAST = 32
 # Fixed value: how the byte-level tokenizer splits text, over plain characters.
 _WORDS = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{LETTERS}{NUMBERS}{SPACES}]+"
     f"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+"
 )
+# A text without these, and without a space first, last or behind a line's end, has words between single spaces.
+_UNEVEN = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_CUT = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
+
+
+def words_of(text: str) -> list[str]:
+    """A text cut at each space that follows something other than white space, but not at its last character."""
+    uneven = " " in (text[:1], text[-1:]) or "  " in text or "\n " in text or _UNEVEN.search(text)
+    return _CUT.split(text) if uneven else text.split(" ")
 
 
 class _Side:
@@ -61,6 +77,8 @@ class _Side:
     once, and what is remembered of it is bytes, which Python's garbage collector need not visit."""
 
     bytes: list[bytes]
+    #: Whether words are encoded apart as they are in a text.
+    apart: bool
 
     def __init__(self) -> None:
         self.known: dict[str, bytes] = {}
@@ -88,11 +106,17 @@ class _Side:
                 others.append(place)
             else:
                 out[place] = np.frombuffer(b"".join(parts[begin:end]), np.uint16)
-        for place, ids in zip(others, self._texts([texts[place] for place in others])):
-            if self._gives(ids, b" " + texts[place].encode()):
-                out[place] = np.array(ids, np.uint16)
+        for place, ids in zip(others, self.whole([texts[place] for place in others])):
+            out[place] = ids
         return out
 
+    def whole(self, texts: list[str]) -> list[np.ndarray | None]:
+        """The same, with every text given to the library as it is."""
+        return [
+            np.array(ids, np.uint16) if self._gives(ids, b" " + text.encode()) else None
+            for ids, text in zip(self._texts(texts), texts)
+        ]
+
     def _gives(self, ids: list[int], whole: bytes) -> bool:
         return b"".join(map(self.bytes.__getitem__, ids)) == whole
 
@@ -113,6 +137,10 @@ class ByteSide(_Side):
         self.bytes = [b""] * self.library.get_vocab_size(with_added_tokens=True)
         for token, number in named["model"]["vocab"].items():
             self.bytes[number] = bytes(byte_of[symbol] for symbol in token)
+        cut = named["pre_tokenizer"] or {}
+        as_it_is = named["normalizer"] is None and all(token["special"] for token in named["added_tokens"])
+        regular = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut["add_prefix_space"]
+        self.apart = as_it_is and regular
 
     def _batch(self, words: list[str]) -> list[list[int]]:
         return [made.ids for made in self.library.encode_batch_fast(words, add_special_tokens=False)]
@@ -183,11 +211,12 @@ class Aligned:
     Groups are numbered through the batch; ``group_doc`` says whose they are.
     """
 
-    def __init__(self, texts: list[str | None], a: ByteSide | PieceSide, b: ByteSide | PieceSide):
+    def __init__(self, texts: list[str | None], a: ByteSide | PieceSide, b: ByteSide | PieceSide, whole: bool = False):
         made = [text or "" for text in texts]
         self.docs = len(made)
-        both = enumerate(zip(a.encode(made), b.encode(made)))
+        both = enumerate(zip(*(side.whole(made) if whole else side.encode(made) for side in (a, b))))
         found = [(p, *ids) for p, ids in both if made[p] and all(side is not None for side in ids)]
+        self.found = [p for p, *_ in found]
         self.a, a_frame = _frame(found, 1, a, "a")
         self.b, b_frame = _frame(found, 2, b, "b")
         # Each start finds the token that covers it; of two equal starts either covers the other. Documents
@@ -206,11 +235,16 @@ class Aligned:
         last_b[j[closing]] = True
         self.a_group = np.cumsum(last_a) - last_a
         self.b_group = np.cumsum(last_b) - last_b
-        self.group_doc = a_frame["doc"].to_numpy()[last_a]
+        self.group_doc, self.group_ends = a_frame["doc"].to_numpy()[last_a], a_ends[last_a]
         groups = len(self.group_doc)
         self.a_sizes = np.bincount(self.a_group, minlength=groups)
         self.b_sizes = np.bincount(self.b_group, minlength=groups)
 
+    def part(self, sizes: list[int]) -> None:
+        """Take for documents the words, of so many bytes, that lie end to end in the texts found."""
+        self.docs = len(sizes)
+        self.group_doc = np.searchsorted(np.cumsum(sizes), self.group_ends)
+
     def _per_doc(self, of_groups: np.ndarray) -> np.ndarray:
         out = np.zeros(self.docs, np.int64)
         np.add.at(out, self.group_doc, of_groups)
@@ -222,14 +256,16 @@ class Aligned:
         counted = {"n_a": sizes, "n_b": others, "n_groups": ones, "n_links": sizes * others}
         return {name: self._per_doc(values) for name, values in counted.items()}
 
-    def digests(self) -> list[str]:
-        """Of each document its groups, written out and hashed; empty without tokens."""
+    def lines(self) -> list[bytes]:
+        """Of each document its groups, written out; empty without tokens."""
         ids, kinds, docs = self._in_order()
         parts = list(map(_written().__getitem__, (kinds * _IDS + ids).tolist()))
         bounds = np.searchsorted(docs, np.arange(self.docs + 1)).tolist()
-        return [
-            hashlib.sha256(b"".join(parts[x:y])[1:]).hexdigest() if y > x else "" for x, y in zip(bounds, bounds[1:])
-        ]
+        return [b"".join(parts[x:y])[1:] for x, y in zip(bounds, bounds[1:])]
+
+    def digests(self) -> list[str]:
+        """Of each document its groups, written out and hashed; empty without tokens."""
+        return _hashed(self.lines())
 
     def _in_order(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of both sides by group, ours first, with what goes before them and their document."""
@@ -272,10 +308,7 @@ class Aligned:
             doc = np.full(len(ours) * len(others), self.group_doc[group])
             codes.append(_code(doc, np.repeat(ours, len(others)), np.tile(others, len(ours))))
             times.append(np.outer(n, m).ravel())
-        distinct, place = np.unique(np.concatenate(codes), return_inverse=True)
-        counted = np.zeros(len(distinct), np.int64)
-        np.add.at(counted, place, np.concatenate(times))
-        return distinct, counted
+        return _distinct(np.concatenate(codes), np.concatenate(times))
 
 
 def _frame(found: list[tuple], which: int, side: ByteSide | PieceSide, name: str) -> tuple[np.ndarray, pd.DataFrame]:
@@ -288,6 +321,17 @@ def _frame(found: list[tuple], which: int, side: ByteSide | PieceSide, name: str
     return ids, pd.DataFrame({name: np.arange(len(ids)), "doc": docs, "start": starts, "end": ends})
 
 
+def _hashed(lines: list[bytes]) -> list[str]:
+    return [hashlib.sha256(line).hexdigest() if line else "" for line in lines]
+
+
+def _distinct(codes: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, place = np.unique(codes, return_inverse=True)
+    counted = np.zeros(len(distinct), np.int64)
+    np.add.at(counted, place, times)
+    return distinct, counted
+
+
 def _code(doc: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (doc * _IDS + a) * _IDS + b
 
@@ -301,6 +345,121 @@ def _written() -> list[bytes]:
 _FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
+class _Table:
+    """What stretches of text came to: their groups written out, their figures, their distinct pairs and links."""
+
+    def __init__(self, lines: list[bytes], *columns: np.ndarray):
+        self.lines = lines
+        self.figures, self.n_pairs, self.pairs, self.times = columns
+
+    @classmethod
+    def of(cls, aligned: Aligned) -> _Table:
+        codes, times = aligned.links()
+        doc, pairs = np.divmod(codes, _IDS * _IDS)
+        figures = aligned.figures()
+        stacked = np.stack([figures[name] for name in _FIGURES], axis=1)
+        return cls(aligned.lines(), stacked, np.bincount(doc, minlength=aligned.docs), pairs, times)
+
+    def __add__(self, other: _Table) -> _Table:
+        both = ("figures", "n_pairs", "pairs", "times")
+        return _Table(self.lines + other.lines, *(np.concatenate([getattr(self, k), getattr(other, k)]) for k in both))
+
+
+class Assembled:
+    """A batch of texts put together from stretches of a table, each of which ends a group on both sides."""
+
+    def __init__(self, table: _Table, stretches: np.ndarray, counts: np.ndarray):
+        self.table, self.stretches, self.counts, self.docs = table, stretches, counts, len(counts)
+        self.doc = np.repeat(np.arange(self.docs), counts)
+
+    def figures(self) -> dict[str, np.ndarray]:
+        out = np.zeros((self.docs, len(_FIGURES)), np.int64)
+        some = self.counts > 0
+        if some.any():
+            begins = (np.cumsum(self.counts) - self.counts)[some]
+            out[some] = np.add.reduceat(self.table.figures[self.stretches], begins)
+        return dict(zip(_FIGURES, out.T))
+
+    def digests(self) -> list[str]:
+        parts = list(map(self.table.lines.__getitem__, self.stretches.tolist()))
+        bounds = np.cumsum([0, *self.counts]).tolist()
+        return _hashed([b";".join(parts[x:y]) for x, y in zip(bounds, bounds[1:])])
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct (document, pair) codes in order, and how many links each stands for."""
+        of = self.table
+        per = of.n_pairs[self.stretches]
+        begins = (np.cumsum(of.n_pairs) - of.n_pairs)[self.stretches]
+        places = np.repeat(begins - (np.cumsum(per) - per), per) + np.arange(per.sum())
+        return _distinct(np.repeat(self.doc, per) * (_IDS * _IDS) + of.pairs[places], of.times[places])
+
+
+class Words:
+    """Aligns texts word by word, and remembers what the words came to."""
+
+    def __init__(self, a: ByteSide | PieceSide, b: ByteSide | PieceSide):
+        self.a, self.b = a, b
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        # Row 0 stands for every word without tokens.
+        none = np.zeros(0, np.int64)
+        self.table = _Table([b""], np.zeros((1, len(_FIGURES)), np.int64), np.zeros(1, np.int64), none, none)
+
+    def align(self, texts: list[str | None]) -> Assembled:
+        made = [text or "" for text in texts]
+        if max(len(self.known), int(self.table.figures[:, :2].sum()) // 8) > REMEMBERED:
+            self._forget()
+        split = [words_of(text) if text and self._cut(text) else [] for text in made]
+        counts = np.array(list(map(len, split)), np.int64)
+        words = list(chain.from_iterable(split))
+        numbers = np.array(list(map(self.known.get, words, repeat(-1))), np.int64)
+        new = np.flatnonzero(numbers < 0).tolist()
+        self._learn(list(dict.fromkeys(words[place] for place in new)))
+        numbers[new] = [self.known[words[place]] for place in new]
+        # Where a word has no tokens, the text is looked at as a whole, and so is one that is not cut.
+        doc = np.repeat(np.arange(len(made)), counts)
+        whole = np.array([bool(text) for text in made], bool) & (counts == 0)
+        whole[doc[numbers == 0]] = True
+        if not whole.any():
+            return Assembled(self.table, numbers, counts)
+        others = np.flatnonzero(whole)
+        table = self.table + _Table.of(Aligned([made[place] for place in others.tolist()], self.a, self.b))
+        kept = ~whole[doc]
+        stretches = np.concatenate([numbers[kept], len(self.table.lines) + np.arange(len(others))])
+        order = np.argsort(np.concatenate([doc[kept], others]), kind="stable")
+        return Assembled(table, stretches[order], np.where(whole, 1, counts))
+
+    def _cut(self, text: str) -> bool:
+        return self.a.apart and self.b.apart and "▁" not in text
+
+    def _learn(self, words: list[str]) -> None:
+        """Align words laid end to end. One that ends in white space could join the next, so it is a line's last."""
+        inner = [word for word in words if not word[-1].isspace()]
+        lines = [inner[begin : begin + _ABREAST] for begin in range(0, len(inner), _ABREAST)]
+        lost = self._lay([*lines, *([word] for word in words if word[-1].isspace())])
+        # A line that is not given back has a word that is not.
+        self._lay([[word] for line in lost if len(line) > 1 for word in line])
+        for word in words:
+            self.known.setdefault(word, 0)
+
+    def _lay(self, lines: list[list[str]]) -> list[list[str]]:
+        """Align lines of words, remember these, and give back the lines without tokens."""
+        aligned = Aligned([" ".join(line) for line in lines], self.a, self.b, whole=True)
+        words = list(chain.from_iterable(lines[place] for place in aligned.found))
+        aligned.part([len(word.encode()) + 1 for word in words])
+        self.known.update(zip(words, range(len(self.table.lines), len(self.table.lines) + len(words))))
+        self.table += _Table.of(aligned)
+        found = set(aligned.found)
+        return [line for place, line in enumerate(lines) if place not in found]
+
+
+@lru_cache(1)
+def _words(a_path: str, b_path: str) -> Words:
+    return Words(_side(a_path), _side(b_path))
+
+
 def _blocks(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """One row per batch: its documents' own figures, its distinct pairs, and which documents hold which.
 
@@ -313,10 +472,10 @@ def _blocks(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
     id_type = to_arrow_type(kind)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _side(a_path), _side(b_path)
+        words = _words(a_path, b_path)
         part = TaskContext.get().partitionId()
         for number, batch in enumerate(_pieces(batches)):
-            aligned = Aligned(batch.column(1).to_pylist(), a, b)
+            aligned = words.align(batch.column(1).to_pylist())
             codes, times = aligned.links()
             holder, pair = np.divmod(codes, _IDS * _IDS)
             pairs, place = np.unique(pair, return_inverse=True)

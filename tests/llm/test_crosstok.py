@@ -166,3 +166,50 @@ def test_a_word_that_is_not_given_back_leaves_its_text_to_the_library():
     lost = side.library.encode("two")[0]
     side.bytes[lost] += b"?"
     assert [ids is None for ids in side.encode(["one", "one two", "three"])] == [False, True, False]
+
+
+def agrees(words, texts, libraries):
+    want = brute(list(enumerate(texts)), libraries)
+    made = words.align(texts)
+    figures, links = made.figures(), Counter()
+    for code, n in zip(*(column.tolist() for column in made.links())):
+        links[code >> 32, code % (1 << 32) >> 16, code % (1 << 16)] += n
+    got = {(k, *[int(figures[name][k]) for name in NAMES[:4]], digest) for k, digest in enumerate(made.digests())}
+    assert got == {(*row[:5], row[7]) for row in want}
+    groups = [groups_of(text, libraries) for text in texts]
+    assert links == Counter((k, a, b) for k, found in enumerate(groups) for g in found for a in g[0] for b in g[1])
+
+
+def test_words_recur_between_texts_and_are_aligned_once(monkeypatch, libraries):
+    frames, merge = [], crosstok.pd.merge_asof
+    monkeypatch.setattr(crosstok.pd, "merge_asof", lambda x, y, **k: frames.append(len(x)) or merge(x, y, **k))
+    words = crosstok.Words(crosstok.ByteSide(A), crosstok.PieceSide(B))
+    texts = ["alignment of words", "words of alignment " * 50 + "of", None, "", "of words"]
+    agrees(words, texts, libraries)
+    once = brute([(0, "alignment of words")], libraries)[0]
+    assert sum(frames) == once[1] + once[2]
+    agrees(words, texts[::-1], libraries)
+    assert sum(frames) == once[1] + once[2]
+
+
+@pytest.mark.parametrize("limit, abreast", [(1 << 18, 32), (1 << 18, 2), (3, 3)])
+def test_words_are_cut_where_neither_side_goes_on(monkeypatch, libraries, limit, abreast):
+    monkeypatch.setattr(crosstok, "REMEMBERED", limit)
+    monkeypatch.setattr(crosstok, "_ABREAST", abreast)
+    words = crosstok.Words(crosstok.ByteSide(A), crosstok.PieceSide(B))
+    assert words.a.apart and words.b.apart
+    random.seed(11)
+    odd = [*"ab1.,'-", "s", " ", " ", "  ", "\n", "\n ", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", " ", "　",
+           "​", "é", "д", "日本", "😀", "'ll", "▁", "\x00", "</s>", "<|endoftext|>", "the", " the", "é"]
+    for _ in range(4):
+        agrees(words, ["".join(random.choices(odd, k=random.randrange(12))) for _ in range(500)], libraries)
+
+
+def test_a_word_that_is_not_given_back_has_its_texts_aligned_whole(monkeypatch, libraries):
+    words = crosstok.Words(crosstok.ByteSide(A), crosstok.PieceSide(B))
+    lost = words.b.library.encode("two")[0]
+    words.b.bytes[lost] += b"?"
+    made = words.align(["one", "one two", "three one"])
+    assert made.figures()["n_a"].tolist() == [1, 0, 2]
+    assert made.digests()[1] == "" and made.links()[0].max() >> 32 == 2
+    assert words.known["two"] == 0 and words.known["one"] != 0
